@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import (confidence_band, formal_name, name_key, office_code, parse_name,
                          party_adjusted, party_code, term_cycles)
 from ..functions.matching import _clean, score_parts
-from .legislators import BIOGUIDE, has_text, terms_in_range, with_candidate_ids
+from .legislators import BIOGUIDE, has_text, terms_in_range, has_candidate_ids
 
 PAIR = ["cand_id", "bioguide_id"]
 CROSSWALK_COLUMNS = [*PAIR, "match_method", "confidence"]
@@ -21,7 +21,7 @@ def registered_ids(candidates: DataFrame) -> DataFrame:
 def declared_ids(legislators: DataFrame) -> DataFrame:
     """(cand_id, bioguide_id) pairs the legislator records carry themselves."""
     return legislators.where(has_text(BIOGUIDE)).select(
-        F.explode("id.fec").alias("cand_id"), BIOGUIDE.alias("bioguide_id")
+        F.explode("id.fec").alias("cand_id"), F.col(BIOGUIDE).alias("bioguide_id")
     )
 
 
@@ -39,7 +39,7 @@ def unverified(legislators: DataFrame, candidates: DataFrame) -> DataFrame:
     """All declared ids; those never registered are kept with medium confidence."""
     pairs = (
         declared_ids(legislators)
-        .where(has_text(F.col("cand_id")))
+        .where(has_text("cand_id"))
         .select(F.trim("cand_id").alias("cand_id"), "bioguide_id")
         .distinct()
     )
@@ -63,17 +63,17 @@ _BLOCK = ["state", "office", "cycle", "last"]
 def _member_campaigns(legislators: DataFrame) -> DataFrame:
     """One row per legislator without declared ids, and per campaign (state, office, cycle)."""
     named = terms_in_range(
-        legislators.where(has_text(BIOGUIDE) & ~with_candidate_ids(legislators) & has_text(F.col("name.last")))
+        legislators.where(has_text(BIOGUIDE) & ~has_candidate_ids() & has_text("name.last"))
     )
     terms = named.select(
-        BIOGUIDE.alias("bioguide_id"),
+        F.col(BIOGUIDE).alias("bioguide_id"),
         _clean("name.last").alias("last"),
         _clean("name.first").alias("first"),
         formal_name("name.first").alias("first_formal"),
         _clean("name.suffix").alias("suffix"),
         F.coalesce("name.nickname", F.lit("")).alias("nickname"),
         F.explode("terms").alias("t"),
-    ).where(has_text(F.col("t.state")) & has_text(F.col("t.type")))
+    ).where(has_text("t.state") & has_text("t.type"))
     return terms.select(
         "bioguide_id", "last", "first", "first_formal", "suffix", "nickname",
         F.col("t.state").alias("state"),
@@ -84,7 +84,7 @@ def _member_campaigns(legislators: DataFrame) -> DataFrame:
 
 
 def _candidate_campaigns(candidates: DataFrame) -> DataFrame:
-    parsed = candidates.where(has_text(F.col("cand_name")) & has_text(F.col("cand_id"))).select(
+    parsed = candidates.where(has_text("cand_name") & has_text("cand_id")).select(
         "cand_id",
         parse_name("cand_name").alias("cand"),
         F.col("cand_office_st").alias("state"),

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import term_in_range
 from ..functions.matching import FIRST_CYCLE, LAST_CYCLE
 
-BIOGUIDE = F.col("id.bioguide")
+BIOGUIDE = "id.bioguide"
 
 
-def has_text(c: Column) -> Column:
+def has_text(c: Column | str) -> Column:
     return F.coalesce(c, F.lit("")) != ""
 
 
@@ -40,7 +40,7 @@ def terms_in_range(df: DataFrame, low: int = FIRST_CYCLE, high: int = LAST_CYCLE
     return df.withColumn("terms", inside).where(F.size("terms") > 0)
 
 
-def with_candidate_ids(df: DataFrame) -> Column:
+def has_candidate_ids() -> Column:
     return F.coalesce(F.size("id.fec") > 0, F.lit(False))
 
 
@@ -53,7 +53,7 @@ def legislator_stats(df: DataFrame) -> DataFrame:
         F.struct(F.lit("chamber"), chamber),
         F.struct(
             F.lit("candidate_ids"),
-            F.when(with_candidate_ids(df), F.lit("with")).otherwise("without"),
+            F.when(has_candidate_ids(), F.lit("with")).otherwise("without"),
         ),
     )
     return (

@@ -27,7 +27,11 @@ def write_table(df: DataFrame, path: str, sort: list[str] | None = None) -> None
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "").csv(path)
+    """RFC 4180 text with a header; blanks around values are kept."""
+    writer = df.write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "")
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", "false")
+    writer.csv(path)
 
 
 def by_cycle(df: DataFrame, sort: list[str] | None = None) -> DataFrame:
