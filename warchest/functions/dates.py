@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_int, strip
+from .text import as_int, bind, strip
 
 ColumnOrName = Column | str
 
@@ -39,25 +39,34 @@ def iso_date(date: ColumnOrName, keep_iso: bool = False) -> Column:
     """``YYYY-MM-DD`` text.  Month, day and year ranges are checked, the calendar is not:
     ``02/31/2024`` passes.  ``keep_iso`` lets finished values through, so a second run over a
     converted column changes nothing."""
-    d = _text(date)
-    slashed = (
+    def from_parts(parts: Column) -> Column:
+        month, day, year = (F.get(parts, F.lit(i)) for i in range(3))
+        valid = (
+            (F.size(parts) == 3)
+            & month.between(1, 12)
+            & day.between(1, 31)
+            & year.between(1900, 2100)
+        )
+        return F.when(valid, F.format_string("%04d-%02d-%02d", year, month, day))
+
+    def convert(d: Column) -> Column:
+        out = bind(F.transform(F.split(_slashed(d), "/"), as_int), from_parts)
+        return F.when(d.rlike(_FINISHED), d).otherwise(out) if keep_iso else out
+
+    return bind(_text(date), convert)
+
+
+_FINISHED = r"\A(19[0-9]{2}|20[0-9]{2}|2100)-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])\z"
+
+
+def _slashed(d: Column) -> Column:
+    """Month, day and year separated by slashes; NULL when the length fits no format."""
+    cut = lambda *spans: F.concat_ws("/", *[F.substring(d, at, n) for at, n in spans])
+    return (
         F.when(d.contains("/"), d)
-        .when(F.length(d) == 8, F.concat_ws("/", F.substring(d, 1, 2), F.substring(d, 3, 2), F.substring(d, 5, 4)))
-        .when(F.length(d) == 7, F.concat_ws("/", F.substring(d, 1, 1), F.substring(d, 2, 2), F.substring(d, 4, 4)))
-    )
-    part = lambda i: as_int(F.split_part(slashed, F.lit("/"), F.lit(i)))
-    month, day, year = part(1), part(2), part(3)
-    valid = (
-        slashed.rlike(r"\A[^/]*/[^/]*/[^/]*\z")
-        & month.between(1, 12)
-        & day.between(1, 31)
-        & year.between(1900, 2100)
+        .when(F.length(d) == 8, cut((1, 2), (3, 2), (5, 4)))
+        .when(F.length(d) == 7, cut((1, 1), (2, 2), (4, 4)))
     )
-    out = F.when(valid, F.format_string("%04d-%02d-%02d", year, month, day))
-    if keep_iso:
-        finished = r"\A(19[0-9]{2}|20[0-9]{2}|2100)-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])\z"
-        out = F.when(d.rlike(finished), d).otherwise(out)
-    return out
 
 
 def calendar_date(date: ColumnOrName) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, after_comma, before_comma, strip
+from .text import BLANKS, WS, bind, strip
 
 # Word lists, written in the form title-casing gives them.
 UPPER_WORDS = [
@@ -60,23 +60,32 @@ def _simple_word(core: Column, first: Column) -> Column | None:
 
 def _hyphenated(core: Column, first: Column) -> Column:
     def piece(p: Column, j: Column) -> Column:
-        inner = _core(p)
-        return F.replace(p, inner, _simple_word(inner, first & (j == 0)).otherwise(inner))
+        opens = first & (j == 0)
+        return bind(_core(p), lambda c: F.replace(p, c, _simple_word(c, opens).otherwise(c)))
 
     return F.array_join(F.transform(F.split(core, "-"), piece), "-")
 
 
 def _word(word: Column, first: Column) -> Column:
-    core = _core(word)
-    fixed = _simple_word(core, first).when(core.contains("-"), _hyphenated(core, first)).otherwise(core)
-    return F.replace(word, core, fixed)
+    def fixed(core: Column) -> Column:
+        listed = _simple_word(core, first)
+        return F.replace(word, core, listed.when(core.contains("-"), _hyphenated(core, first)).otherwise(core))
+
+    return bind(_core(word), fixed)
+
+
+def _any_of(words: list[str]) -> str:
+    """Alternation grouped by first letter, so that most words fail on their first letter."""
+    heads = sorted({w[0] for w in words})
+    tails = {h: "|".join(w[1:] for w in words if w[0] == h) for h in heads}
+    return "(?:" + "|".join(f"{h}(?:{t})" for h, t in tails.items()) + ")"
 
 
 # Words that may need more than title case; a text without any is done after title-casing.
 _NEEDS_WORDS = (
-    "-|Mc|(?<![A-Za-z0-9])(?:"
-    + "|".join([w for w in UPPER_WORDS if "-" not in w] + ROMAN_NUMERALS + PARTICLES + list(ABBREVIATIONS))
-    + ")(?![A-Za-z0-9])"
+    "-|Mc|(?<![A-Za-z0-9])"
+    + _any_of([w for w in UPPER_WORDS if "-" not in w] + ROMAN_NUMERALS + PARTICLES + list(ABBREVIATIONS))
+    + "(?![A-Za-z0-9])"
 )
 
 
@@ -87,15 +96,11 @@ def capitalize_name(name: Column | str) -> Column:
     is a particle.  White space is squeezed.  NULL stays NULL.
     """
     name = F.col(name) if isinstance(name, str) else name
-    bare = strip(name)
-    spaced = F.when(
-        bare.contains(","),
-        F.concat(strip(before_comma(bare)), F.lit(", "), strip(after_comma(bare))),
-    ).otherwise(bare)
-    squeezed = F.when(
-        spaced.rlike(rf"{WS}{WS}|[^ -~]"), F.regexp_replace(spaced, WS + "+", " ")
-    ).otherwise(spaced)
-    titled = _title(squeezed)
-    by_word = F.array_join(F.transform(F.split(titled, " "), lambda w, i: _word(w, i == 0)), " ")
-    done = F.when(titled.rlike(_NEEDS_WORDS), by_word).otherwise(titled)
-    return F.when(bare.contains(","), F.rtrim(done, F.lit(", "))).otherwise(done)
+    spaced = F.regexp_replace(strip(name), rf"\A([^,]*?){WS}*,{WS}*", "$1, ")
+    titled = _title(F.regexp_replace(spaced, rf"{WS}{{2,}}|[{BLANKS[1:]}]", " "))
+
+    def by_word(text: Column) -> Column:
+        return F.array_join(F.transform(F.split(text, " "), lambda w, i: _word(w, i == 0)), " ")
+
+    done = bind(titled, lambda t: F.when(t.rlike(_NEEDS_WORDS), by_word(t)).otherwise(t))
+    return F.rtrim(done, F.lit(", "))

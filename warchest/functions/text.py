@@ -40,3 +40,8 @@ def lookup(table: dict[str, str], c: Column) -> Column:
     """Value for ``c`` in a small fixed table, NULL when it has none."""
     flat = [F.lit(x) for pair in table.items() for x in pair]
     return F.element_at(F.create_map(*flat), c)
+
+
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

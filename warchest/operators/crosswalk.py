@@ -172,7 +172,7 @@ def crosswalk_stats(crosswalk: DataFrame) -> DataFrame:
     """(metric, value, n): pairs by method and by confidence, ids with several partners."""
     facts = F.array(
         F.struct(F.lit("match_method").alias("metric"), F.col("match_method").alias("value")),
-        F.struct(F.lit("confidence"), F.col("confidence")),
+        F.struct(F.lit("confidence").alias("metric"), F.col("confidence").alias("value")),
     )
     by_label = (
         crosswalk.select(F.explode(facts).alias("f"))

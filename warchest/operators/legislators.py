@@ -50,10 +50,10 @@ def legislator_stats(df: DataFrame) -> DataFrame:
     chamber = F.when(latest["type"] == "sen", "Senate").when(latest["type"] == "rep", "House").otherwise("Unknown")
     facts = F.array(
         F.struct(F.lit("party").alias("metric"), F.coalesce(latest["party"], F.lit("Unknown")).alias("value")),
-        F.struct(F.lit("chamber"), chamber),
+        F.struct(F.lit("chamber").alias("metric"), chamber.alias("value")),
         F.struct(
-            F.lit("candidate_ids"),
-            F.when(has_candidate_ids(), F.lit("with")).otherwise("without"),
+            F.lit("candidate_ids").alias("metric"),
+            F.when(has_candidate_ids(), "with").otherwise("without").alias("value"),
         ),
     )
     return (

@@ -403,7 +403,7 @@ ORACLES: dict[str, str] = {
         """seen AS (SELECT m.k, t.party, t.term_type FROM members m
           LEFT JOIN (SELECT DISTINCT k, party, term_type FROM member_terms) t ON t.k = m.k)"""),
     # quality
-    "table_profile": duckdb_sql(_profile("txn", "txn", 21)),
+    "table_profile": duckdb_sql(_profile("txn", "txn", 23)),
     "quality_report": duckdb_sql("""SELECT p.*, coalesce(i.issues, '') AS issues, i.issues IS NULL AS is_valid
         FROM profiles p LEFT JOIN (SELECT table_name, string_agg(issue, '; ' ORDER BY issue) AS issues
           FROM issue_rows GROUP BY 1) i USING (table_name)""", STATE + ", " + REPORT),
