@@ -49,26 +49,15 @@ def iso_date(date: ColumnOrName, keep_iso: bool = False) -> Column:
         )
         return F.when(valid, F.format_string("%04d-%02d-%02d", year, month, day))
 
-    def convert(d: Column) -> Column:
-        out = bind(F.transform(F.split(_slashed(d), "/"), as_int), from_parts)
-        return F.when(d.rlike(_FINISHED), d).otherwise(out) if keep_iso else out
-
-    return bind(_text(date), convert)
+    # Seven or eight characters without a slash are cut into the same three parts.
+    slashed = F.regexp_replace(_text(date), r"\A([^/]{1,2})([^/]{2})([^/]{4})\z", "$1/$2/$3")
+    out = bind(F.transform(F.split(slashed, "/"), as_int), from_parts)
+    return F.when(slashed.rlike(_FINISHED), slashed).otherwise(out) if keep_iso else out
 
 
 _FINISHED = r"\A(19[0-9]{2}|20[0-9]{2}|2100)-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])\z"
 
 
-def _slashed(d: Column) -> Column:
-    """Month, day and year separated by slashes; NULL when the length fits no format."""
-    cut = lambda *spans: F.concat_ws("/", *[F.substring(d, at, n) for at, n in spans])
-    return (
-        F.when(d.contains("/"), d)
-        .when(F.length(d) == 8, cut((1, 2), (3, 2), (5, 4)))
-        .when(F.length(d) == 7, cut((1, 1), (2, 2), (4, 4)))
-    )
-
-
 def calendar_date(date: ColumnOrName) -> Column:
     """Strict twin of :func:`iso_date`: a DATE, NULL when the day does not exist."""
     return F.try_to_date(iso_date(date, keep_iso=True), "yyyy-MM-dd")

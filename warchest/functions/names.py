@@ -22,8 +22,6 @@ ROMAN_NUMERALS = ["Ii", "Iii", "Iv", "V", "Vi", "Vii", "Viii", "Ix", "X"]
 PARTICLES = ["De", "La", "Del", "Van", "Von", "Den", "Der", "Le", "Da", "Di", "Du", "Of", "The"]
 ABBREVIATIONS = {"Int'L": "Int'l", "Ass'N": "Ass'n"}  # Intl and Assn are plain title case
 
-# ASCII characters that are neither letters nor digits.
-_ASCII_MARKS = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _SEAM = "\x01 "  # initcap starts a new word after it
 
@@ -36,10 +34,7 @@ def _title(c: Column) -> Column:
 
 def _core(word: Column) -> Column:
     """The word without leading and trailing marks."""
-    ascii_only = F.length(word) == F.octet_length(word)
-    return F.when(ascii_only, F.btrim(word, F.lit(_ASCII_MARKS))).otherwise(
-        F.regexp_replace(word, r"\A[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z", "")
-    )
+    return F.regexp_replace(word, r"\A[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z", "")
 
 
 def _simple_word(core: Column, first: Column) -> Column | None:
@@ -81,7 +76,7 @@ def _any_of(words: list[str]) -> str:
     return "(?:" + "|".join(f"{h}(?:{t})" for h, t in tails.items()) + ")"
 
 
-# Words that may need more than title case; a text without any is done after title-casing.
+# Words that may need more than title case; everything else is done after title-casing.
 _NEEDS_WORDS = (
     "-|Mc|(?<![A-Za-z0-9])"
     + _any_of([w for w in UPPER_WORDS if "-" not in w] + ROMAN_NUMERALS + PARTICLES + list(ABBREVIATIONS))
@@ -100,7 +95,8 @@ def capitalize_name(name: Column | str) -> Column:
     titled = _title(F.regexp_replace(spaced, rf"{WS}{{2,}}|[{BLANKS[1:]}]", " "))
 
     def by_word(text: Column) -> Column:
-        return F.array_join(F.transform(F.split(text, " "), lambda w, i: _word(w, i == 0)), " ")
+        fixed = lambda w, i: F.when(w.rlike(_NEEDS_WORDS), _word(w, i == 0)).otherwise(w)
+        return F.array_join(F.transform(F.split(text, " "), fixed), " ")
 
     done = bind(titled, lambda t: F.when(t.rlike(_NEEDS_WORDS), by_word(t)).otherwise(t))
     return F.rtrim(done, F.lit(", "))

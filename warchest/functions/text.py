@@ -19,8 +19,7 @@ def strip(c: Column) -> Column:
 
 def as_int(c: Column) -> Column:
     """Integer in ``c``, or NULL; a single ``_`` between digits is allowed."""
-    plain = F.when(c.contains("_"), F.regexp_replace(c, "(?<=[0-9])_(?=[0-9])", "")).otherwise(c)
-    return plain.try_cast("int")
+    return F.regexp_replace(c, "(?<=[0-9])_(?=[0-9])", "").try_cast("int")
 
 
 def before_comma(c: Column) -> Column:
