@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, after_comma, before_comma, lookup, strip, words
+from .text import WS, after_comma, before_comma, lookup, squeeze, strip, words
 
 FIRST_CYCLE, LAST_CYCLE = 1980, 2026
 
@@ -121,7 +121,7 @@ def name_key(name: Column | str) -> Column:
     first = F.when(head.isin("JR", "SR", "II", "III", "IV"), second).otherwise(head)
     full = F.concat(unmarked(before_comma(n)), F.lit(", "), first)
     with_comma = strip(F.regexp_replace(full, r" (JR|SR|II|III|IV)\z", ""))
-    plain = strip(F.regexp_replace(F.regexp_replace(n, "[.,']", ""), WS + "+", " "))
+    plain = strip(squeeze(F.regexp_replace(n, "[.,']", "")))
     return F.when(n.contains(","), with_comma).otherwise(plain)
 
 

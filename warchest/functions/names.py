@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANKS, WS, bind, strip
+from .text import bind, squeeze, strip
 
 # Word lists, written in the form title-casing gives them.
 UPPER_WORDS = [
@@ -91,8 +91,8 @@ def capitalize_name(name: Column | str) -> Column:
     is a particle.  White space is squeezed.  NULL stays NULL.
     """
     name = F.col(name) if isinstance(name, str) else name
-    spaced = F.regexp_replace(strip(name), rf"\A([^,]*?){WS}*,{WS}*", "$1, ")
-    titled = _title(F.regexp_replace(spaced, rf"{WS}{{2,}}|[{BLANKS[1:]}]", " "))
+    spaced = F.regexp_replace(squeeze(strip(name)), r"\A([^,]*?) ?,(?: |(?=[^ ])|\z)", "$1, ")
+    titled = _title(spaced)
 
     def by_word(text: Column) -> Column:
         fixed = lambda w, i: F.when(w.rlike(_NEEDS_WORDS), _word(w, i == 0)).otherwise(w)

@@ -10,7 +10,15 @@ BLANKS = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-WS = "[" + BLANKS + "]"
+# The same characters as a pattern, in ranges.
+OTHER_WS = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = f"[ {OTHER_WS}]"
+
+
+def squeeze(c: Column) -> Column:
+    """Every run of white space becomes one blank.  The look-ahead keeps ordinary characters
+    cheap, and single blanks are not rewritten."""
+    return F.regexp_replace(c, f"(?=[^!-~])(?: {WS}+|[{OTHER_WS}]{WS}*)", " ")
 
 
 def strip(c: Column) -> Column:
