@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, after_comma, before_comma, lookup, squeeze, strip, words
+from .text import WS, after_comma, before_comma, bind, lookup, squeeze, strip, words
 
 FIRST_CYCLE, LAST_CYCLE = 1980, 2026
 
@@ -125,37 +125,31 @@ def name_key(name: Column | str) -> Column:
     return F.when(n.contains(","), with_comma).otherwise(plain)
 
 
-_SUFFIX = r"(jr\.?|sr\.?|ii|iii|iv|v|2nd|3rd|4th)\z"
-_AFTER_BLANK = rf"(?i){WS}+{_SUFFIX}"
-_AFTER_COMMA = rf"(?i),{WS}*{_SUFFIX}"
+# A suffix token ends the name, after white space or directly after a comma.
+_SUFFIX = rf"(?i)(?:{WS}+|,)(jr\.?|sr\.?|ii|iii|iv|v|2nd|3rd|4th)\z"
 
 
 def parse_name(name: Column | str) -> Column:
     """struct(last, first, suffix), lower case.  ``Payne, Donald M Jr`` -> (payne, donald, jr)."""
     n = strip(F.coalesce(_col(name), F.lit("")))
-    spaced, comma = F.regexp_extract(n, _AFTER_BLANK, 1), F.regexp_extract(n, _AFTER_COMMA, 1)
-    suffix = F.rtrim(F.lower(F.when(spaced != "", spaced).otherwise(comma)), F.lit("."))
-    base = strip(
-        F.when(spaced != "", F.regexp_replace(n, _AFTER_BLANK, ""))
-        .when(comma != "", F.regexp_replace(n, _AFTER_COMMA, ""))
-        .otherwise(n)
-    )
-    tokens = words(base)
-    given = F.get(words(strip(after_comma(base))), F.lit(0))
-    has_comma = base.contains(",")
-    last = F.when(has_comma, strip(before_comma(base))).otherwise(F.element_at(tokens, -1))
-    first = F.when(has_comma, given).when(F.size(tokens) > 1, F.get(tokens, F.lit(0))).otherwise(F.lit(""))
-    return F.struct(
-        F.lower(last).alias("last"),
-        F.regexp_replace(F.lower(first), "[\"']", "").alias("first"),
-        suffix.alias("suffix"),
-    )
+    suffix = F.rtrim(F.lower(F.regexp_extract(n, _SUFFIX, 1)), F.lit("."))
+    base = strip(F.regexp_replace(n, _SUFFIX, ""))
+
+    def person(b: Column) -> Column:
+        tokens = words(b)
+        given = F.get(words(strip(after_comma(b))), F.lit(0))
+        two = F.when(F.size(tokens) > 1, F.get(tokens, F.lit(0))).otherwise(F.lit(""))
+        last = F.when(b.contains(","), strip(before_comma(b))).otherwise(F.element_at(tokens, -1))
+        first = F.when(b.contains(","), given).otherwise(two)
+        return F.struct(
+            F.lower(last).alias("last"), F.regexp_replace(F.lower(first), "[\"']", "").alias("first"))
+
+    return bind(base, person).withField("suffix", suffix)
 
 
 def formal_name(first: Column | str) -> Column:
     """Formal form of a first name: ``bob`` -> ``robert``; other names stay."""
-    f = _clean(first)
-    return F.coalesce(lookup(NICKNAMES, f), f)
+    return bind(_clean(first), lambda f: F.coalesce(lookup(NICKNAMES, f), f))
 
 
 # ---------------------------------------------------------------------------------------

@@ -39,14 +39,15 @@ def after_comma(c: Column) -> Column:
 
 
 def words(c: Column) -> Column:
-    """White-space separated words of a stripped text."""
-    return F.split(c, WS + "+")
+    """White-space separated words of a stripped text.  Splitting on one plain character needs
+    no pattern per row."""
+    return F.split(squeeze(c), " ")
 
 
 def lookup(table: dict[str, str], c: Column) -> Column:
     """Value for ``c`` in a small fixed table, NULL when it has none."""
-    flat = [F.lit(x) for pair in table.items() for x in pair]
-    return F.element_at(F.create_map(*flat), c)
+    quoted = ["'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for pair in table.items() for x in pair]
+    return F.element_at(F.expr(f"map({', '.join(quoted)})"), c)
 
 
 def bind(value: Column, body) -> Column:
