@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import (confidence_band, formal_name, name_key, office_code, parse_name,
                          party_adjusted, party_code, term_cycles)
 from ..functions.matching import _clean, score_parts
+from ..functions.text import bind
 from .legislators import BIOGUIDE, has_text, terms_in_range, has_candidate_ids
 
 PAIR = ["cand_id", "bioguide_id"]
@@ -72,15 +73,17 @@ def _member_campaigns(legislators: DataFrame) -> DataFrame:
         formal_name("name.first").alias("first_formal"),
         _clean("name.suffix").alias("suffix"),
         F.coalesce("name.nickname", F.lit("")).alias("nickname"),
+        _clean("name.nickname").alias("nick"),
+        formal_name("name.nickname").alias("nick_formal"),
         F.explode("terms").alias("t"),
     ).where(has_text("t.state") & has_text("t.type"))
     return terms.select(
-        "bioguide_id", "last", "first", "first_formal", "suffix", "nickname",
+        "bioguide_id", "last", "first", "first_formal", "suffix", "nickname", "nick", "nick_formal",
         F.col("t.state").alias("state"),
         office_code(F.col("t.type")).alias("office"),
         party_code(F.col("t.party")).alias("term_party"),
         F.explode(term_cycles(F.col("t.type"), F.col("t.start"), F.col("t.end"))).alias("cycle"),
-    ).distinct()
+    )
 
 
 def _candidate_campaigns(candidates: DataFrame) -> DataFrame:
@@ -94,7 +97,7 @@ def _candidate_campaigns(candidates: DataFrame) -> DataFrame:
     )
     return parsed.select(
         "*", F.col("cand.last").alias("last"), formal_name("cand.first").alias("cand_formal")
-    ).distinct()
+    )
 
 
 def name_matches(legislators: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -102,19 +105,20 @@ def name_matches(legislators: DataFrame, candidates: DataFrame) -> DataFrame:
 
     Any match needs equal last names, so the last name is part of the join key next to state,
     office and cycle; only real look-alikes meet, and pairs are reduced to their best score
-    before they are sent on.
+    before they are sent on.  Repeated campaigns need no distinct: a pair keeps its maximum.
     """
     met = _member_campaigns(legislators).join(_candidate_campaigns(candidates), _BLOCK)
     tried = lambda first, formal: score_parts(
-        F.col("cand"), F.col("cand_formal"), first, formal, F.col("last"), F.col("suffix"))
-    formal = tried(F.col("first"), F.col("first_formal"))
-    by_nickname = F.when(F.col("nickname") != "", tried(_clean("nickname"), formal_name("nickname"))).otherwise(0.0)
-    scored = met.withColumn("name_score", formal).withColumn(
-        "name_score", F.when(F.col("name_score") > 0, F.col("name_score")).otherwise(by_nickname)
-    )
+        F.col("cand"), F.col("cand_formal"), F.col(first), F.col(formal), F.col("last"), F.col("suffix"))
+    by_nickname = F.when(F.col("nickname") != "", tried("nick", "nick_formal")).otherwise(0.0)
+    name_score = bind(tried("first", "first_formal"), lambda s: F.when(s > 0, s).otherwise(by_nickname))
+    # Exploding the score drops pairs without a match and evaluates it once; a filter on it
+    # would be pushed below the projection and evaluate it again.
+    matched = met.select(
+        *PAIR, "cand_party", "term_party",
+        F.explode(F.filter(F.array(name_score), lambda s: s > 0)).alias("name_score"))
     return (
-        scored.where("name_score > 0")
-        .withColumn("score", party_adjusted(F.col("name_score"), F.col("cand_party"), F.col("term_party")))
+        matched.withColumn("score", party_adjusted(F.col("name_score"), F.col("cand_party"), F.col("term_party")))
         .groupBy(*PAIR)
         .agg(F.max("score").alias("score"))
         .select(*PAIR, F.lit("name_match").alias("match_method"),
