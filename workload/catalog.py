@@ -375,9 +375,11 @@ def transaction_month(spark, d):
 
 @query
 def iso_dates(spark, d):
-    iso = txn(spark, d).select("sub_id", "transaction_dt", fx.iso_date("transaction_dt").alias("iso"),
-                               fx.calendar_date("transaction_dt").cast("string").alias("day"))
-    return iso.groupBy("transaction_dt", "iso", "day").agg(F.count(F.lit(1)).alias("n"))
+    """Each distinct date text is converted once."""
+    dates = txn(spark, d).groupBy("transaction_dt").agg(F.count(F.lit(1)).alias("n"))
+    return dates.select(
+        "transaction_dt", "n", fx.iso_date("transaction_dt").alias("iso"),
+        fx.calendar_date("transaction_dt").cast("string").alias("day"))
 
 
 @query
