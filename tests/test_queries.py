@@ -6,9 +6,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle import compare, connect
+from workload.catalog import QUERIES
+from workload.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def duck():
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
