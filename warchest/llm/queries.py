@@ -7,19 +7,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from warchest.llm.common import table
+from warchest.llm import language_id
+from warchest.llm.common import fold, table
 from warchest.llm.token_counts import count_tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 2048
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id"), 5, 0))
+    model = language_id.train(docs.where(F.col("doc_id").isNotNull() & ~F.col("held_out")))
+    return language_id.predict(docs, model, keep=["doc_id", "held_out"])
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op9_token_counts": op9_token_counts,
 }
 
