@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from warchest.llm import language_id
+from warchest.llm import language_id, simhash
 from warchest.llm.common import fold, table
 from warchest.llm.token_counts import count_tokens
 
@@ -21,6 +21,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -28,6 +33,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op6_simhash": op6_simhash,
     "op9_token_counts": op9_token_counts,
 }
 
