@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from warchest.llm import language_id, simhash
 from warchest.llm.common import fold, table
 from warchest.llm.exact_dedup import exact_duplicates
+from warchest.llm.sharding import shard_rows
 from warchest.llm.token_counts import count_tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 2048
+SHARDS = 8
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,11 +38,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_rows(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
     "op9_token_counts": op9_token_counts,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLES: dict[str, str] = {
