@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from warchest.llm import language_id, simhash
 from warchest.llm.common import fold, table
 from warchest.llm.exact_dedup import exact_duplicates
+from warchest.llm.mixing import mix, taken_words
 from warchest.llm.sharding import shard_rows
 from warchest.llm.token_counts import count_tokens
 
@@ -24,6 +25,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(*mix(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
     "op9_token_counts": op9_token_counts,
