@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from warchest.llm import language_id, simhash
+from warchest.llm import language_id, license_scan, simhash
 from warchest.llm.common import fold, table
 from warchest.llm.exact_dedup import exact_duplicates
 from warchest.llm.mixing import mix, taken_words
@@ -33,6 +33,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    starts = F.transform("base", lambda b: b["first"].cast("long"))
+    base, own = license_scan.labels_of(F.col("base")), license_scan.labels_of(F.col("detections"))
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        license_scan.joined(base).alias("base_labels"), license_scan.joined(F.concat(base, own)).alias("labels"),
+        license_scan.confidence(F.col("detections")).alias("score"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
@@ -52,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_simhash": op6_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
