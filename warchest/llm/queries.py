@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from warchest.llm import language_id, license_scan, simhash
 from warchest.llm.common import fold, table
 from warchest.llm.exact_dedup import exact_duplicates
+from warchest.llm.lm_score import score_texts
 from warchest.llm.mixing import mix, taken_words
 from warchest.llm.sharding import shard_rows
 from warchest.llm.token_counts import count_tokens
@@ -25,6 +26,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id"), 7, 2))
+    return score_texts(docs, F.col("doc_id").isNotNull() & ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(*mix(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken", "source")
 
@@ -62,6 +68,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
