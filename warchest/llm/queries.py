@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from warchest.llm import language_id, license_scan, simhash
 from warchest.llm.common import fold, table
+from warchest.llm.decontaminate import contaminated
 from warchest.llm.exact_dedup import exact_duplicates
 from warchest.llm.lm_score import score_texts
 from warchest.llm.mixing import mix, taken_words
@@ -56,6 +57,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "n_words", F.size("tiles").alias("n_tiles"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_simhash": op6_simhash,
+    "op7_decontamination": op7_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
 }
