@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from warchest.llm import language_id, license_scan, simhash
+from warchest.llm import language_id, license_scan, simhash, toxicity
 from warchest.llm.common import fold, table
 from warchest.llm.decontaminate import contaminated
 from warchest.llm.exact_dedup import exact_duplicates
@@ -62,6 +62,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "coverage", "n_words", F.size("tiles").alias("n_tiles"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id"), 5, 0))
+    model = toxicity.train(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id", "held_out"]).withColumn("predicted", toxicity.verdict(F.col("score")))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
+    "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
 }
