@@ -29,6 +29,7 @@ from warchest.llm.common import col, slices
 LEAST = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 16 << 20
+SLICE = 4 << 20
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
 
@@ -160,20 +161,28 @@ class Items:
                 yield i, [(a, int(stay[b]), n) for a, b, n in tiles]
 
 
+def _blocks(tests: DataFrame, item_id: str, item_text: str, block_bytes: int) -> tuple[DataFrame, list]:
+    """The distinct items, and their (id, text) in blocks of about block_bytes, sent to all executors."""
+    items = tests.where(col(item_text).isNotNull()).groupBy(col(item_text).cast("binary").alias("text")).agg(F.min(col(item_id)).alias("item_id"))
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    count, sent = int(size // block_bytes) + 1, []
+    for b in range(count):
+        own = items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == b).orderBy("item_id", "text").collect()
+        sent.append(tests.sparkSession.sparkContext.broadcast([(r.item_id, bytes(r.text)) for r in own]))
+    return items, sent
+
+
 def contaminated(
     df: DataFrame, tests: DataFrame, *, text: str = "text", keep: list[str] = ("doc_id",), item_id: str = "item_id", item_text: str = "text",
     least: int = LEAST, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The columns `keep` with item_id, coverage, n_words (of the item), and tiles (item_word, doc_word, words)."""
-    spark = df.sparkSession
-    items = tests.where(col(item_text).isNotNull()).groupBy(col(item_text).cast("binary").alias("text")).agg(F.min(col(item_id)).alias("item_id"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
-    blocks = size // block_bytes + 1
+    items, blocks = _blocks(tests, item_id, item_text, block_bytes)
     source = df.select(col(text).cast("binary").alias("\0text"), *[col(c) for c in keep])
-    span = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("item_word", "doc_word", "words")]))
+    names = ("item_word", "doc_word", "words")
     made = [
-        T.StructField("item_id", items.schema["item_id"].dataType), T.StructField("coverage", T.DoubleType()),
-        T.StructField("n_words", T.LongType()), T.StructField("tiles", span),
+        T.StructField("item_id", items.schema["item_id"].dataType), T.StructField("coverage", T.DoubleType()), T.StructField("n_words", T.LongType()),
+        T.StructField("tiles", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in names]))),
     ]
     schema = T.StructType([*source.schema.fields[1:], *made])
     kinds = list(to_arrow_schema(T.StructType(made)).types)
@@ -182,13 +191,12 @@ def contaminated(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Items(sent.value, least)
             for batch in batches:
-                for part in slices(batch, 0, 4 << 20):
+                for part in slices(batch, 0, SLICE):
                     rows, out = [], []
                     for row, data in enumerate(part.column(0).to_pylist()):
                         for i, tiles in index.matches(data, coverage):
                             n = len(index.parts[i])
                             rows.append(row)
-                            names = ("item_word", "doc_word", "words")
                             out.append((index.ids[i], sum(t[2] for t in tiles) / n, n, [dict(zip(names, t, strict=True)) for t in tiles]))
                     if rows:
                         kept = part.take(pa.array(rows)).columns[1:]
@@ -197,9 +205,28 @@ def contaminated(
 
         return run
 
-    found = []
-    for b in range(blocks):  # a stated query set against all rows, in blocks
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        sent = spark.sparkContext.broadcast([(r.item_id, bytes(r.text)) for r in own])  # about block_bytes
-        found.append(source.mapInArrow(scanner(sent), schema))
-    return reduce(DataFrame.unionAll, found)
+    # a stated query set against all rows, in blocks
+    return reduce(DataFrame.unionAll, [source.mapInArrow(scanner(sent), schema) for sent in blocks])
+
+
+def uncontaminated(
+    df: DataFrame, tests: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    least: int = LEAST, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of df that cover no item enough.  Rows are dropped where they are read."""
+    names = df.columns
+
+    def sieve(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Items(sent.value, least)
+            for batch in batches:
+                for part in slices(batch, 0, SLICE):
+                    clean = [next(index.matches(data, coverage), None) is None for data in part.column(0).to_pylist()]
+                    kept = part.filter(pa.array(clean, pa.bool_()))
+                    yield pa.RecordBatch.from_arrays(kept.columns[1:], names=names)
+
+        return run
+
+    for sent in _blocks(tests, item_id, item_text, block_bytes)[1]:
+        df = df.select(col(text).cast("binary").alias("\0text"), *[col(c) for c in df.columns]).mapInArrow(sieve(sent), df.schema)
+    return df
