@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,17 +29,18 @@ def exclude_amendments(df: DataFrame, column: str = "amndt_ind") -> DataFrame:
     return df.where(~is_amended(column))
 
 
-def dedupe(df: DataFrame, key: str = "sub_id", scope: str = "cycle") -> DataFrame:
+def dedupe(df: DataFrame, key: str = "sub_id", scope: str = "cycle", order: Iterable[str] = ()) -> DataFrame:
     """Keep one row per ``key`` (``scope="cycle"``: per key and cycle; ``"global"``: per key).
 
-    The surviving row is the smallest in the order of the remaining columns, so the result
+    The surviving row is the smallest by ``order``, then by the remaining columns, so the result
     does not depend on file order or partitioning.  ``row_number() = 1`` is limited per map
     task before the shuffle, so a key that holds a large share of the rows leaves one row per
     task.  The key leads the sort because its prefix is selective; the cycle's is not.
     """
     keys = [key] + ([CYCLE] if scope == "cycle" else [])
-    order = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
-    ranked = Window.partitionBy(*keys).orderBy(*(order or [F.lit(0)]))
+    columns = dict.fromkeys([*order, *df.columns])
+    by = [F.col(c).asc_nulls_first() for c in columns if c not in keys]
+    ranked = Window.partitionBy(*keys).orderBy(*(by or [F.lit(0)]))
     return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 
@@ -47,11 +48,6 @@ def cycle_slice(df: DataFrame, cycle: int) -> DataFrame:
     return df.where(F.col(CYCLE) == cycle)
 
 
-def without_cycle(df: DataFrame, cycle: int) -> DataFrame:
-    """Rows of all other cycles; rows without a cycle go too."""
-    return df.where(F.col(CYCLE) != cycle)
-
-
 def standardize_names(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: capitalize_name(c) for c in columns if c in df.columns})
 
@@ -69,17 +65,17 @@ def add_transaction_year(df: DataFrame, force: bool = False, date: str = "transa
     return df.select(first, transaction_year(date).alias("transaction_year"), *rest)
 
 
-def changed_values(df: DataFrame, standardized: dict[str, Column], sample: int = 3) -> DataFrame:
-    """Sample of (column, before, after) for values a standardisation would change."""
-    parts = [
-        df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("before"), after.alias("after"))
-        .where(F.col("before").isNotNull() & ~F.col("before").eqNullSafe(F.col("after")))
-        .distinct()
-        .orderBy("before")
-        .limit(sample)
-        for c, after in standardized.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def changed_values(df: DataFrame, standardized: dict[str, Callable[[Column], Column]], sample: int = 3) -> DataFrame:
+    """Sample of (column, before, after) for values a standardisation would change.
+
+    One scan for all columns.  Values are made distinct before they are converted, each is
+    converted once, and the first few of a column are picked before the second shuffle.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("before")) for c in standardized])
+    distinct = df.select(F.inline(pairs)).where("before IS NOT NULL").distinct()
+    after = F.lit(None).cast("string")
+    for c, convert in standardized.items():
+        after = F.when(F.col("column_name") == c, convert(F.col("before"))).otherwise(after)
+    changed = distinct.withColumn("after", after).where(~F.col("before").eqNullSafe(F.col("after")))
+    first = F.row_number().over(Window.partitionBy("column_name").orderBy("before"))
+    return changed.withColumn("_rank", first).where(F.col("_rank") <= sample).drop("_rank")

@@ -10,7 +10,7 @@ from ..specs import SPECS, DatasetSpec
 from .clean import CYCLE, dedupe, exclude_amendments, exclude_memos, is_amended, is_memo, standardize_names
 
 OPEN_CYCLE = 2026
-TOTAL = "decimal(24,2)"
+TOTAL = "decimal(30,2)"
 
 
 def _measures(total: str = "total_amount"):
@@ -27,13 +27,17 @@ def _regrouped(total: str):
     )
 
 
-def countable(df: DataFrame, spec: DatasetSpec, keep: list[str], scope: str = "cycle") -> DataFrame:
+def countable(df: DataFrame, spec: DatasetSpec, keep: list[str], scope: str = "cycle",
+              order: tuple[str, ...] | None = None) -> DataFrame:
     """Transactions that count once: no memos, no amendments, one row per id.
 
-    Only ``keep`` and the keys travel through the de-duplication shuffle.
+    Only ``keep``, the keys and the columns of the survivor's order travel through the
+    de-duplication shuffle.  The order belongs to the family, so every roll-up of it keeps
+    the same rows.
     """
     kept = exclude_amendments(exclude_memos(df, spec.memo), spec.amendment)
-    return dedupe(kept.select(CYCLE, spec.sub_id, *dict.fromkeys(keep)), spec.sub_id, scope)
+    order = spec.survivor_order if order is None else order
+    return dedupe(kept.select(CYCLE, spec.sub_id, *dict.fromkeys([*order, *keep])), spec.sub_id, scope, order)
 
 
 def _payload(spec: DatasetSpec) -> list[str]:
@@ -66,9 +70,8 @@ def rollup(df: DataFrame, spec: DatasetSpec, scope: str = "cycle") -> DataFrame:
 def expenditure_rollups(df: DataFrame, scope: str = "cycle") -> tuple[DataFrame, DataFrame]:
     """By category and by state from one scan, one de-duplication and one fine grouping.
 
-    The fine grouping is marked for caching: it is small, and both results are written by
-    separate jobs.  The caller may ``unpersist`` through either result's lineage by clearing
-    the cache; a lost executor only means recomputing its part.
+    Within one query Spark reuses the exchange of the fine grouping; who writes both results
+    by separate jobs keeps ``fine_expenditures`` instead.
     """
     fine = fine_expenditures(df, scope)
     return (
@@ -119,6 +122,7 @@ def exclusion_audit(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 CANDIDATE_COMMITTEE_TYPES = ("H", "S", "P")
 _INDIVIDUAL = SPECS["committee_transaction_summaries"]  # same raw layout
+_INDIVIDUAL_ORDER = ("cmte_id", "transaction_dt", "transaction_amt")
 
 
 def committee_lookup(committees: DataFrame) -> DataFrame:
@@ -148,7 +152,7 @@ def individual_by_candidate(
     lookup matters.  A committee of two candidates counts for both, and a candidate with
     several legislator ids gets one row per id.
     """
-    rows = countable(contributions, _INDIVIDUAL, ["cmte_id", "transaction_dt", "transaction_amt"], scope)
+    rows = countable(contributions, _INDIVIDUAL, list(_INDIVIDUAL_ORDER), scope, _INDIVIDUAL_ORDER)
     # Month only where it is reported; elsewhere it would split the groups for nothing.
     month = F.when(F.col(CYCLE) == open_cycle, transaction_month("transaction_dt"))
     per_committee = (

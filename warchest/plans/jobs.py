@@ -122,7 +122,7 @@ def standardize(spark: SparkSession, name: str, source: str, target: str, dry_ru
     dates = TABLE_DATE_COLUMNS.get(name, ())
     if dry_run:
         return clean.changed_values(df, {
-            **{c: capitalize_name(c) for c in names}, **{c: iso_date(c, keep_iso=True) for c in dates}})
+            **dict.fromkeys(names, capitalize_name), **dict.fromkeys(dates, lambda c: iso_date(c, keep_iso=True))})
     done = clean.standardize_dates(clean.standardize_names(df, names), dates)
     tables.write_partitioned(done, target)
     return None

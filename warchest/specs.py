@@ -1,7 +1,8 @@
 """Dataset specifications: explicit schemas, roll-up keys and standardisation columns.
 
 Nothing is inferred from data.  Every code, date and ZIP stays a string so that leading
-zeros survive; money is ``decimal(14,2)``; counts and years are integers.
+zeros survive; money is ``decimal(20,2)``, wide enough for absurd amounts to be seen and
+reported; counts and years are integers.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(14, 2)
+MONEY = T.DecimalType(20, 2)
 
 # ---------------------------------------------------------------------------------------
 # Raw column names and order of the bulk files.
@@ -129,6 +130,7 @@ class DatasetSpec:
     amendment: str = "amndt_ind"
     sub_id: str = "sub_id"
     same_file_as: str | None = None
+    tie_break: tuple[str, ...] = ()
 
     @property
     def is_rollup(self) -> bool:
@@ -144,17 +146,26 @@ class DatasetSpec:
         derived = ("election_cycle", "transaction_year")
         return {k: self.mapping.get(k, k) for k in self.group_by if k not in derived}
 
+    @property
+    def survivor_order(self) -> tuple[str, ...]:
+        """Columns that decide which of the rows of one id stays, whatever a roll-up reads."""
+        return self.tie_break or (*self.key_sources.values(), self.date, self.amount)
+
 
 def _stacked(name, prefix, start, columns, *, summary=False, names=(), dates=()):
     return DatasetSpec(name, prefix, start, tuple(columns), summary=summary,
                        name_columns=tuple(names), date_columns=tuple(dates))
 
 
-def _rolled(name, prefix, start, columns, keys, mapping=None, names=(), same_file_as=None):
+def _rolled(name, prefix, start, columns, keys, mapping=None, names=(), same_file_as=None, tie_break=()):
     return DatasetSpec(name, prefix, start, tuple(columns),
                        group_by=("election_cycle", "transaction_year", *keys),
                        mapping=mapping or {}, name_columns=tuple(names),
-                       same_file_as=same_file_as)
+                       same_file_as=same_file_as, tie_break=tuple(tie_break))
+
+
+# Both roll-ups of the expenditure files keep the same row of an id.
+_EXPENDITURE_ORDER = ("cmte_id", "category", "category_desc", "transaction_dt", "transaction_amt", "state")
 
 
 # Families, file prefixes, first cycles, roll-up keys, name and date columns.
@@ -179,9 +190,9 @@ SPECS: dict[str, DatasetSpec] = {
                 ["cmte_id", "cmte_name", "cand_id", "transaction_tp"],
                 {"cmte_name": "name"}, names=["cmte_name"]),
         _rolled("expenditures_by_category", "oppexp", 2004, EXPENDITURE_COLUMNS,
-                ["cmte_id", "category", "category_desc"]),
+                ["cmte_id", "category", "category_desc"], tie_break=_EXPENDITURE_ORDER),
         _rolled("expenditures_by_state", "oppexp", 2004, EXPENDITURE_COLUMNS,
-                ["cmte_id", "state"], same_file_as="expenditures_by_category"),
+                ["cmte_id", "state"], same_file_as="expenditures_by_category", tie_break=_EXPENDITURE_ORDER),
     ]
 }
 

@@ -15,7 +15,7 @@ from warchest.plans import refresh, reports
 from warchest.session import shared_dir
 from warchest.sources import catalog as report_tables
 from warchest.sources import files, tables
-from warchest.specs import LEGISLATOR, SPECS, DatasetSpec, schema_of
+from warchest.specs import LEGISLATOR, MONEY, SPECS, DatasetSpec
 from warchest.streaming import ingest
 
 from .views import view
@@ -295,8 +295,7 @@ def terms_in_range(spark, d):
 def change_audit(spark, d):
     rows = txn(spark, d)
     return clean.changed_values(rows, {
-        "name": fx.capitalize_name("name"), "employer": fx.capitalize_name("employer"),
-        "transaction_dt": fx.iso_date("transaction_dt")})
+        "name": fx.capitalize_name, "employer": fx.capitalize_name, "transaction_dt": fx.iso_date})
 
 
 @query
@@ -541,10 +540,10 @@ def quality_issues(spark, d):
 
 @query
 def amount_check(spark, d):
-    """Totals in millionths, so that some are extreme; net counts, so that some are negative."""
-    return quality.amount_check(rollup.rollup(txn(spark, d), BY_STATE).select(
-        (F.col("total_amount") * 1000000).alias("total_amount"),
-        (F.col("transaction_count") - 5).alias("transaction_count")))
+    """Raw amounts in millionths, so that some totals are extreme; net counts, so that some are negative."""
+    large = txn(spark, d).withColumn("transaction_amt", (F.col("transaction_amt") * 1000000).cast(MONEY))
+    return quality.amount_check(rollup.rollup(large, BY_STATE).withColumn(
+        "transaction_count", F.col("transaction_count") - 5))
 
 
 @query

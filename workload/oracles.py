@@ -105,7 +105,7 @@ def _nulls_first(columns: list[str]) -> str:
     return ", ".join(f"{c} NULLS FIRST" for c in columns)
 
 
-def rolled(name: str, keys: dict[str, str], capitalised: str | None = None) -> str:
+def rolled(name: str, keys: dict[str, str], capitalised: str | None = None, order: list[str] | None = None) -> str:
     """CTE for a roll-up: output key -> raw column."""
     raw = [*keys.values(), "transaction_dt", "transaction_amt"]
     out = ", ".join((f"{cap(src)}" if dst == capitalised else src) + f" AS {dst}" for dst, src in keys.items())
@@ -114,7 +114,7 @@ def rolled(name: str, keys: dict[str, str], capitalised: str | None = None) -> s
       SELECT election_cycle, transaction_year, {names},
         coalesce(sum(transaction_amt), 0) AS total_amount, count(*) AS transaction_count
       FROM (SELECT election_cycle, {year('transaction_dt')} AS transaction_year, {out}, transaction_amt
-        FROM ({counted(', '.join(raw), _nulls_first(raw))}) k) r
+        FROM ({counted(', '.join(raw), _nulls_first(order or raw))}) k) r
       GROUP BY ALL)"""
 
 
@@ -122,8 +122,11 @@ OTH = rolled("oth", {"source_cmte_id": "cmte_id", "dest_cmte_id": "other_id", "d
                      "transaction_tp": "transaction_tp"}, "dest_name")
 PAS2 = rolled("pas2", {"cmte_id": "cmte_id", "cmte_name": "name", "cand_id": "cand_id",
                        "transaction_tp": "transaction_tp"}, "cmte_name")
-CATEGORY = rolled("by_category", {"cmte_id": "cmte_id", "category": "category", "category_desc": "category_desc"})
-STATE = rolled("by_state", {"cmte_id": "cmte_id", "state": "state"})
+# Of rows with one id both roll-ups of the expenditure files keep the same.
+SPENDING_ORDER = ["cmte_id", "category", "category_desc", "transaction_dt", "transaction_amt", "state"]
+CATEGORY = rolled("by_category", {"cmte_id": "cmte_id", "category": "category", "category_desc": "category_desc"},
+                  order=SPENDING_ORDER)
+STATE = rolled("by_state", {"cmte_id": "cmte_id", "state": "state"}, order=SPENDING_ORDER)
 
 LINKS = """links AS (
   SELECT DISTINCT cand_id, bioguide_id FROM member_ids WHERE cand_id IN (SELECT cand_id FROM candidates))"""
@@ -258,18 +261,14 @@ ORACLES: dict[str, str] = {
         CAST(transaction_amt AS DOUBLE) AS transaction_amt, sub_id FROM txn WHERE election_cycle = 2000"""),
     "replace_cycle": duckdb_sql(
         whole("(SELECT * FROM by_state WHERE election_cycle <> 2000 UNION ALL SELECT * FROM later) u", "cmte_id, state"),
-        STATE + ", " + rolled("later", {"cmte_id": "cmte_id", "state": "state"}).replace(
+        STATE + ", " + rolled("later", {"cmte_id": "cmte_id", "state": "state"}, order=SPENDING_ORDER).replace(
             "FROM txn WHERE", "FROM txn WHERE election_cycle = 2000 AND transaction_tp = '24K' AND")),
     "expenditures_two_rollups": duckdb_sql(
         """SELECT 'category' AS kind, election_cycle, transaction_year, cmte_id, category, category_desc,
           NULL::varchar AS state, CAST(total_amount AS DOUBLE) AS total_amount, transaction_count FROM by_category
         UNION ALL SELECT 'state', election_cycle, transaction_year, cmte_id, NULL, NULL, state,
           CAST(total_amount AS DOUBLE), transaction_count FROM by_state""",
-        # The payload that decides between duplicates covers both roll-ups.
-        ", ".join(rolled(n, k).replace(_nulls_first([*k.values(), "transaction_dt", "transaction_amt"]), _nulls_first(
-            ["cmte_id", "category", "category_desc", "transaction_dt", "transaction_amt", "state"])) for n, k in [
-            ("by_category", {"cmte_id": "cmte_id", "category": "category", "category_desc": "category_desc"}),
-            ("by_state", {"cmte_id": "cmte_id", "state": "state"})])),
+        f"{CATEGORY}, {STATE}"),
     "typed_table_load": duckdb_sql(
         """SELECT election_cycle, transaction_year, cmte_id, cmte_name, cand_id, transaction_tp,
           CAST(total_amount AS DOUBLE) AS total_amount, CAST(transaction_count AS int) AS transaction_count
@@ -424,10 +423,7 @@ ORACLES: dict[str, str] = {
     "apply_changes": duckdb_sql("""SELECT s.election_cycle, transaction_year, cmte_id, state,
         CAST(total_amount AS DOUBLE) AS total_amount, transaction_count, content_length
         FROM by_state s JOIN (SELECT election_cycle, count(*) AS content_length FROM txn GROUP BY 1) c
-        ON c.election_cycle = s.election_cycle""",
-        rolled("by_state", {"cmte_id": "cmte_id", "state": "state"}).replace(
-            _nulls_first(["cmte_id", "state", "transaction_dt", "transaction_amt"]),
-            _nulls_first(["cmte_id", "category", "category_desc", "transaction_dt", "transaction_amt", "state"]))),
+        ON c.election_cycle = s.election_cycle""", STATE),
     "refresh_status": duckdb_sql("""SELECT dataset, cycle, coalesce(last_updated, 'unknown') AS last_updated,
         count(*) OVER (PARTITION BY dataset) AS cycles, max(last_updated) OVER (PARTITION BY dataset) AS dataset_updated
         FROM manifest_old"""),
