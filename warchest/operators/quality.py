@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .clean import CYCLE
 
@@ -88,6 +89,36 @@ def key_uniqueness(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
+def raw_value_audit(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per numeric column of ``schema``, over the same columns read as text: values that are there,
+    values that no number can be made of, and values that lose decimals.  One pass."""
+    numbers = [f for f in schema if isinstance(f.dataType, T.NumericType) and f.name in text.columns]
+    facts = []
+    for f in numbers:
+        value = F.trim(f.name)
+        there = value != ""
+        typed = value.try_cast(f.dataType)
+        exact = value.try_cast("decimal(38,12)")
+        facts += [
+            F.count_if(there).alias(f"{f.name} filled"),
+            F.count_if(there & typed.isNull()).alias(f"{f.name} unparsed"),
+            F.count_if(there & typed.isNotNull() & (exact != typed)).alias(f"{f.name} rounded"),
+        ]
+    counted = text.agg(*facts)
+    rows = F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), *[F.col(f"`{f.name} {k}`").alias(k) for k in ("filled", "unparsed", "rounded")])
+        for f in numbers
+    ])
+    return counted.select(F.inline(rows))
+
+
+def width_audit(lines: DataFrame, width: int, sep: str = "|") -> DataFrame:
+    """Per file: lines, and lines with fewer or more fields than ``width``."""
+    fields = F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit(""))) + 1
+    return lines.where("value != ''").groupBy("file", CYCLE).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(fields < width).alias("short_lines"), F.count_if(fields > width).alias("long_lines"))
+
+
 def required_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     """Number of missing values per required column."""
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -1,18 +1,19 @@
-"""Refresh of finished tables, one election cycle at a time."""
+"""Refresh of finished tables by election cycle."""
 
 from __future__ import annotations
 
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.clean import CYCLE
 from ..operators.combine import combine_cycles
 from ..operators.manifest import KEY, STATE
 from ..operators.rollup import fine_expenditures, regroup, rollup
-from ..sources.files import read_dataset
-from ..sources.tables import replace_cycle
+from ..sources.files import cycle_of_file, landing_glob, read_pipe
+from ..sources.tables import replace_cycles
 from ..specs import SPECS, DatasetSpec
 
 log = logging.getLogger(__name__)
@@ -33,30 +34,48 @@ def sort_columns(spec: DatasetSpec) -> list[str]:
     return list(spec.group_by) or [spec.columns[0]]
 
 
-def refresh_cycle(spark: SparkSession, name: str, cycle: int, landing: str, tables: str,
-                  dry_run: bool = False) -> int | None:
-    """Rebuild one cycle of one dataset, and of the dataset that shares its file.
-
-    Returns the row count for a dry run.  Raises ``FileNotFoundError`` without input.
-    """
-    spec = SPECS[name]
-    raw = read_dataset(spark, landing, spec, cycle)
-    if not raw.inputFiles():
-        raise FileNotFoundError(f"no landed file for {name} {cycle}")
-    followers = [s for s in SPECS.values() if s.same_file_as == name]
-    if dry_run:
-        return build(raw, spec).count()
+def store_cycles(raw: DataFrame, spec: DatasetSpec, table: str, cycles: list[int]) -> None:
+    """Rebuild ``cycles`` of a table from their raw rows, and of the tables that share its files.
+    A cycle that has no rows left is emptied."""
+    followers = [s for s in SPECS.values() if s.same_file_as == spec.name]
     if not followers:
-        replace_cycle(build(raw, spec), table_path(tables, name), cycle, sort_columns(spec))
-        return None
-    # One pass over the file; only its small fine grouping is kept for the second write.
+        replace_cycles(build(raw, spec), table, sort_columns(spec), touched=cycles)
+        return
+    # One pass over the files; only their small fine grouping is kept for the second write.
     fine = fine_expenditures(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for s in [spec, *followers]:
-            replace_cycle(regroup(fine, s), table_path(tables, s.name), cycle, sort_columns(s))
+        replace_cycles(regroup(fine, spec), table, sort_columns(spec), touched=cycles)
+        root = table.rstrip("/").rpartition("/")[0]
+        for s in followers:
+            replace_cycles(regroup(fine, s), table_path(root, s.name), sort_columns(s), touched=cycles)
     finally:
         fine.unpersist()
-    return None
+
+
+def refresh_cycles(spark: SparkSession, name: str, cycles: list[int], landing: str, tables: str) -> None:
+    """Rebuild cycles of one dataset, and of the datasets that share its files, in one plan."""
+    spec = SPECS[name]
+    globs = "{" + ",".join(landing_glob(spec, c) for c in sorted(cycles)) + "}"
+    store_cycles(read_pipe(spark, landing, spec.raw_schema, globs), spec, table_path(tables, name), cycles)
+
+
+def preview(spark: SparkSession, name: str, cycles: list[int], landing: str, sample: int = 5) -> DataFrame:
+    """Dry run: (cycle, row_count, sample) of what a refresh would store, the sample as text."""
+    spec = SPECS[name]
+    globs = "{" + ",".join(landing_glob(spec, c) for c in sorted(cycles)) + "}"
+    out = build(read_pipe(spark, landing, spec.raw_schema, globs), spec)
+    first = F.row_number().over(Window.partitionBy(CYCLE).orderBy(*sort_columns(spec)))
+    few = out.withColumn("_rank", first).where(F.col("_rank") <= sample).drop("_rank")
+    few = few.groupBy(CYCLE).agg(F.collect_list(F.to_json(F.struct(*out.columns))).alias("sample"))
+    counts = out.groupBy(CYCLE).agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.join(few, CYCLE).select(F.col(CYCLE).alias("cycle"), "row_count", "sample")
+
+
+def landed_cycles(spark: SparkSession, landing: str, spec: DatasetSpec) -> set[int]:
+    """Cycles of a family that have files, from the listing alone."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", landing_glob(spec)).option("recursiveFileLookup", "true").load(landing)
+    return {r[0] for r in files.select("path").select(cycle_of_file(name)).distinct().collect()}
 
 
 def record_state(change: DataFrame, manifest: str) -> None:
@@ -70,23 +89,40 @@ def apply_changes(spark: SparkSession, changes: DataFrame, landing: str, tables:
                   dry_run: bool = False) -> DataFrame:
     """Rebuild every changed (dataset, cycle); state advances only for those that succeed.
 
-    The change list is small by nature (datasets times cycles), so the driver walks it; the
-    work per entry is a distributed job.  A failing entry does not stop the others.
+    The change list is small by nature (datasets times cycles).  All cycles of a dataset are one
+    plan, one replacement and one state write; only if that fails are its cycles tried one by
+    one, so that a bad cycle does not hold back the others.  A dry run stores nothing and
+    reports the rows each cycle would have.
     """
-    outcome = []
+    outcome, by_dataset = [], {}
     for row in changes.select(*KEY, *STATE).orderBy(*KEY).collect():
-        if row.dataset not in SPECS:
-            outcome.append((row.dataset, row.cycle, "failed", "unknown dataset"))
+        by_dataset.setdefault(row.dataset, []).append(row)
+    for name, rows in by_dataset.items():
+        if name not in SPECS:
+            outcome += [(name, r.cycle, "failed", "unknown dataset", None) for r in rows]
             continue
-        try:
-            refresh_cycle(spark, row.dataset, row.cycle, landing, tables, dry_run)
-            if not dry_run:
-                record_state(spark.createDataFrame([tuple(row)], _STATE_ROW), manifest)
-            outcome.append((row.dataset, row.cycle, "applied", None))
-        except Exception as error:  # noqa: BLE001 - one bad cycle must not stop the rest
-            log.warning("refresh of %s %s failed: %s", row.dataset, row.cycle, error)
-            outcome.append((row.dataset, row.cycle, "failed", str(error).split("\n", 1)[0]))
-    return spark.createDataFrame(outcome, "dataset string, cycle int, status string, error string")
+        landed = landed_cycles(spark, landing, SPECS[name])
+        outcome += [(name, r.cycle, "failed", f"no landed file for {name} {r.cycle}", None) for r in rows if r.cycle not in landed]
+        rows = [r for r in rows if r.cycle in landed]
+        batches = [rows, *([r] for r in rows)] if len(rows) > 1 else [rows] if rows else []
+        for k, batch in enumerate(batches):
+            cycles = [r.cycle for r in batch]
+            try:
+                counts = {}
+                if dry_run:
+                    found = preview(spark, name, cycles, landing).select("cycle", "row_count").collect()
+                    counts = dict.fromkeys(cycles, 0) | {r.cycle: r.row_count for r in found}
+                else:
+                    refresh_cycles(spark, name, cycles, landing, tables)
+                    record_state(spark.createDataFrame([tuple(r) for r in batch], _STATE_ROW), manifest)
+                outcome += [(name, c, "applied", None, counts.get(c)) for c in cycles]
+                if not k:
+                    break
+            except Exception as error:  # noqa: BLE001 - one bad cycle must not stop the rest
+                log.warning("refresh of %s %s failed: %s", name, cycles, error)
+                if len(batch) == 1:
+                    outcome.append((name, cycles[0], "failed", str(error).split("\n", 1)[0], None))
+    return spark.createDataFrame(outcome, "dataset string, cycle int, status string, error string, row_count bigint")
 
 
 def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:

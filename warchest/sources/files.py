@@ -51,10 +51,32 @@ def read_dataset(spark: SparkSession, landing: str, spec: DatasetSpec, cycle: in
     return read_pipe(spark, landing, spec.raw_schema, landing_glob(spec, cycle))
 
 
+def read_raw_text(spark: SparkSession, landing: str, spec: DatasetSpec, cycle: int | None = None) -> DataFrame:
+    """The same files with every column as it was delivered."""
+    plain = T.StructType([T.StructField(c, T.StringType()) for c in spec.columns])
+    return read_pipe(spark, landing, plain, landing_glob(spec, cycle))
+
+
+def read_lines(spark: SparkSession, landing: str, glob: str) -> DataFrame:
+    """(file, cycle, value): the raw lines of landed files."""
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(landing)
+    return lines.select(F.col("_metadata.file_name").alias("file"), cycle_of_file().alias(CYCLE), "value")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
-    """RFC 4180 files with a header.  ``columns`` reaches the parser as a pruned schema."""
-    df = spark.read.schema(schema).option("header", "true").option("escape", '"').csv(path)
-    return df.select(*columns) if columns else df
+    """RFC 4180 files with a header; columns are found by name.
+
+    The header gives the order: a column the schema does not name is skipped, one the file does
+    not have is NULL.  A further file whose header differs fails.  ``columns`` reaches the parser
+    as a pruned schema.
+    """
+    wanted = schema if columns is None else T.StructType([schema[c] for c in columns])
+    reader = spark.read.option("header", "true").option("escape", '"')
+    header = reader.csv(path).columns
+    known = {f.name: f.dataType for f in schema}
+    layout = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header])
+    df = reader.schema(layout).option("enforceSchema", "false").csv(path) if header else spark.createDataFrame([], wanted)
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted])
 
 
 def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import CYCLE
-from ..plans.refresh import build, sort_columns
+from ..plans.refresh import store_cycles
 from ..sources.files import cycle_of_file, landing_glob, read_pipe
-from ..sources.tables import replace_cycles
 from ..specs import DatasetSpec
 
 _ARRIVAL = "path string, modificationTime timestamp, length bigint, content binary"
@@ -35,6 +34,7 @@ def arrivals(spark: SparkSession, landing: str, spec: DatasetSpec) -> DataFrame:
 
 def cycle_ingest(spark: SparkSession, landing: str, spec: DatasetSpec, table: str, checkpoint: str,
                  available_now: bool = True) -> StreamingQuery:
+    """Keep ``table`` up to date, and the tables that share the family's files, in folders next to it."""
     def rebuild(batch: DataFrame, _: int) -> None:
         cycles = [r[0] for r in batch.select(CYCLE).where(F.col(CYCLE).isNotNull()).distinct().collect()]
         if not cycles:
@@ -42,7 +42,7 @@ def cycle_ingest(spark: SparkSession, landing: str, spec: DatasetSpec, table: st
         session = batch.sparkSession
         globs = "{" + ",".join(landing_glob(spec, c) for c in sorted(cycles)) + "}"
         raw = read_pipe(session, landing, spec.raw_schema, globs)
-        replace_cycles(build(raw, spec), table, sort_columns(spec))
+        store_cycles(raw, spec, table, cycles)
 
     writer = (
         arrivals(spark, landing, spec)
