@@ -75,6 +75,7 @@ PARTIES = {
 }
 INCUMBENCY = {"I": "Incumbent", "C": "Challenger", "O": "Open Seat"}
 OFFICES = {"H": "House", "S": "Senate", "P": "President"}
+STATUSES = {"C": "Current", "P": "Prior", "F": "Future"}
 
 CODE_TABLES: dict[str, dict[str, str]] = {
     "cmte_tp": COMMITTEE_TYPES,
@@ -84,6 +85,7 @@ CODE_TABLES: dict[str, dict[str, str]] = {
     "cand_pty_affiliation": PARTIES,
     "cand_ici": INCUMBENCY,
     "cand_office": OFFICES,
+    "cand_status": STATUSES,
 }
 
 OTHER_CATEGORY = "012"
@@ -103,6 +105,11 @@ def fold_category(category: Column) -> Column:
     return F.when(category.isNull() | is_known_category(category), category).otherwise(F.lit(OTHER_CATEGORY))
 
 
+def known_category(category: Column) -> Column:
+    """The other treatment: a non-standard code becomes NULL, to be left out."""
+    return F.when(is_known_category(category), category)
+
+
 def is_candidate_id(c: Column) -> Column:
     """Nine characters that start with the office letter."""
     return F.coalesce(c.rlike(r"\A[HSP].{8}\z"), F.lit(False))

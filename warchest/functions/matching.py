@@ -219,17 +219,17 @@ def term_in_range(start: Column, end: Column, low: int = FIRST_CYCLE, high: int
     return F.coalesce((first <= high) & (last >= low), F.lit(False))
 
 
-def term_cycles(kind: Column, start: Column, end: Column) -> Column:
+def term_cycles(kind: Column, start: Column, end: Column, low_cycle: int = FIRST_CYCLE, high_cycle: int = LAST_CYCLE) -> Column:
     """Election cycles a term was campaigned in: every two years for the House, the first and
-    the re-election cycle for the Senate."""
+    the re-election cycle for the Senate.  Only cycles from ``low_cycle`` to ``high_cycle``."""
     first, last = term_years(start, end)
     opening, closing = first - F.pmod(first, F.lit(2)), last - F.pmod(last, F.lit(2))
-    low, high = F.greatest(opening, F.lit(FIRST_CYCLE)), F.least(last, F.lit(LAST_CYCLE))
+    low, high = F.greatest(opening, F.lit(low_cycle)), F.least(last, F.lit(high_cycle))
     none = F.array().cast("array<int>")
     known = opening.isNotNull() & last.isNotNull()
     house = F.when(known & (low <= high), F.sequence(low, high, F.lit(2))).otherwise(none)
     senate = F.filter(
-        F.array_distinct(F.array(opening, closing)), lambda y: y.between(FIRST_CYCLE, LAST_CYCLE)
+        F.array_distinct(F.array(opening, closing)), lambda y: y.between(low_cycle, high_cycle)
     )
     return F.when(kind == "rep", house).otherwise(senate)
 

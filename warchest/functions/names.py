@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 from .text import bind, squeeze, strip
 
-# Word lists, written in the form title-casing gives them.
-UPPER_WORDS = [
-    "Afl-Cio", "Afl", "Cio", "Pac", "Usa", "Us", "Ibew", "Uaw", "Seiu", "Nea", "Aft", "Ufcw",
-    "Afscme", "Liuna", "Iatse", "Iuoe", "Smart", "Uwua", "Cwa", "Apwu", "Nalc", "Nffe", "Nteu",
-    "Pba", "Fop", "Iaff", "Bctgm", "Usw", "Opeiu", "Ufwa", "Dnc", "Rnc", "Gop", "Llc", "Inc",
-    "Ltd", "Co", "Corp",
+# Words that stay in capitals, roman numerals, particles.
+ACRONYMS = [
+    "AFL-CIO", "AFL", "CIO", "PAC", "USA", "US", "IBEW", "UAW", "SEIU", "NEA", "AFT", "UFCW",
+    "AFSCME", "LIUNA", "IATSE", "IUOE", "SMART", "UWUA", "CWA", "APWU", "NALC", "NFFE", "NTEU",
+    "PBA", "FOP", "IAFF", "BCTGM", "USW", "OPEIU", "UFWA", "DNC", "RNC", "GOP", "LLC", "INC",
+    "LTD", "CO", "CORP",
 ]
-ROMAN_NUMERALS = ["Ii", "Iii", "Iv", "V", "Vi", "Vii", "Viii", "Ix", "X"]
+NUMERALS = ["II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X"]
+# Words are compared after title-casing.
+UPPER_WORDS = ["-".join(p.capitalize() for p in w.split("-")) for w in ACRONYMS]
+ROMAN_NUMERALS = [w.capitalize() for w in NUMERALS]
 PARTICLES = ["De", "La", "Del", "Van", "Von", "Den", "Der", "Le", "Da", "Di", "Du", "Of", "The"]
 ABBREVIATIONS = {"Int'L": "Int'l", "Ass'N": "Ass'n"}  # Intl and Assn are plain title case
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import (confidence_band, formal_name, name_key, office_code, parse_name,
                          party_adjusted, party_code, term_cycles)
-from ..functions.matching import _clean, score_parts
+from ..functions.matching import FIRST_CYCLE, LAST_CYCLE, _clean, score_parts
 from ..functions.text import bind
 from .legislators import BIOGUIDE, has_text, terms_in_range, has_candidate_ids
 
 PAIR = ["cand_id", "bioguide_id"]
 CROSSWALK_COLUMNS = [*PAIR, "match_method", "confidence"]
+CYCLES = (FIRST_CYCLE, LAST_CYCLE)
 
 
 def registered_ids(candidates: DataFrame) -> DataFrame:
@@ -61,10 +62,10 @@ def unverified(legislators: DataFrame, candidates: DataFrame) -> DataFrame:
 _BLOCK = ["state", "office", "cycle", "last"]
 
 
-def _member_campaigns(legislators: DataFrame) -> DataFrame:
+def _member_campaigns(legislators: DataFrame, cycles: tuple[int, int]) -> DataFrame:
     """One row per legislator without declared ids, and per campaign (state, office, cycle)."""
     named = terms_in_range(
-        legislators.where(has_text(BIOGUIDE) & ~has_candidate_ids() & has_text("name.last"))
+        legislators.where(has_text(BIOGUIDE) & ~has_candidate_ids() & has_text("name.last")), *cycles
     )
     terms = named.select(
         F.col(BIOGUIDE).alias("bioguide_id"),
@@ -82,7 +83,7 @@ def _member_campaigns(legislators: DataFrame) -> DataFrame:
         F.col("t.state").alias("state"),
         office_code(F.col("t.type")).alias("office"),
         party_code(F.col("t.party")).alias("term_party"),
-        F.explode(term_cycles(F.col("t.type"), F.col("t.start"), F.col("t.end"))).alias("cycle"),
+        F.explode(term_cycles(F.col("t.type"), F.col("t.start"), F.col("t.end"), *cycles)).alias("cycle"),
     )
 
 
@@ -100,14 +101,14 @@ def _candidate_campaigns(candidates: DataFrame) -> DataFrame:
     )
 
 
-def name_matches(legislators: DataFrame, candidates: DataFrame) -> DataFrame:
+def name_matches(legislators: DataFrame, candidates: DataFrame, cycles: tuple[int, int] = CYCLES) -> DataFrame:
     """Scored matches of legislators without declared ids, best score per pair.
 
     Any match needs equal last names, so the last name is part of the join key next to state,
     office and cycle; only real look-alikes meet, and pairs are reduced to their best score
     before they are sent on.  Repeated campaigns need no distinct: a pair keeps its maximum.
     """
-    met = _member_campaigns(legislators).join(_candidate_campaigns(candidates), _BLOCK)
+    met = _member_campaigns(legislators, cycles).join(_candidate_campaigns(candidates), _BLOCK)
     tried = lambda first, formal: score_parts(
         F.col("cand"), F.col("cand_formal"), F.col(first), F.col(formal), F.col("last"), F.col("suffix"))
     by_nickname = F.when(F.col("nickname") != "", tried("nick", "nick_formal")).otherwise(0.0)
@@ -139,8 +140,17 @@ def resolve(declared: DataFrame, matched: DataFrame, keep: tuple[str, ...] | Non
     return both if keep is None else both.where(F.col("confidence").isin(*keep))
 
 
-def build_crosswalk(legislators: DataFrame, candidates: DataFrame, keep=("high",)) -> DataFrame:
-    return resolve(authoritative(legislators, candidates), name_matches(legislators, candidates), keep)
+def build_crosswalk(legislators: DataFrame, candidates: DataFrame, keep=("high",), cycles: tuple[int, int] = CYCLES) -> DataFrame:
+    """``cycles``: first and last election cycle that campaigns are looked for in."""
+    return resolve(authoritative(legislators, candidates), name_matches(legislators, candidates, cycles), keep)
+
+
+def audit_expansion(crosswalk: DataFrame, candidates: DataFrame, grown: bool = True) -> DataFrame:
+    """(legislator, ids before and after expansion by name), of those who gain ids or of all."""
+    before = crosswalk.groupBy("bioguide_id").agg(F.countDistinct("cand_id").alias("linked"))
+    after = expand_by_name(crosswalk, candidates).groupBy("bioguide_id").agg(F.count(F.lit(1)).alias("expanded"))
+    both = before.join(after, "bioguide_id")
+    return both.where("expanded > linked") if grown else both
 
 
 def apply_overrides(people: DataFrame, overrides: DataFrame, name: str, found: str) -> DataFrame:
@@ -174,22 +184,17 @@ def expand_by_name(crosswalk: DataFrame, candidates: DataFrame) -> DataFrame:
 
 def crosswalk_stats(crosswalk: DataFrame) -> DataFrame:
     """(metric, value, n): pairs by method and by confidence, ids with several partners."""
-    facts = F.array(
-        F.struct(F.lit("match_method").alias("metric"), F.col("match_method").alias("value")),
-        F.struct(F.lit("confidence").alias("metric"), F.col("confidence").alias("value")),
-    )
-    by_label = (
-        crosswalk.select(F.explode(facts).alias("f"))
-        .groupBy("f.metric", "f.value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-    def several(owner: str, text: str) -> DataFrame:
-        sizes = crosswalk.groupBy(owner).agg(F.count(F.lit(1)).alias("size"))
-        return sizes.agg(F.count_if(F.col("size") > 1).alias("n")).select(
-            F.lit("several_partners").alias("metric"), F.lit(text).alias("value"), "n")
-
-    return by_label.unionByName(several("bioguide_id", "bioguide_id")).unionByName(several("cand_id", "cand_id"))
+    columns = ["match_method", "confidence", *PAIR]
+    facts = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in columns])
+    # one pass over the pairs: every column's values are counted together
+    counted = crosswalk.select(F.inline(facts)).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    owner = F.col("metric").isin(PAIR)
+    rows = counted.select(
+        F.when(owner, "several_partners").otherwise(F.col("metric")).alias("metric"),
+        F.when(owner, F.col("metric")).otherwise(F.col("value")).alias("value"),
+        F.when(owner, (F.col("n") > 1).cast("bigint")).otherwise(F.col("n")).alias("n"))
+    none = crosswalk.sparkSession.createDataFrame([("several_partners", c, 0) for c in PAIR], "metric string, value string, n bigint")
+    return rows.unionByName(none).groupBy("metric", "value").agg(F.sum("n").alias("n"))
 
 
 def check_expected(crosswalk: DataFrame, expected: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import capitalize_name, iso_date
 from ..functions.text import lookup
 from ..operators import clean, combine, crosswalk, legislators, manifest, quality, rollup
-from ..sources import files, tables
+from ..sources import catalog, files, tables
 from ..specs import (INDIVIDUAL_COLUMNS, INDIVIDUAL_NAME_COLUMNS, SPECS, TABLE_DATE_COLUMNS,
                      TABLE_NAME_COLUMNS, schema_of)
 from .refresh import apply_changes, table_path
@@ -80,19 +80,24 @@ def add_years(spark: SparkSession, source: str, target: str, force: bool = False
 
 
 def summarize_individuals(spark: SparkSession, root: str, open_cycle: int = rollup.OPEN_CYCLE,
-                          cycle: int | None = None, dry_run: bool = False) -> DataFrame:
-    """Contributions by candidate, linked to legislators through the expanded crosswalk."""
+                          cycle: int | None = None, dry_run: bool = False, expand: bool = True) -> DataFrame:
+    """Contributions by candidate, linked to legislators through the crosswalk, which ``expand`` widens
+    to all ids of a candidate's name.  The table is partitioned by cycle; ``cycle`` replaces one."""
     rows = tables.read_table(spark, table_path(root, INDIVIDUALS))
     rows = rows if cycle is None else clean.cycle_slice(rows, cycle)
     links = tables.read_table_or_none(spark, table_path(root, CROSSWALK))
     candidates = tables.read_table_or_none(spark, table_path(root, "candidate_registrations"))
-    if links is not None and candidates is not None:
+    if expand and links is not None and candidates is not None:
         links = crosswalk.expand_by_name(links, candidates)
     out = rollup.individual_by_candidate(
         rows, tables.read_table(spark, table_path(root, "committee_registrations")), links, open_cycle)
     if not dry_run:
-        order = [clean.CYCLE, "transaction_year", "transaction_month", "cand_id"]
-        tables.write_table(out, table_path(root, INDIVIDUAL_TOTALS), order)
+        order = ["transaction_year", "transaction_month", "cand_id"]
+        target = table_path(root, INDIVIDUAL_TOTALS)
+        if cycle is None:
+            tables.write_partitioned(out, target, order)
+        else:
+            tables.replace_cycle(out, target, cycle, order)
     return out
 
 
@@ -105,10 +110,38 @@ def load_legislators(spark: SparkSession, historical: str, current: str, multi_l
     return legislators.most_recent_first(legislators.merge_legislators(old, new))
 
 
-def create_crosswalk(spark: SparkSession, members: DataFrame, root: str, keep_unverified: bool = False) -> None:
+def create_crosswalk(spark: SparkSession, members: DataFrame, root: str, keep_unverified: bool = False,
+                     overrides: DataFrame | None = None, expected: DataFrame | None = None,
+                     cycles: tuple[int, int] = crosswalk.CYCLES) -> DataFrame | None:
+    """Build and store the crosswalk.  ``overrides`` (name, bioguide_id) correct the legislators'
+    ids first; ``expected`` pairs are checked against the stored table and their status returned."""
     candidates = tables.read_table(spark, table_path(root, "candidate_registrations"))
-    build = crosswalk.unverified if keep_unverified else crosswalk.build_crosswalk
-    tables.write_table(build(members, candidates), table_path(root, CROSSWALK), ["cand_id"])
+    if overrides is not None:
+        full = F.concat_ws(" ", "name.first", "name.last", "name.suffix")
+        named = members.select("*", full.alias("_full"), F.col("id.bioguide").alias("_found"))
+        fixed = crosswalk.apply_overrides(named, overrides, "_full", "_found")
+        members = fixed.withColumn("id", F.col("id").withField("bioguide", F.col("_found"))).select(*members.columns)
+    links = crosswalk.unverified(members, candidates) if keep_unverified else crosswalk.build_crosswalk(
+        members, candidates, cycles=cycles)
+    tables.write_table(links, table_path(root, CROSSWALK), ["cand_id"])
+    if expected is None:
+        return None
+    return crosswalk.check_expected(tables.read_table(spark, table_path(root, CROSSWALK)), expected)
+
+
+# Reporting tables -----------------------------------------------------------------------
+
+
+def load_report_tables(spark: SparkSession, root: str, target: str, since: int | None = None) -> DataFrame:
+    """Load every reporting table whose source is there; returns the violated keys of all."""
+    found = spark.createDataFrame([], "table_name string, key string, row_count bigint")
+    for name, table in catalog.REPORT_TABLES.items():
+        source = tables.read_table_or_none(spark, table_path(root, table.source))
+        if source is None:
+            continue
+        tables.write_table(catalog.report_table(source, table, since if clean.CYCLE in source.columns else None), table_path(target, name))
+        found = found.unionByName(catalog.key_violations(tables.read_table(spark, table_path(target, name)), name))
+    return found
 
 
 # Standardisation and validation ---------------------------------------------------------

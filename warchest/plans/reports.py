@@ -1,7 +1,8 @@
 """Reporting queries over the roll-ups and summaries.
 
 A parameter left out means "for all of them": the query then runs over the whole table and
-carries the parameter as a column.
+carries the parameter as a column.  A result is sorted only where parameters narrow it; a
+result for everybody has no order, as sorting it all would cost a pass and a shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ def _only(df: DataFrame, **wanted) -> DataFrame:
     return df
 
 
+def _sorted(df: DataFrame, narrowed: list, *by: Column) -> DataFrame:
+    return df.orderBy(*by) if any(p is not None for p in narrowed) else df
+
+
 def _sum(column: str, name: str) -> Column:
     return F.sum(column).alias(name)
 
@@ -31,11 +36,12 @@ def _links(crosswalk: DataFrame) -> DataFrame:
 def member_summary(summaries: DataFrame, crosswalk: DataFrame, bioguide_id: str | None = None) -> DataFrame:
     """Financial history of a member, newest cycle first."""
     links = _only(_links(crosswalk), bioguide_id=bioguide_id)
-    return summaries.join(links, "cand_id").select(
+    out = summaries.join(links, "cand_id").select(
         "bioguide_id", "cand_id", F.col(CYCLE).alias("year"), "ttl_receipts", "ttl_disb", "coh_cop",
         "ttl_indiv_contrib", "other_pol_cmte_contrib", "pol_pty_contrib",
         (F.col("cand_contrib") + F.col("cand_loans")).alias("self_funding"),
-    ).orderBy(F.desc("year"))
+    )
+    return _sorted(out, [bioguide_id], F.desc("year"))
 
 
 def top_committees(given: DataFrame, crosswalk: DataFrame, bioguide_id: str | None = None,
@@ -67,12 +73,12 @@ def expenditure_breakdown(by_category: DataFrame, committees: DataFrame, crosswa
     """What a member's principal committee spent its money on."""
     owners = _only(principal_committees(committees, crosswalk), bioguide_id=bioguide_id, election_cycle=cycle)
     spent = by_category.groupBy(CYCLE, "cmte_id", "category", "category_desc").agg(_sum("total_amount", "amount"))
-    return (
+    out = (
         spent.join(owners, [CYCLE, "cmte_id"])
         .groupBy("bioguide_id", CYCLE, "category", "category_desc")
         .agg(_sum("amount", "total_spent"))
-        .orderBy(F.desc("total_spent"))
     )
+    return _sorted(out, [bioguide_id, cycle], F.desc("total_spent"))
 
 
 def committee_received(flows: DataFrame, cmte_id: str | None = None, cycle: int | None = None) -> DataFrame:
@@ -87,17 +93,19 @@ def committee_given(given: DataFrame, summaries: DataFrame, crosswalk: DataFrame
     paid = _only(given, cmte_id=cmte_id, election_cycle=cycle).groupBy(CYCLE, "cmte_id", "cand_id").agg(
         _sum("total_amount", "amount"))
     named = paid.join(summaries.select(CYCLE, "cand_id", "cand_name"), [CYCLE, "cand_id"])
-    return (
+    out = (
         named.join(_links(crosswalk), "cand_id", "left")
         .groupBy(CYCLE, "cmte_id", "cand_id", "cand_name", "bioguide_id")
         .agg(_sum("amount", "contributed"))
-        .orderBy(F.desc("contributed"))
     )
+    return _sorted(out, [cmte_id, cycle], F.desc("contributed"))
 
 
 def committee_search(committees: DataFrame, text: str, k: int = 50) -> DataFrame:
-    """Committees whose name contains ``text`` in any case, most recently registered first."""
-    latest = committees.where(F.col("cmte_nm").ilike(f"%{text}%")).groupBy("cmte_id").agg(
+    """Committees whose name contains ``text`` in any case, most recently registered first.
+    ``%`` and ``_`` are wildcards; a backslash is a backslash."""
+    pattern = "%" + text.replace("\\", "\\\\") + "%"
+    latest = committees.where(F.col("cmte_nm").ilike(pattern)).groupBy("cmte_id").agg(
         F.max(F.struct(CYCLE, "cmte_nm", "cmte_tp")).alias("r"))
     return latest.select(
         "cmte_id", "r.cmte_nm", "r.cmte_tp", F.col(f"r.{CYCLE}").alias("latest_year")
@@ -107,15 +115,15 @@ def committee_search(committees: DataFrame, text: str, k: int = 50) -> DataFrame
 def large_contributions(given: DataFrame, summaries: DataFrame, amount, cycle: int | None = None) -> DataFrame:
     """Contribution totals of at least ``amount``."""
     large = _only(given, election_cycle=cycle).where(F.col("total_amount") >= amount)
-    return large.join(summaries.select(CYCLE, "cand_id", "cand_name"), [CYCLE, "cand_id"]).select(
-        CYCLE, "cmte_name", "cand_name", "total_amount"
-    ).orderBy(F.desc("total_amount"))
+    out = large.join(summaries.select(CYCLE, "cand_id", "cand_name"), [CYCLE, "cand_id"]).select(
+        CYCLE, "cmte_name", "cand_name", "total_amount")
+    return _sorted(out, [cycle], F.desc("total_amount"))
 
 
 def individual_totals(individual: DataFrame, cycle: int | None = None) -> DataFrame:
-    return _only(individual, election_cycle=cycle).groupBy(CYCLE, "cand_id").agg(
-        _sum("total_raised", "total_raised"), _sum("transaction_count", "transaction_count")
-    ).orderBy(F.desc("total_raised"))
+    out = _only(individual, election_cycle=cycle).groupBy(CYCLE, "cand_id").agg(
+        _sum("total_raised", "total_raised"), _sum("transaction_count", "transaction_count"))
+    return _sorted(out, [cycle], F.desc("total_raised"))
 
 
 def monthly_trend(individual: DataFrame, cycle: int) -> DataFrame:
@@ -134,8 +142,9 @@ def count_served(candidates: DataFrame, crosswalk: DataFrame) -> DataFrame:
         F.countDistinct("cand_id").alias("candidates"), F.count(F.lit(1)).alias("registrations"))
 
 
-def fundraising_over_time(summaries: DataFrame) -> DataFrame:
-    return summaries.select("cand_id", CYCLE, "ttl_receipts", "ttl_disb", "coh_cop").orderBy("cand_id", CYCLE)
+def fundraising_over_time(summaries: DataFrame, cand_id: str | None = None) -> DataFrame:
+    out = _only(summaries, cand_id=cand_id).select("cand_id", CYCLE, "ttl_receipts", "ttl_disb", "coh_cop")
+    return _sorted(out, [cand_id], F.col(CYCLE))
 
 
 def funders_of_candidates(given: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def _money(*names: str) -> dict[str, tuple[str, str]]:
 
 _YEAR = {CYCLE: ("year", "int")}
 _PERIOD = {CYCLE: (CYCLE, "int"), "transaction_year": ("transaction_year", "int")}
-_SUMS = {"total_amount": ("total_amount", "double"), "transaction_count": ("transaction_count", "int")}
+_SUMS = {"total_amount": ("total_amount", "double"), "transaction_count": ("transaction_count", "bigint")}
 
 # Reporting tables, their columns and keys.
 REPORT_TABLES: dict[str, ReportTable] = {
@@ -70,3 +70,16 @@ def report_table(df: DataFrame, table: ReportTable, since: int | None = None) ->
     """Typed rows of a reporting table; ``since`` loads recent cycles only."""
     rows = df if since is None else df.where(F.col(CYCLE) >= since)
     return rows.select(*[F.col(src).try_cast(kind).alias(name) for src, (name, kind) in table.columns.items()])
+
+
+def key_violations(df: DataFrame, name: str) -> DataFrame:
+    """(table_name, key, row_count) of keys of a reporting table that are missing or occur twice.
+    A table without a key has none."""
+    key = REPORT_TABLES[name].key
+    text = F.to_json(F.struct(*key)) if key else F.lit(None).cast("string")
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count"))
+    missing = F.lit(False)
+    for c in key:
+        missing = missing | F.col(c).isNull()
+    bad = counted.where((F.col("row_count") > 1) | missing) if key else counted.where(F.lit(False))
+    return bad.select(F.lit(name).alias("table_name"), text.alias("key"), "row_count")

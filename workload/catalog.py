@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from warchest import functions as fx
 from warchest.operators import clean, combine, crosswalk, legislators, manifest, quality, rollup
-from warchest.plans import refresh, reports
+from warchest.plans import jobs, refresh, reports
 from warchest.session import shared_dir
 from warchest.sources import catalog as report_tables
 from warchest.sources import files, tables
@@ -170,7 +170,10 @@ def legislators_scan(spark, d):
     return read.select(
         F.col("id.bioguide").alias("bioguide_id"), F.col("name.last").alias("last_name"),
         F.size("id.fec").cast("bigint").alias("ids"), F.size("terms").cast("bigint").alias("terms"),
-        F.get("terms", F.lit(0))["start"].alias("latest_start"))
+        F.get("terms", F.lit(0))["start"].alias("latest_start"), F.col("name.first").alias("first_name"), F.col("name.nickname").alias("nickname"),
+        F.array_join("id.fec", ",").alias("id_list"), F.array_join(F.transform("terms", lambda t: F.concat(
+            t["start"], F.lit("/"), F.coalesce(t["end"], F.lit("")), F.lit("/"), t["type"], F.lit("/"), t["state"], F.lit("/"),
+            F.coalesce(t["party"], F.lit("")))), ",").alias("term_list"))
 
 
 @query
@@ -184,7 +187,7 @@ def table_sink(spark, d):
 def partitioned_sink(spark, d):
     out = scratch(spark, "partitioned")
     tables.write_partitioned(combine.combine_individuals(raw_rows(txn(spark, d), OTH)), out, ["cmte_id"])
-    return clean.cycle_slice(tables.read_table(spark, out), 2000).select(
+    return tables.read_table(spark, out).select(
         CYCLE, "cmte_id", "name", "employer", "occupation", "transaction_amt", "sub_id")
 
 
@@ -257,6 +260,27 @@ def category_fold(spark, d):
     ).withColumn("label", fx.decode("category"))
 
 
+@query
+def decode_candidate_codes(spark, d):
+    status = F.expr(f"CASE {CYCLE} % 8 WHEN 0 THEN 'C' WHEN 2 THEN 'P' WHEN 4 THEN 'F' ELSE 'X' END")
+    return candidates(spark, d).withColumn("cand_status", status).select(
+        "cand_id", CYCLE, fx.decode("cand_pty_affiliation").alias("party"), fx.decode("cand_ici").alias("incumbency"),
+        fx.decode("cand_office").alias("office"), fx.decode("cand_status").alias("status"))
+
+
+@query
+def decode_transaction_types(spark, d):
+    return txn(spark, d).groupBy("transaction_tp").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "label", fx.decode("transaction_tp"))
+
+
+@query
+def category_exclude(spark, d):
+    """Non-standard categories left out instead of folded."""
+    known = txn(spark, d).withColumn("category", fx.known_category(F.col("category"))).where("category IS NOT NULL")
+    return known.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("transaction_amt").alias("amount"))
+
+
 @query
 def exclude_memos(spark, d):
     return clean.exclude_memos(txn(spark, d)).select(CYCLE, "sub_id", "memo_cd", "transaction_amt")
@@ -300,10 +324,13 @@ def change_audit(spark, d):
 
 @query
 def id_format_check(spark, d):
-    ids = view(spark, d, "member_ids").select("cand_id")
-    return ids.groupBy(F.substring("cand_id", 1, 1).alias("letter")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(fx.is_candidate_id(F.col("cand_id"))).alias("candidate_ids"),
-        F.count_if(fx.is_committee_id(F.col("cand_id"))).alias("committee_ids"))
+    """Candidate ids, committee ids, and committee ids that lack a character."""
+    whole = committees(spark, d).select(F.col("cmte_id").alias("id")).distinct()
+    ids = view(spark, d, "member_ids").select(F.col("cand_id").alias("id")).unionAll(whole).unionAll(
+        whole.select(F.substring("id", 1, 8)).distinct())
+    return ids.groupBy(F.substring("id", 1, 1).alias("letter")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(fx.is_candidate_id(F.col("id"))).alias("candidate_ids"),
+        F.count_if(fx.is_committee_id(F.col("id"))).alias("committee_ids"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -352,7 +379,7 @@ def individual_by_candidate(spark, d):
 
 @query
 def cycle_counts(spark, d):
-    return quality.cycle_counts(txn(spark, d), last=5)
+    return quality.cycle_counts(txn(spark, d), last=2)
 
 
 # ---------------------------------------------------------------------------------------
@@ -469,6 +496,11 @@ def crosswalk_expand(spark, d):
     return crosswalk.expand_by_name(links(spark, d), candidates(spark, d))
 
 
+@query
+def expansion_audit(spark, d):
+    return crosswalk.audit_expansion(links(spark, d), candidates(spark, d), grown=False)
+
+
 @query
 def crosswalk_overrides(spark, d):
     """Overrides named after the members themselves: suffix holders get a corrected id."""
@@ -551,6 +583,79 @@ def key_uniqueness(spark, d):
     return quality.key_uniqueness(committees(spark, d), [CYCLE, "cmte_id"])
 
 
+@query
+def raw_value_audit(spark, d):
+    """Amounts as text, some spoilt, some with a third decimal."""
+    kind = F.length("sub_id") % 5 + F.substring("sub_id", -1, 1).cast("int")
+    text = F.col("transaction_amt").cast("string")
+    spoilt = F.when(kind == 0, F.concat(text, F.lit("x"))).when(kind == 1, F.concat(text, F.lit("5"))).otherwise(text)
+    rows = txn(spark, d).select(F.coalesce(spoilt, F.lit("")).alias("transaction_amt"))
+    return quality.raw_value_audit(rows, OTH.raw_schema)
+
+
+@query
+def raw_width_check(spark, d):
+    """Landed lines, some without their last field, some with one more."""
+    rows = raw_rows(txn(spark, d), OTH)
+    spoilt = DatasetSpec(OTH.name, OTH.prefix, OTH.start_year, ("line",))
+    fields = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in OTH.columns])
+    line = F.when(F.col("sub_id").endswith("3"), F.regexp_replace(fields, r"\|[^|]*\z", "")).when(
+        F.col("sub_id").endswith("4"), F.concat(fields, F.lit("|more"))).otherwise(fields)
+    landing = land(spark, rows.select(CYCLE, line.alias("line")), spoilt, "widths")
+    found = quality.width_audit(files.read_lines(spark, landing, files.landing_glob(OTH)), len(OTH.columns))
+    return found.groupBy(CYCLE).agg(*[F.sum(c).alias(c) for c in ("n_lines", "short_lines", "long_lines")])
+
+
+@query
+def required_nulls(spark, d):
+    return quality.required_nulls(txn(spark, d), ["cmte_id", "transaction_amt", "name", "memo_cd"])
+
+
+@query
+def out_of_range(spark, d):
+    """Transactions dated outside the first year of their cycle."""
+    rows = txn(spark, d).select(CYCLE, "sub_id", "transaction_dt", fx.transaction_year("transaction_dt").alias("transaction_year"))
+    first = F.col(CYCLE) - 1
+    return quality.out_of_range(rows, "transaction_year", first, first)
+
+
+@query
+def report_tables_load(spark, d):
+    """Store the finished tables, load all eight reporting tables, read them back."""
+    root, target = _finished(spark, d), scratch(spark, "reporting")
+    jobs.load_report_tables(spark, root, target)
+    out = None
+    for name, spec in report_tables.REPORT_TABLES.items():
+        loaded = tables.read_table(spark, f"{target}/{name}")
+        total = next((c for c in ("total_amount", "ttl_receipts") if c in loaded.columns), None)
+        part = loaded.agg(F.count(F.lit(1)).alias("row_count"), (F.sum(total) if total else F.lit(None)).cast("double").alias("total"))
+        part = part.select(F.lit(name).alias("table_name"), "row_count", "total")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def report_key_violations(spark, d):
+    return jobs.load_report_tables(spark, _finished(spark, d), scratch(spark, "reporting"))
+
+
+def _finished(spark, d) -> str:
+    """A folder of finished tables, one for each source of a reporting table."""
+    root = scratch(spark, "finished")
+    pacs = committees(spark, d).where("cmte_tp IN ('N', 'Q', 'O')").groupBy(CYCLE, "cmte_id").agg(F.max("cmte_nm").alias("cmte_nm"), F.max("cmte_tp").alias("cmte_tp"))
+    made = {
+        "cand_id_bioguide_crosswalk": links(spark, d),
+        "all_candidate_summaries": raw_rows(summaries(spark, d), SPECS["all_candidate_summaries"]),
+        "committee_registrations": raw_rows(committees(spark, d), SPECS["committee_registrations"]),
+        "pac_party_summaries": raw_rows(pacs, SPECS["pac_party_summaries"]),
+        PAS2.name: rollup.rollup(txn(spark, d), PAS2), OTH.name: rollup.rollup(txn(spark, d), OTH),
+        BY_CATEGORY.name: rollup.rollup(txn(spark, d), BY_CATEGORY), BY_STATE.name: rollup.rollup(txn(spark, d), BY_STATE),
+    }
+    for name, df in made.items():
+        tables.write_table(df, f"{root}/{name}")
+    return root
+
+
 # ---------------------------------------------------------------------------------------
 # Refresh
 # ---------------------------------------------------------------------------------------
@@ -569,9 +674,14 @@ def manifest_force(spark, d):
     return manifest.forced_changes(started, lookback).select("dataset", "cycle", "reason")
 
 
+def _both_spending(spark, root):
+    category, state = (tables.read_table(spark, f"{root}/{s.name}") for s in (BY_CATEGORY, BY_STATE))
+    return category.unionByName(state, allowMissingColumns=True)
+
+
 @query
 def apply_changes(spark, d):
-    """Land the itemized files, apply every change, read the rebuilt table back."""
+    """Land the itemized files, apply every change, read both rebuilt tables back."""
     landing = land(spark, raw_rows(txn(spark, d), BY_STATE), BY_CATEGORY, "apply")
     root = scratch(spark, "applied")
     changes = txn(spark, d).groupBy(F.col(CYCLE).alias("cycle")).agg(F.count(F.lit(1)).alias("content_length")).select(
@@ -579,7 +689,7 @@ def apply_changes(spark, d):
         F.lit(None).cast("string").alias("last_modified"), "content_length")
     refresh.apply_changes(spark, changes, landing, root, f"{root}/manifest")
     state = refresh.read_manifest(spark, f"{root}/manifest").select(F.col("cycle").alias(CYCLE), "content_length")
-    return tables.read_table(spark, f"{root}/expenditures_by_state").join(state, CYCLE)
+    return _both_spending(spark, root).join(state, CYCLE)
 
 
 @query
@@ -595,6 +705,15 @@ def stream_cycle_ingest(spark, d):
     return tables.read_table(spark, f"{root}/table")
 
 
+@query
+def stream_two_tables(spark, d):
+    """New files of a family rebuild every table made of them."""
+    landing = land(spark, raw_rows(txn(spark, d), BY_CATEGORY), BY_CATEGORY, "stream2")
+    root = scratch(spark, "streamed2")
+    ingest.cycle_ingest(spark, landing, BY_CATEGORY, f"{root}/{BY_CATEGORY.name}", f"{root}/state").awaitTermination()
+    return _both_spending(spark, root)
+
+
 # ---------------------------------------------------------------------------------------
 # Reports
 # ---------------------------------------------------------------------------------------
@@ -628,7 +747,7 @@ def committee_given(spark, d):
 
 @query
 def committee_search(spark, d):
-    return reports.committee_search(committees(spark, d), "pac")
+    return reports.committee_search(committees(spark, d), "pac", k=5)
 
 
 @query

@@ -2,13 +2,83 @@
 
 from __future__ import annotations
 
-from warchest.functions import codes as code_tables
-from warchest.functions.matching import NICKNAMES, PARTY_CODES
-
 from .views import duckdb_sql
 
 OPEN_CYCLE = 2002
 
+# Code tables and nicknames, written here so that an error in the library's shows.
+COMMITTEE_TYPES = {
+    "C": "Communication cost", "D": "Delegate committee", "E": "Electioneering communication", "H": "House campaign",
+    "I": "Independent expenditor (person or group)", "N": "PAC - Nonqualified",
+    "O": "Independent expenditure-only (Super PACs)", "P": "Presidential campaign", "Q": "PAC - Qualified",
+    "S": "Senate campaign", "U": "Single candidate independent expenditure", "V": "PAC with non-contribution account",
+    "W": "PAC with non-contribution account - Nonqualified", "X": "Party - Nonqualified", "Y": "Party - Qualified",
+    "Z": "National party nonfederal account",
+}
+DESIGNATIONS = {
+    "A": "Authorized by a candidate", "B": "Lobbyist/Registrant PAC", "D": "Leadership PAC", "J": "Joint fundraiser",
+    "P": "Principal campaign committee", "U": "Unauthorized",
+}
+TRANSACTION_TYPES = {
+    "24A": "Independent expenditure AGAINST candidate", "24E": "Independent expenditure FOR candidate",
+    "24K": "Direct contribution to candidate", "24N": "Communication cost FOR candidate",
+}
+CATEGORIES = {
+    "001": "Administrative/Salary/Overhead Expenses", "002": "Travel Expenses",
+    "003": "Solicitation and Fundraising Expenses", "004": "Advertising Expenses", "005": "Polling Expenses",
+    "006": "Campaign Materials", "007": "Campaign Event Expenses", "008": "Transfers", "009": "Loan Repayments",
+    "010": "Refunds of Contributions", "011": "Political Contributions", "012": "Donations",
+    "101": "Non-Allocable Expenses", "102": "Media Expenditures", "103": "Mass Mailings and Campaign Materials",
+    "104": "State Office Overhead Expenses", "105": "Special Telephone Program Expenditures",
+    "106": "Public Opinion Poll Expenditures", "107": "Fundraising Expenditures",
+}
+PARTIES = {
+    "DEM": "Democratic Party", "REP": "Republican Party", "IND": "Independent", "LIB": "Libertarian Party",
+    "GRE": "Green Party", "CON": "Constitution Party", "REF": "Reform Party",
+}
+INCUMBENCY = {
+    "I": "Incumbent", "C": "Challenger", "O": "Open Seat",
+}
+OFFICES = {
+    "H": "House", "S": "Senate", "P": "President",
+}
+STATUSES = {
+    "C": "Current", "P": "Prior", "F": "Future",
+}
+PARTY_CODES = {
+    "Democrat": "DEM", "Democratic": "DEM", "Republican": "REP", "Independent": "IND", "Libertarian": "LIB",
+    "Green": "GRE", "Liberal": "LIB", "Reform": "REF", "Conservative": "CON", "Democrat-Farmer-Labor": "DFL",
+    "Farmer-Labor": "DFL",
+}
+NICKNAMES = {
+    "bob": "robert", "bobby": "robert", "rob": "robert", "bill": "william", "billy": "william", "will": "william",
+    "jim": "james", "jimmy": "james", "jamie": "james", "mike": "michael", "mick": "michael", "dick": "richard",
+    "rick": "richard", "rich": "richard", "ted": "theodore", "teddy": "theodore", "tom": "thomas", "tommy": "thomas",
+    "joe": "joseph", "joey": "joseph", "dan": "daniel", "danny": "daniel", "dave": "david", "davy": "david",
+    "tony": "antonio", "al": "alan", "ed": "edward", "eddy": "edward", "eddie": "edward", "ned": "edward",
+    "sam": "samuel", "sammy": "samuel", "charlie": "charles", "chuck": "charles", "chas": "charles",
+    "ben": "benjamin", "benny": "benjamin", "jack": "john", "johnny": "john", "jon": "john", "steve": "stephen",
+    "steven": "stephen", "pat": "patrick", "patty": "patricia", "chris": "christopher", "kit": "christopher",
+    "matt": "matthew", "andy": "andrew", "drew": "andrew", "nick": "nicholas", "nicky": "nicholas", "pete": "peter",
+    "jerry": "jerome", "gerry": "gerald", "larry": "lawrence", "lawrie": "lawrence", "harry": "harold",
+    "hal": "harold", "hank": "henry", "liz": "elizabeth", "lizzy": "elizabeth", "beth": "elizabeth",
+    "betty": "elizabeth", "betsy": "elizabeth", "kate": "katherine", "kathy": "katherine", "katie": "katherine",
+    "cathy": "catherine", "maggie": "margaret", "peggy": "margaret", "meg": "margaret", "margie": "margaret",
+    "sue": "susan", "suzy": "susan", "debbie": "deborah", "deb": "deborah", "barb": "barbara", "barbie": "barbara",
+    "jenny": "jennifer", "jen": "jennifer", "cindy": "cynthia", "sandy": "alexander", "mandy": "amanda",
+    "becky": "rebecca", "vicky": "victoria", "tina": "christina", "nancy": "ann", "sally": "sarah", "phil": "philip",
+    "don": "donald", "donny": "donald", "ron": "ronald", "ronny": "ronald", "ray": "raymond", "ken": "kenneth",
+    "kenny": "kenneth", "greg": "gregory", "gregg": "gregory", "walt": "walter", "wally": "walter",
+    "fred": "frederick", "freddy": "frederick", "gene": "eugene", "lenny": "leonard", "len": "leonard",
+    "leo": "leonard", "norm": "norman", "bernie": "bernard", "ernie": "ernest", "arnie": "arnold", "abe": "abraham",
+    "max": "maximilian", "doug": "douglas", "cliff": "clifford", "tim": "timothy", "timmy": "timothy",
+    "bart": "bartholomew", "zach": "zachary", "zack": "zachary", "alex": "alexander", "jeff": "jeffrey",
+    "geoffrey": "jeffrey", "geoff": "geoffrey", "josh": "joshua", "nate": "nathaniel", "nathan": "nathaniel",
+    "nat": "nathaniel", "cy": "cyrus", "ike": "isaac", "izzy": "isidore", "manny": "emmanuel", "mort": "morton",
+    "sy": "seymour", "si": "simon", "vinny": "vincent", "vic": "victor", "vince": "vincent", "wes": "wesley",
+    "frank": "francis", "frankie": "francis", "fran": "frances", "frannie": "frances",
+}
+
 
 def _sql_list(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
@@ -33,10 +103,12 @@ def _title(c: str) -> str:
             f"lambda run: upper(run[1]) || lower(substr(run, 2))), '')")
 
 
-_UPPER = _sql_list(
-    "AFL-CIO AFL CIO PAC USA US IBEW UAW SEIU NEA AFT UFCW AFSCME LIUNA IATSE IUOE SMART UWUA CWA APWU NALC NFFE "
-    "NTEU PBA FOP IAFF BCTGM USW OPEIU UFWA DNC RNC GOP LLC INC LTD CO CORP II III IV V VI VII VIII IX X".split())
-_SMALL = _sql_list("DE LA DEL VAN VON DEN DER LE DA DI DU OF THE".split())
+_UPPER = _sql_list([
+    "AFL-CIO", "AFL", "CIO", "PAC", "USA", "US", "IBEW", "UAW", "SEIU", "NEA", "AFT", "UFCW", "AFSCME", "LIUNA", "IATSE",
+    "IUOE", "SMART", "UWUA", "CWA", "APWU", "NALC", "NFFE", "NTEU", "PBA", "FOP", "IAFF", "BCTGM", "USW", "OPEIU", "UFWA",
+    "DNC", "RNC", "GOP", "LLC", "INC", "LTD", "CO", "CORP", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X",
+])
+_SMALL = _sql_list(["DE", "LA", "DEL", "VAN", "VON", "DEN", "DER", "LE", "DA", "DI", "DU", "OF", "THE"])
 
 
 def _word(w: str, first: str, depth: int = 0) -> str:
@@ -128,6 +200,11 @@ CATEGORY = rolled("by_category", {"cmte_id": "cmte_id", "category": "category",
                   order=SPENDING_ORDER)
 STATE = rolled("by_state", {"cmte_id": "cmte_id", "state": "state"}, order=SPENDING_ORDER)
 
+BOTH_SPENDING = """SELECT election_cycle, transaction_year, cmte_id, category, category_desc, NULL::varchar AS state,
+    CAST(total_amount AS DOUBLE) AS total_amount, transaction_count{more} FROM by_category{join}
+  UNION ALL SELECT election_cycle, transaction_year, cmte_id, NULL, NULL, state,
+    CAST(total_amount AS DOUBLE), transaction_count{more} FROM by_state{join}"""
+
 LINKS = """links AS (
   SELECT DISTINCT cand_id, bioguide_id FROM member_ids WHERE cand_id IN (SELECT cand_id FROM candidates))"""
 
@@ -254,11 +331,15 @@ ORACLES: dict[str, str] = {
     "legislators_scan": duckdb_sql("""SELECT bioguide_id, last_name,
         (SELECT count(*) FROM member_ids i WHERE i.k = m.k) AS ids,
         (SELECT count(*) FROM member_terms t WHERE t.k = m.k) AS terms,
-        (SELECT max(term_start) FROM member_terms t WHERE t.k = m.k) AS latest_start FROM members m"""),
+        (SELECT max(term_start) FROM member_terms t WHERE t.k = m.k) AS latest_start, first_name, nickname,
+        coalesce((SELECT string_agg(cand_id, ',' ORDER BY cand_id) FROM member_ids i WHERE i.k = m.k), '') AS id_list,
+        coalesce((SELECT string_agg(term_start || '/' || coalesce(term_end, '') || '/' || term_type || '/' || state || '/'
+            || coalesce(party, ''), ',' ORDER BY term_start DESC) FROM member_terms t WHERE t.k = m.k), '') AS term_list
+        FROM members m"""),
     "table_sink": duckdb_sql(whole("pas2", "cmte_id, cmte_name, cand_id, transaction_tp"), PAS2),
     "partitioned_sink": duckdb_sql(f"""SELECT election_cycle, cmte_id, {cap('name')} AS name,
         {cap('employer')} AS employer, {cap('occupation')} AS occupation,
-        CAST(transaction_amt AS DOUBLE) AS transaction_amt, sub_id FROM txn WHERE election_cycle = 2000"""),
+        CAST(transaction_amt AS DOUBLE) AS transaction_amt, sub_id FROM txn"""),
     "replace_cycle": duckdb_sql(
         whole("(SELECT * FROM by_state WHERE election_cycle <> 2000 UNION ALL SELECT * FROM later) u", "cmte_id, state"),
         STATE + ", " + rolled("later", {"cmte_id": "cmte_id", "state": "state"}, order=SPENDING_ORDER).replace(
@@ -271,8 +352,49 @@ ORACLES: dict[str, str] = {
         f"{CATEGORY}, {STATE}"),
     "typed_table_load": duckdb_sql(
         """SELECT election_cycle, transaction_year, cmte_id, cmte_name, cand_id, transaction_tp,
-          CAST(total_amount AS DOUBLE) AS total_amount, CAST(transaction_count AS int) AS transaction_count
+          CAST(total_amount AS DOUBLE) AS total_amount, CAST(transaction_count AS BIGINT) AS transaction_count
         FROM pas2 WHERE election_cycle >= 1998""", PAS2),
+    "report_tables_load": duckdb_sql("""SELECT 'fec_candidate_summaries' AS table_name, count(*) AS row_count,
+          CAST(sum(ttl_receipts) AS DOUBLE) AS total FROM summaries
+        UNION ALL SELECT 'fec_committees', count(*), NULL FROM committees
+        UNION ALL SELECT 'fec_candidate_mapping', count(*), NULL FROM links
+        UNION ALL SELECT 'fec_pac_summaries', count(DISTINCT (election_cycle, cmte_id)), NULL FROM committees WHERE cmte_tp IN ('N', 'Q', 'O')
+        UNION ALL SELECT 'fec_committee_to_candidate', count(*), CAST(sum(total_amount) AS DOUBLE) FROM pas2
+        UNION ALL SELECT 'fec_committee_transactions', count(*), CAST(sum(total_amount) AS DOUBLE) FROM oth
+        UNION ALL SELECT 'fec_expenditures_by_category', count(*), CAST(sum(total_amount) AS DOUBLE) FROM by_category
+        UNION ALL SELECT 'fec_expenditures_by_state', count(*), CAST(sum(total_amount) AS DOUBLE) FROM by_state""",
+        f"{PAS2}, {OTH}, {CATEGORY}, {STATE}, {LINKS}"),
+    "report_key_violations": duckdb_sql("""SELECT 'fec_committees' AS table_name,
+        '{"cmte_id":"' || cmte_id || '","year":' || election_cycle || '}' AS "key", count(*) AS row_count
+        FROM committees GROUP BY cmte_id, election_cycle HAVING count(*) > 1"""),
+    "raw_value_audit": duckdb_sql("""SELECT 'transaction_amt' AS column_name, count(amount) AS filled,
+        count(*) FILTER (WHERE kind = 0 AND amount IS NOT NULL) AS unparsed,
+        count(*) FILTER (WHERE kind = 1 AND amount IS NOT NULL) AS rounded
+        FROM (SELECT transaction_amt AS amount, length(sub_id) % 5 + CAST(right(sub_id, 1) AS int) AS kind FROM txn) t"""),
+    "raw_width_check": duckdb_sql("""SELECT election_cycle, count(*) AS n_lines,
+        count(*) FILTER (WHERE sub_id LIKE '%3') AS short_lines, count(*) FILTER (WHERE sub_id LIKE '%4') AS long_lines
+        FROM txn GROUP BY 1"""),
+    "required_nulls": duckdb_sql("""SELECT 'cmte_id' AS column_name, count(*) FILTER (WHERE cmte_id IS NULL) AS null_rows FROM txn
+        UNION ALL SELECT 'transaction_amt', count(*) FILTER (WHERE transaction_amt IS NULL) FROM txn
+        UNION ALL SELECT 'name', count(*) FILTER (WHERE name IS NULL) FROM txn
+        UNION ALL SELECT 'memo_cd', count(*) FILTER (WHERE memo_cd IS NULL) FROM txn"""),
+    "out_of_range": duckdb_sql(f"""SELECT election_cycle, sub_id, transaction_dt, y AS transaction_year FROM (
+          SELECT *, {year('transaction_dt')} AS y FROM txn) t WHERE y < election_cycle - 1 OR y > election_cycle - 1"""),
+    "decode_candidate_codes": duckdb_sql(f"""SELECT cand_id, election_cycle, {_sql_map(PARTIES, 'cand_pty_affiliation')} AS party,
+        {_sql_map(INCUMBENCY, 'cand_ici')} AS incumbency, {_sql_map(OFFICES, 'cand_office')} AS office,
+        {_sql_map(STATUSES, 'status')} AS status
+        FROM (SELECT *, CASE election_cycle % 8 WHEN 0 THEN 'C' WHEN 2 THEN 'P' WHEN 4 THEN 'F' ELSE 'X' END AS status
+          FROM candidates) c"""),
+    "decode_transaction_types": duckdb_sql(f"""SELECT transaction_tp, {_sql_map(TRANSACTION_TYPES, 'transaction_tp')} AS label,
+        count(*) AS n FROM txn GROUP BY 1"""),
+    "category_exclude": duckdb_sql(f"""SELECT category, count(*) AS n, CAST(sum(transaction_amt) AS DOUBLE) AS amount
+        FROM txn WHERE category IN {_sql_list(CATEGORIES)} GROUP BY 1"""),
+    "expansion_audit": duckdb_sql(f"""SELECT bioguide_id, linked, expanded FROM (
+          SELECT bioguide_id, count(DISTINCT cand_id) AS linked FROM links GROUP BY 1) b
+        JOIN (SELECT bioguide_id, count(*) AS expanded FROM (SELECT DISTINCT b.cand_id, l.bioguide_id
+            FROM links l JOIN (SELECT DISTINCT cand_id, {KEY} AS name_key FROM candidates) a ON a.cand_id = l.cand_id
+            JOIN (SELECT DISTINCT cand_id, {KEY} AS name_key FROM candidates) b ON b.name_key = a.name_key
+            WHERE a.name_key <> '') x GROUP BY 1) e USING (bioguide_id)""", LINKS),
     # derived columns, filters
     "combine_cycles": duckdb_sql(f"""SELECT election_cycle, cand_id, {cap('cand_name')} AS cand_name, cand_ici,
         CAST(ttl_receipts AS DOUBLE) AS ttl_receipts, CAST(ttl_disb AS DOUBLE) AS ttl_disb,
@@ -284,10 +406,10 @@ ORACLES: dict[str, str] = {
         CAST(coalesce(ttl_disb, 0) - coalesce(trans_to_auth, 0) AS DOUBLE) AS net_disbursements,
         CAST(coalesce(cand_contrib, 0) + coalesce(cand_loans, 0) AS DOUBLE) AS self_funding FROM summaries"""),
     "decode_codes": duckdb_sql(f"""SELECT election_cycle, cmte_id, cand_id,
-        {_sql_map(code_tables.COMMITTEE_TYPES, 'cmte_tp')} AS type_label,
-        {_sql_map(code_tables.DESIGNATIONS, 'cmte_dsgn')} AS designation_label FROM committees"""),
-    "category_fold": duckdb_sql(f"""SELECT category, n, amount, {_sql_map(code_tables.CATEGORIES, 'category')} AS label
-        FROM (SELECT CASE WHEN category IS NULL OR category IN {_sql_list(code_tables.CATEGORIES)} THEN category
+        {_sql_map(COMMITTEE_TYPES, 'cmte_tp')} AS type_label,
+        {_sql_map(DESIGNATIONS, 'cmte_dsgn')} AS designation_label FROM committees"""),
+    "category_fold": duckdb_sql(f"""SELECT category, n, amount, {_sql_map(CATEGORIES, 'category')} AS label
+        FROM (SELECT CASE WHEN category IS NULL OR category IN {_sql_list(CATEGORIES)} THEN category
           ELSE '012' END AS category, count(*) AS n, CAST(sum(transaction_amt) AS DOUBLE) AS amount
           FROM txn GROUP BY 1) f"""),
     "exclude_memos": duckdb_sql("""SELECT election_cycle, sub_id, memo_cd, CAST(transaction_amt AS DOUBLE) AS
@@ -309,10 +431,11 @@ ORACLES: dict[str, str] = {
             f"""(SELECT * FROM (SELECT DISTINCT '{c}' AS column_name, {c} AS "before", {f(c)} AS "after" FROM txn
             WHERE {c} IS NOT NULL) x WHERE "before" IS DISTINCT FROM "after" ORDER BY "before" LIMIT 3)"""
             for c, f in [("name", cap), ("employer", cap), ("transaction_dt", iso)])),
-    "id_format_check": duckdb_sql("""SELECT substr(cand_id, 1, 1) AS letter, count(*) AS n,
-        count(*) FILTER (WHERE length(cand_id) = 9 AND substr(cand_id, 1, 1) IN ('H', 'S', 'P')) AS candidate_ids,
-        count(*) FILTER (WHERE length(cand_id) = 9 AND substr(cand_id, 1, 1) = 'C') AS committee_ids
-        FROM member_ids GROUP BY 1"""),
+    "id_format_check": duckdb_sql("""SELECT substr(id, 1, 1) AS letter, count(*) AS n,
+        count(*) FILTER (WHERE length(id) = 9 AND substr(id, 1, 1) IN ('H', 'S', 'P')) AS candidate_ids,
+        count(*) FILTER (WHERE length(id) = 9 AND substr(id, 1, 1) = 'C') AS committee_ids
+        FROM (SELECT cand_id AS id FROM member_ids UNION ALL SELECT DISTINCT cmte_id FROM committees
+          UNION ALL SELECT DISTINCT substr(cmte_id, 1, 8) FROM committees) i GROUP BY 1"""),
     # roll-ups
     "committee_transactions": duckdb_sql(whole("oth", "source_cmte_id, dest_cmte_id, dest_name, transaction_tp"), OTH),
     "committee_to_candidate": duckdb_sql(whole("pas2", "cmte_id, cmte_name, cand_id, transaction_tp"), PAS2),
@@ -332,7 +455,7 @@ ORACLES: dict[str, str] = {
     "individual_by_candidate": duckdb_sql("""SELECT election_cycle, transaction_year, transaction_month, cand_id,
         bioguide_id, CAST(total_raised AS DOUBLE) AS total_raised, transaction_count FROM individual""", INDIVIDUAL),
     "cycle_counts": duckdb_sql("""SELECT election_cycle, count(*) AS row_count FROM txn GROUP BY 1
-        ORDER BY 1 DESC LIMIT 5"""),
+        ORDER BY 1 DESC LIMIT 2"""),
     # functions
     "transaction_year": duckdb_sql(
         f"SELECT transaction_dt, count(*) AS n, {year('transaction_dt')} AS transaction_year FROM txn GROUP BY transaction_dt"),
@@ -420,10 +543,10 @@ ORACLES: dict[str, str] = {
     "manifest_force": duckdb_sql("""SELECT dataset, CAST(cycle AS int) AS cycle, 'forced' AS reason FROM (
           SELECT dataset, min(cycle) + length(dataset) - 6 AS start_year, unnest([1998, 2000, 2002]) AS cycle
           FROM manifest_new GROUP BY dataset) d WHERE cycle >= start_year"""),
-    "apply_changes": duckdb_sql("""SELECT s.election_cycle, transaction_year, cmte_id, state,
-        CAST(total_amount AS DOUBLE) AS total_amount, transaction_count, content_length
-        FROM by_state s JOIN (SELECT election_cycle, count(*) AS content_length FROM txn GROUP BY 1) c
-        ON c.election_cycle = s.election_cycle""", STATE),
+    "apply_changes": duckdb_sql(BOTH_SPENDING.format(more=", content_length",
+        join=" JOIN (SELECT election_cycle, count(*) AS content_length FROM txn GROUP BY 1) c USING (election_cycle)"),
+        f"{CATEGORY}, {STATE}"),
+    "stream_two_tables": duckdb_sql(BOTH_SPENDING.format(more="", join=""), f"{CATEGORY}, {STATE}"),
     "refresh_status": duckdb_sql("""SELECT dataset, cycle, coalesce(last_updated, 'unknown') AS last_updated,
         count(*) OVER (PARTITION BY dataset) AS cycles, max(last_updated) OVER (PARTITION BY dataset) AS dataset_updated
         FROM manifest_old"""),
@@ -456,7 +579,7 @@ ORACLES: dict[str, str] = {
         LEFT JOIN links l ON l.cand_id = s.cand_id GROUP BY ALL""", f"{PAS2}, {LINKS}"),
     "committee_search": duckdb_sql("""SELECT cmte_id, max_by(cmte_nm, election_cycle) AS cmte_nm,
         max_by(cmte_tp, election_cycle) AS cmte_tp, max(election_cycle) AS latest_year
-        FROM committees WHERE cmte_nm ILIKE '%pac%' GROUP BY cmte_id ORDER BY latest_year DESC, cmte_id LIMIT 50"""),
+        FROM committees WHERE cmte_nm ILIKE '%pac%' GROUP BY cmte_id ORDER BY latest_year DESC, cmte_id LIMIT 5"""),
     "large_contributions": duckdb_sql("""SELECT p.election_cycle, cmte_name, cand_name,
         CAST(total_amount AS DOUBLE) AS total_amount
         FROM pas2 p JOIN summaries s ON s.cand_id = p.cand_id AND s.election_cycle = p.election_cycle
