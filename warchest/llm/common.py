@@ -30,13 +30,26 @@ def fold(doc_id: Column, parts: int, which: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)) == which, F.lit(False))
 
 
+#: Tables that spool has written and release has not yet removed.
+SPOOLED: list[str] = []
+
+
 def spool(df: DataFrame, label: str, *by: str) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.partitionBy(*by).parquet(path)
+    SPOOLED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove what spool wrote so far.  Call it once the results that read it are stored."""
+    jvm = spark.sparkContext._jvm
+    while SPOOLED:
+        path = jvm.org.apache.hadoop.fs.Path(SPOOLED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch whose texts have at most `limit` bytes, or of one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
