@@ -8,7 +8,7 @@ import corpus_pipeline
 from test_llm_decontaminate import naive
 from test_llm_mixing import slow_fill
 from test_llm_sharding import places
-from test_llm_simhash import slow_components, slow_fingerprint
+from test_llm_near_copies import slow_classes
 from warchest.llm.decontaminate import words_of
 from warchest.llm.mixing import by_turns
 
@@ -44,7 +44,7 @@ def test_language(spark, docs):
 
 def test_near_duplicates(spark, docs):
     rows = sorted(docs.collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.text or ""))
-    classes = slow_components(list(range(len(rows))), [slow_fingerprint(r.text) for r in rows])
+    classes = slow_classes([r.text for r in rows])
     want = Counter(tuple(rows[i]) for i in sorted(set(classes)))  # the smallest id, missing ids last
     got = rows_of(STAGES["near_duplicates"](spark, docs, SF_DIR))
     assert {r[:2] for r in got} == {r[:2] for r in want} and sum(got.values()) == sum(want.values())

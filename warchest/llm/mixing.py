@@ -189,7 +189,7 @@ def mixed_documents(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id"
     rows = rows.select("row", F.col(f"row.`{doc_id}`").alias("doc_id"), F.col(f"row.`{source}`").cast("string").alias("source"), size.alias("size"))
     rows = rows.select("row", same.alias("same"))
     rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("same").orderBy(F.xxhash64(F.col(f"row.`{text}`")))).cast("long"))
-    met = rows.join(plan, ["same", "copy"])
+    met = rows.join(plan.hint("merge"), ["same", "copy"])  # the plan grows with the documents: never broadcast
     words = F.split(F.regexp_replace(F.col(f"row.`{text}`"), f"^{BLANKS}", ""), BLANKS)
     part = F.array_join(F.slice(words, F.col("from_word").cast("int") + 1, (F.col("to_word") - F.col("from_word")).cast("int")), " ")
     whole = (F.col("from_word") == 0) & (F.col("to_word") == F.col("size"))

@@ -97,11 +97,11 @@ def shard_documents(df: DataFrame, shards: int, *, text: str = "text", doc_id: s
     """The rows of df with `shard` and `slot`."""
     keys = _keys(df, text, doc_id)
     found, n = numbered(df.select(*keys))
-    kept = F.struct(*[col(c) for c in df.columns]).alias("row")
-    rows = df.select(*keys, kept)
-    same = [rows[c].eqNullSafe(found[c]) for c in ("doc_id", "size", "text_crc32")]
-    met = rows.join(found, same[0] & same[1] & same[2]).select(rows["*"], found["first"])
-    turn = F.row_number().over(Window.partitionBy("doc_id", "size", "text_crc32").orderBy("first"))
+    # one text key without nulls, so that the join and the turns share one shuffle of the rows
+    same = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "size", "text_crc32").alias("same")
+    rows = df.select(*keys, F.struct(*[col(c) for c in df.columns]).alias("row")).select(same, "row")
+    met = rows.join(found.select(same, "first").hint("merge"), "same")
+    turn = F.row_number().over(Window.partitionBy("same").orderBy("first"))
     met = met.withColumn("row_number", F.col("first") + turn - 1)
     return _placed(met.select("row", "row_number"), n, shards, seed).select("row.*", "shard", "slot")
 
