@@ -6,8 +6,8 @@ is a state; a seen n-gram is an arc with its smoothed log-probability; a state f
 cost of log10(1 - r).  A text starts in the state of its beginning and is read once from left to right: follow the
 arc of the word, or fail until there is one.
 
-Counts cover every training document and are as many as the corpus has n-grams, so no machine holds the automaton.  Documents
-are dealt into blocks of bounded size by a hash.  Each block sends its distinct n-grams with their local counts to buckets,
+Counts cover every training document and are as many as the corpus has n-grams, so no machine holds the automaton.  A first
+pass adds up the words for the totals.  Then documents are dealt into blocks of bounded size by a hash.  Each block sends its distinct n-grams with their local counts to buckets,
 each bucket adds them up and answers each block in the block's order, and each block builds the part of the automaton that its own texts
 can reach.  A frequent word or n-gram is one entry a block, so none is hot.  The number of blocks and of buckets follows
 the bytes of text.  N-grams travel as 64-bit hashes: two of D n-grams are taken for one with probability D / 2**64 a lookup.
@@ -18,16 +18,17 @@ probability 1.  Rows are independent: repeated rows give repeated results, and c
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import count
 from math import log10
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from warchest.llm.common import col, spool
+from warchest.llm.common import col
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: r for n-grams of 2, 3, ... words.
 TRUST = (0.35, 0.5)
 _BEGIN, _END = b" begin", b" end"  # no words, as they hold a blank
@@ -39,12 +40,6 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _key(word: bytes) -> int:
-    from xxhash import xxh3_64_intdigest
-
-    return xxh3_64_intdigest(word)
-
-
 def pack(values: np.ndarray) -> bytes:
     """Bytes of one significance together, so that small values compress well."""
     return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -58,7 +53,9 @@ class Block:
     """The n-grams of some texts.  Each text is its beginning, its words and its end."""
 
     def __init__(self, texts: list, order: int) -> None:
-        known: defaultdict = defaultdict(lambda: len(known))
+        from xxhash import xxh3_64_intdigest
+
+        known: defaultdict = defaultdict(count().__next__)
         known[_BEGIN], known[_END]
         get, parts = known.__getitem__, []
         for t in texts:
@@ -69,21 +66,25 @@ class Block:
             parts.append(part)
         self.lengths = np.array([len(p) for p in parts])
         self.starts = np.r_[0, np.cumsum(self.lengths)[:-1]].astype(np.int64)
-        self.ids = np.concatenate(parts)
-        self.words = len(known)
-        keys = np.fromiter(map(_key, known), np.uint64, len(known))
+        self.ids = np.concatenate(parts)  # of words, numbered as they came
+        keys = np.fromiter(map(xxh3_64_intdigest, known), np.uint64, len(known))
+        del known, get
         place = np.arange(len(self.ids)) - np.repeat(self.starts, self.lengths)
         #: for each length: positions where such n-grams end, their distinct keys (sorted), and which one each is.
         self.at, self.keys, self.which = [], [], []
         own = hashes = keys[self.ids]
         for k in range(1, order + 1):
-            if k > 1:
+            if k == 1:
+                at = np.arange(len(self.ids))
+                distinct, which = np.unique(keys, return_inverse=True)
+                which = which[self.ids]
+            else:
                 hashes = np.r_[np.uint64(0), _mix(hashes[:-1], own[1:])]
-            at = np.flatnonzero(place >= k - 1)
-            distinct, which = np.unique(hashes[at], return_inverse=True)
+                at = np.flatnonzero(place >= k - 1)
+                distinct, which = np.unique(hashes[at], return_inverse=True)
             self.at.append(at)
             self.keys.append(distinct)
-            self.which.append(which.astype(np.int64))
+            self.which.append(which)
 
     def counts(self, k: int, taught: np.ndarray) -> np.ndarray:
         use = np.repeat(taught, self.lengths)[self.at[k]]
@@ -97,24 +98,60 @@ def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 ASKED = "bucket int, block int, n int, keys binary, counts binary"
-ANSWER = "block int, n int, bucket int, counts binary, tokens long, kinds long, once long, twice long"
+ANSWER = "block int, n int, bucket int, counts binary"
+_ASKED = [("bucket", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+#: Distinct words that a task holds before it sends their counts on.
+HELD = 400_000
+
+
+def _pieces(keys: np.ndarray, counts: np.ndarray, buckets: int):
+    """(bucket, keys, counts) of sorted keys, packed; the keys as steps."""
+    ends = _bounds(keys, buckets)
+    for b in range(buckets):
+        a, z = ends[b], ends[b + 1]
+        if a < z:
+            yield b, pack(np.diff(keys[a:z], prepend=np.uint64(0))), pack(counts[a:z])
+
+
+def _count_words(buckets: int):
+    """Words of the training rows, counted where they are read."""
+    def count_words(batches):
+        from xxhash import xxh3_64_intdigest
+
+        def send(counts: Counter) -> pa.RecordBatch:
+            keys = np.fromiter(map(xxh3_64_intdigest, counts), np.uint64, len(counts))
+            order = np.argsort(keys)
+            rows = list(_pieces(keys[order], np.fromiter(counts.values(), np.int64, len(counts))[order], buckets))
+            return pa.RecordBatch.from_pydict(dict(zip(("bucket", "keys", "counts"), zip(*rows, strict=True), strict=True)), schema=pa.schema([_ASKED[0], *_ASKED[3:]]))
+
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update((text or b"").lower().split())
+                counts[_END] += 1
+                if len(counts) >= HELD:
+                    yield send(counts)
+                    counts.clear()
+        if counts:
+            yield send(counts)
+
+    return count_words
+
+
+def _sum_words(table: pa.Table) -> pa.Table:
+    keys = np.concatenate([np.cumsum(unpack(k), dtype=np.uint64) for k in table["keys"].to_pylist()])
+    distinct, which = np.unique(keys, return_inverse=True)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, which, np.concatenate([unpack(c) for c in table["counts"].to_pylist()]).astype(np.int64))
+    return pa.table({"tokens": [int(total.sum())], "kinds": [len(total)], "once": [int((total == 1).sum())], "twice": [int((total == 2).sum())]})
 
 
 def _ask(order: int, buckets: int):
     def ask(table: pa.Table) -> pa.Table:
         block = Block(table["text"].to_pylist(), order)
-        taught = table["taught"].to_numpy().astype(bool)
-        number, out = table["block"][0].as_py(), {"bucket": [], "block": [], "n": [], "keys": [], "counts": []}
-        for k in range(order):
-            keys, counts = block.keys[k], block.counts(k, taught)
-            ends = _bounds(keys, buckets)
-            for b in range(buckets):
-                a, z = ends[b], ends[b + 1]
-                if a < z:
-                    row = (b, number, k + 1, pack(np.diff(keys[a:z], prepend=np.uint64(0))), pack(counts[a:z]))
-                    for name, value in zip(out, row, strict=True):
-                        out[name].append(value)
-        return pa.table(out, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+        taught, number = table["taught"].to_numpy().astype(bool), table["block"][0].as_py()
+        rows = [(b, number, k + 1, keys, counts) for k in range(order) for b, keys, counts in _pieces(block.keys[k], block.counts(k, taught), buckets)]
+        return pa.table([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _ASKED, strict=True)], names=[n for n, _ in _ASKED])
 
     return ask
 
@@ -122,7 +159,6 @@ def _ask(order: int, buckets: int):
 def _answer(table: pa.Table) -> pa.Table:
     rows, bucket = [], table["bucket"][0].as_py()
     data = list(zip(*(table[c].to_pylist() for c in ("block", "n", "keys", "counts")), strict=True))
-    begin = np.uint64(_key(_BEGIN))
     for n in sorted({r[1] for r in data}):
         own = [r for r in data if r[1] == n]
         keys = [np.cumsum(unpack(r[2]), dtype=np.uint64) for r in own]
@@ -131,77 +167,52 @@ def _answer(table: pa.Table) -> pa.Table:
         np.add.at(total, which, np.concatenate([unpack(r[3]) for r in own]).astype(np.int64))
         at = 0
         for r, k in zip(own, keys, strict=True):
-            rows.append((r[0], n, bucket, pack(total[which[at : at + len(k)]]), None, None, None, None))
+            rows.append((r[0], n, bucket, pack(total[which[at : at + len(k)]])))
             at += len(k)
-        if n == 1:
-            seen = total[(total > 0) & (distinct != begin)]
-            rows.append((-1, 1, bucket, None, int(seen.sum()), len(seen), int((seen == 1).sum()), int((seen == 2).sum())))
-    kinds = [pa.int32()] * 3 + [pa.binary()] + [pa.int64()] * 4
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in ANSWER.split(", ")])
+    kinds = [pa.int32()] * 3 + [pa.binary()]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["block", "n", "bucket", "counts"])
 
 
 class Automaton:
-    """The states and arcs that the texts of a block can reach."""
+    """The states and arcs that the texts of a block can reach, laid along their words.
+
+    At each position there is one state for each n-gram length below the order, the seen n-gram that ends before it.
+    `arcs[k]` holds the weight of the arc that the state of k words has for the word there, or nan; `cost[k]` is the
+    weight of failing from k words to k - 1.  An arc of k + 1 words leads to the state of as many words, at most order - 1."""
 
     def __init__(self, block: Block, totals: list[np.ndarray], facts: tuple[int, int, int, int], trust: tuple[float, ...]) -> None:
         tokens, kinds, once, twice = facts
-        order, words = len(totals), block.words
         discount = once / (once + 2 * twice) if once and twice else 0.5
         self.unknown = log10(discount * kinds / tokens) if tokens else 0.0
-        single = totals[0][block.which[0]]  # by position
-        chance = np.where(single > 0, (single - discount) / max(tokens, 1), 1.0)
-        first = np.r_[1, 1 + np.cumsum([len(k) for k in block.keys])]  # state 0 is the root
-        fail, cost = np.zeros(first[-1], np.int64), np.zeros(first[-1])
-        codes, weights, nexts = [], [], []
-        for k in range(order):
-            at, which, total = block.at[k], block.which[k], totals[k]
-            if k:
-                shorter = np.zeros(len(block.ids), np.int64)
-                shorter[block.at[k - 1]] = totals[k - 1][block.which[k - 1]]
-                seen, context = total[which], shorter[at - 1]
-                full = np.where(context > 0, trust[k - 1] * seen / np.maximum(context, 1) + (1 - trust[k - 1]) * chance[at], chance[at])
-                chance = chance.copy()
-                chance[at] = full
-            one = np.unique(which, return_index=True)[1]  # a position for each distinct n-gram
-            here = at[one]
-            live = total > 0
-            if k == 0:
-                live &= block.ids[here] != 0
-                source = np.zeros(len(one), np.int64)
-            else:
-                before = np.zeros(len(block.ids), np.int64)
-                before[block.at[k - 1]] = block.which[k - 1] + first[k - 1]
-                source = before[here - 1]
-            if k < order - 1:
-                state = first[k] + np.arange(len(one))
-                if k:
-                    fail[state] = before[here]
-                cost[state] = log10(1 - trust[k])
-                target = state
-            else:
-                target = before[here] if k else np.zeros(len(one), np.int64)
-            codes.append((source * words + block.ids[here])[live])
-            weights.append(np.log10(chance[here][live]))
-            nexts.append(target[live])
-        codes, self.weights, self.nexts = np.concatenate(codes), np.concatenate(weights).tolist(), np.concatenate(nexts).tolist()
-        self.arcs = dict(zip(codes.tolist(), range(len(codes)), strict=True))
-        self.fail, self.cost, self.words = fail.tolist(), cost.tolist(), words
-        begin = block.which[0][block.starts[:1]]
-        self.begin = int(begin[0] + 1) if order > 1 and len(begin) and totals[0][begin[0]] > 0 else 0
-
-    def read(self, ids: list[int]) -> float:
-        """log10 probability of a text's words and end, read from left to right."""
-        arcs, weights, nexts, fail, cost, words = self.arcs.get, self.weights, self.nexts, self.fail, self.cost, self.words
-        state, total = self.begin, 0.0
-        for w in ids:
-            while (arc := arcs(state * words + w)) is None and state:
+        shorter = totals[0][block.which[0]]  # counts by position
+        chance = np.where(shorter > 0, (shorter - discount) / max(tokens, 1), 10.0**self.unknown)
+        with np.errstate(divide="ignore"):
+            self.arcs = [np.where(shorter > 0, np.log10(chance), np.nan)]
+        for k in range(1, len(totals)):
+            at = block.at[k]
+            seen, context = totals[k][block.which[k]], shorter[at - 1]
+            full = trust[k - 1] * seen / np.maximum(context, 1) + (1 - trust[k - 1]) * chance[at]
+            chance[at] = np.where(context > 0, full, chance[at])
+            shorter = np.zeros_like(shorter)
+            shorter[at] = seen
+            self.arcs.append(np.where(shorter > 0, np.log10(chance), np.nan))
+        self.cost = [0.0, *(log10(1 - r) for r in trust[: len(totals) - 1])]
+        first = block.which[0][block.starts[:1]]
+        self.begin = int(len(totals) > 1 and len(first) and totals[0][first[0]] > 0)
+
+    def read(self, start: int, end: int) -> float:
+        """log10 probability of the words from start to end, read from left to right."""
+        top, state, total, unknown, cost = len(self.arcs) - 1, self.begin, 0.0, self.unknown, self.cost
+        for weights in zip(*(a[start:end].tolist() for a in self.arcs), strict=True):
+            while (w := weights[state]) != w and state:
                 total += cost[state]
-                state = fail[state]
-            if arc is None:
-                total += self.unknown
+                state -= 1
+            if w != w:
+                total += unknown
             else:
-                total += weights[arc]
-                state = nexts[arc]
+                total += w
+                if state < top:
+                    state += 1
         return total
 
 
@@ -212,13 +223,13 @@ def _read(order: int, facts: tuple[int, int, int, int], trust: tuple[float, ...]
         if not docs.num_rows:
             return None
         block = Block(docs["text"].to_pylist(), order)
-        data = sorted(zip(answers["n"].to_pylist(), answers["bucket"].to_pylist(), answers["counts"].to_pylist(), strict=True), key=lambda r: r[:2])
+        data = sorted(zip(*(answers[c].to_pylist() for c in ("n", "bucket", "counts")), strict=True), key=lambda r: r[:2])
         totals = [np.concatenate([np.zeros(0, np.uint64), *(unpack(c) for n, _, c in data if n == k)]).astype(np.int64) for k in range(1, order + 1)]
         automaton = Automaton(block, totals, facts, trust)
         single = totals[0][block.which[0]]
         single[block.starts] = -1  # the beginning is no token
         base = np.where(single >= 0, np.log10((np.maximum(single, 0) + 1) / (tokens + kinds + 1)), 0.0)
-        scores = [automaton.read(block.ids[a + 1 : a + n].tolist()) for a, n in zip(block.starts.tolist(), block.lengths.tolist(), strict=True)]
+        scores = [automaton.read(a + 1, a + n) for a, n in zip(block.starts.tolist(), block.lengths.tolist(), strict=True)]
         made = {
             "n_tokens": pa.array(block.lengths - 1, pa.int64()), "n_known": pa.array(np.add.reduceat(single > 0, block.starts, dtype=np.int64), pa.int64()),
             "train_tokens": pa.array([tokens] * docs.num_rows, pa.int64()),
@@ -242,11 +253,12 @@ def score_texts(
     docs = df.select(col(text).cast("binary").alias("text"), F.coalesce(taught, F.lit(False)).alias("taught"), *kept)
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     blocks = max(int(size // block_bytes) + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = docs.where("taught").select("text").mapInArrow(_count_words(blocks), "bucket int, keys binary, counts binary")
+    facts = words.groupBy("bucket").applyInArrow(_sum_words, "tokens long, kinds long, once long, twice long")
+    facts = tuple(facts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "kinds", "once", "twice")]).first())
+    # both uses of the blocks take the same columns, so that the texts are shuffled once
     docs = docs.withColumn("block", F.pmod(F.xxhash64("text", "k0"), F.lit(blocks)).cast("int"))
-    asked = docs.select("block", "text", "taught").groupBy("block").applyInArrow(_ask(order, blocks), ASKED)
-    answers = spool(asked.groupBy("bucket").applyInArrow(_answer, ANSWER), "counts")
-    totals = answers.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "kinds", "once", "twice")]).first()
+    answers = docs.groupBy("block").applyInArrow(_ask(order, blocks), ASKED).groupBy("bucket").applyInArrow(_answer, ANSWER)
     fields = [df.select(col(c)).schema[0] for c in keep]
     fields += [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]
-    replies = answers.where("block >= 0").select("block", "n", "bucket", "counts")
-    return docs.drop("taught").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_read(order, tuple(totals), trust, list(keep)), T.StructType(fields))
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_read(order, facts, trust, list(keep)), T.StructType(fields))
