@@ -85,7 +85,8 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label:
     taught = docs.where(col(text).isNotNull() & col(doc_id).isNotNull()).select(col(doc_id).alias("doc_id"), col(text).alias("text"))
     made = map_texts(taught, "text", ["doc_id"], [T.StructField("own", kind), T.StructField("other", kind)], start, binary=True)
     marks = labels.where(col(label).isNotNull()).select(col(doc_id).alias("doc_id"), (col(label) > 0).cast("int").alias("toxic"))
-    return made.join(marks, "doc_id").select("doc_id", "toxic", "own", "other")
+    # labels grow with the documents: never broadcast
+    return made.join(marks.hint("merge"), "doc_id").select("doc_id", "toxic", "own", "other")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
