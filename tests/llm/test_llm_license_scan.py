@@ -1,8 +1,9 @@
 """The scan against plain Python over the same rules."""
 
+import random
 import re
 
-from warchest.llm.license_rules import BASE, rules
+from warchest.llm.license_rules import BASE, GATE, rules
 from warchest.llm.license_scan import scan
 from warchest.llm.queries import QUERIES
 
@@ -37,6 +38,44 @@ def brute(text, known):
     return len(words), base, kept
 
 
+def test_keywords_and_gate_begin_words():
+    """Every match of a rule has one of its keywords, and one of the gate's, at the beginning of a word."""
+    rng = random.Random(3)
+    for r in rules():
+        for _ in range(30):
+            text = " " + sample(r.pattern, rng)
+            assert re.fullmatch(r.pattern, text[1:]), (r.pattern, text)
+            assert any(f" {k}" in text for k in r.keywords), (r, text)
+            assert any(f" {g}" in text for g in GATE), (r, text)
+
+
+def sample(pattern, rng):
+    """A random text that the pattern matches."""
+    def made(tree):
+        out = ""
+        for op, arg in tree:
+            name = str(op)
+            if name == "LITERAL":
+                out += chr(arg)
+            elif name == "SUBPATTERN":
+                out += made(arg[3])
+            elif name == "BRANCH":
+                out += made(rng.choice(arg[1]))
+            elif name == "MAX_REPEAT":
+                low, high, body = arg
+                out += "".join(made(body) for _ in range(rng.randint(low, min(high, low + 2))))
+            elif name == "IN":
+                kind, value = rng.choice(arg)
+                out += chr(value) if str(kind) == "LITERAL" else chr(rng.randint(*value)) if str(kind) == "RANGE" else "q"
+            elif name == "NOT_LITERAL":
+                out += "q"
+            else:
+                raise AssertionError(name)
+        return out
+
+    return made(re._parser.parse(pattern))
+
+
 TEXTS = [
     None, "", " ,.; ", "MIT License mit-license (the MIT license)", "Licensed under the Apache License, Version 2.0.",
     "This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-2.0-or-later",

@@ -1,4 +1,4 @@
-"""License signatures.  A rule is a label, keywords of which one must occur in the text before its pattern is tried, a priority and a
+"""License signatures.  A rule is a label, keywords of which one must begin a word of the text before its pattern is tried, a priority and a
 pattern over the text's words, which are lower case and one blank apart ("version 2.0" reads "version 2 0").
 
 Each family is written by hand: its label, its keyword, the words that name it, and the short name used in tags.  Every
@@ -26,7 +26,7 @@ FAMILIES = [
     ("bsd-2-clause", "bsd", r"(?:(?:the )?(?:simplified|freebsd) bsd|(?:the )?bsd (?:2|two) clause|(?:2|two) clause bsd)", r"bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:(?:the )?(?:new|modified|revised) bsd|(?:the )?bsd (?:3|three) clause|(?:3|three) clause bsd)", r"bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:(?:the )?original bsd|(?:the )?bsd (?:4|four) clause|(?:4|four) clause bsd)", r"bsd 4 clause"),
-    ("bsd-0-clause", "bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)", r"0bsd"),
+    ("bsd-0-clause", "bsd|0bsd|zero clause", r"(?:zero clause bsd|bsd zero clause|0bsd)", r"0bsd"),
     ("bsd", "bsd", r"(?:the )?bsd(?: style)?", r"bsd"),
     ("apache-1.0", "apache", r"(?:the )?apache (?:software )?licen[cs]e (?:version |v )?1 0", r"apache 1 0"),
     ("apache-1.1", "apache", r"(?:the )?apache (?:software )?licen[cs]e (?:version |v )?1 1", r"apache 1 1"),
@@ -55,7 +55,7 @@ FAMILIES = [
     ("artistic", "artistic", r"(?:the )?(?:perl )?artistic", r"artistic [12] 0"),
     ("boost", "boost", r"(?:the )?boost software", r"bsl 1 0"),
     ("zlib", "zlib", r"(?:the )?zlib(?: libpng)?", r"zlib"),
-    ("libpng", "libpng", r"(?:the )?(?:png reference library|libpng)", r"libpng(?: 2 0)?"),
+    ("libpng", "libpng|png reference", r"(?:the )?(?:png reference library|libpng)", r"libpng(?: 2 0)?"),
     ("openssl", "openssl", r"(?:the )?(?:dual )?openssl", r"openssl"),
     ("curl", "curl", r"(?:the )?curl", r"curl"),
     ("php", "php", r"(?:the )?php", r"php 3 0?1?"),
@@ -63,7 +63,7 @@ FAMILIES = [
     ("ruby", "ruby", r"(?:the )?ruby", r"ruby"),
     ("postgresql", "postgresql", r"(?:the )?postgresql", r"postgresql"),
     ("unlicense", "unlicense", r"(?:the )?unlicense", r"unlicense"),
-    ("wtfpl", "wtf", r"(?:the )?(?:do what the f[a-z]+ you want to public|wtfpl)", r"wtfpl"),
+    ("wtfpl", "wtf|do what the", r"(?:the )?(?:do what the f[a-z]+ you want to public|wtfpl)", r"wtfpl"),
     ("cc0-1.0", "cc0", r"(?:the )?(?:creative commons )?cc0(?: 1 0)?(?: universal)?", r"cc0 1 0"),
     ("cc-by-4.0", "creative commons", r"creative commons attribution (?:4 0 )?(?:international )?", r"cc by 4 0"),
     ("cc-by-sa", "creative commons", r"creative commons attribution share ?alike(?: [234] 0)?(?: international| unported)?", r"cc by sa [1234] 0"),
@@ -72,7 +72,7 @@ FAMILIES = [
     ("cc-by-nc-sa", "creative commons", r"creative commons attribution non ?commercial share ?alike(?: [234] 0)?(?: international| unported)?", r"cc by nc sa [1234] 0"),
     ("cc-by-nc-nd", "creative commons", r"creative commons attribution non ?commercial no ?derivatives(?: [234] 0)?(?: international| unported)?", r"cc by nc nd [1234] 0"),
     ("creative-commons", "creative commons", r"(?:a |the )?creative commons", r"cc by"),
-    ("odbl", "open database", r"(?:the )?open (?:data commons )?(?:open )?database", r"odbl 1 0"),
+    ("odbl", "open data", r"(?:the )?open (?:data commons )?(?:open )?database", r"odbl 1 0"),
     ("ofl", "open font", r"(?:the )?(?:sil )?open font", r"ofl 1 [01]"),
     ("eupl", "european union", r"(?:the )?european union public", r"eupl 1 [012]"),
     ("afl", "academic free", r"(?:the )?academic free", r"afl [123] [012]"),
@@ -89,14 +89,14 @@ FAMILIES = [
     ("bsl-1.1", "business source", r"(?:the )?business source", r"busl 1 1"),
     ("sspl", "server side public", r"(?:the )?server side public", r"sspl 1 0"),
     ("elastic-2.0", "elastic", r"(?:the )?elastic", r"elastic 2 0"),
-    ("openrail", "rail", r"(?:the )?(?:bigscience |creativeml )?open ?rail(?: m)?", r"openrail"),
+    ("openrail", "rail|openrail", r"(?:the )?(?:bigscience |creativeml )?open ?rail(?: m)?", r"openrail"),
 ]
 
 # Phrases of license bodies, and of links.
 BODIES = [
     ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", "permission to use", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("bsd", "redistribution and use", r"redistributions? and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistribution", r"redistributions? and use in source and binary forms with or without modification are permitted"),
     ("bsd-3-clause", "endorse or promote", r"(?:neither the name|the names?) of [^ ]+(?: [^ ]+){0,20} endorse or promote products derived from this software"),
     ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display"),
     ("apache-2.0", "you may not use this file", r"you may not use this file except in compliance with the licen[cs]e"),
@@ -119,7 +119,7 @@ BODIES = [
     ("boost", "boost org", r"boost org license 1 0"),
     ("zlib", "as is", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
     ("wtfpl", "what the", r"you just do what the f[a-z]+ you want to"),
-    ("artistic", "artistic", r"same terms as perl itself"),
+    ("artistic", "perl itself", r"same terms as perl itself"),
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "confidential", r"(?:proprietary and confidential|confidential and proprietary)"),
     ("no-derivatives", "may not be", r"may not be (?:copied|reproduced|redistributed) without (?:the )?(?:prior )?(?:express )?(?:written )?permission"),
@@ -128,7 +128,7 @@ BODIES = [
 # The three base phrases; their places are counted whatever else is found.
 BASE = [("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license")]
 
-#: One of these stands in every match of every rule.
+#: One of these begins a word of every match of every rule.
 GATE = [
     "licen", "under", "domain", "rights", "confidential", "permission", "redistribution", "advertising", "promote", "warranty",
     "apache", "gnu", "mozilla", "creativecommons", "boost", "what", "perl",

@@ -50,10 +50,10 @@ def _named(label: str, found: Column) -> Column:
     return F.transform(found, lambda s: F.struct(F.lit(label).alias("label"), s["first"].alias("first"), s["last"].alias("last")))
 
 
-def _found(line: Column, known: list[Rule]) -> Column:
+def _found(line: Column, padded: Column, known: list[Rule]) -> Column:
     """Every match of every rule, by start, longer ones first, then by order of the rules."""
-    table = F.from_json(F.lit(json.dumps([r._asdict() for r in known])), RULE)
-    tried = F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(line, k)))
+    table = F.from_json(F.lit(json.dumps([r._asdict() | {"keywords": [f" {k}" for k in r.keywords]} for r in known])), RULE)
+    tried = F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(padded, k)))
     matches = F.transform(tried, lambda r: F.transform(spans(line, r["pattern"]), lambda s: F.struct(
         s["first"].alias("first"), (-s["last"]).alias("minus_last"), (-r["priority"]).alias("minus_priority"), r["label"].alias("label"), r["weight"].alias("weight"))))
     return F.array_sort(F.flatten(matches))
@@ -79,13 +79,13 @@ def scan(df: DataFrame, *, text: str = "text", keep: list[str] = ("doc_id",), kn
     weight of what the rules keep)."""
     known = rules() if known is None else known
     lined = df.select(*[col(c) for c in keep], words_of(F.coalesce(col(text).cast("string"), F.lit(""))).alias("\0line"))
-    line = col("\0line")
-    gate = None
-    for word in GATE:
-        gate = F.contains(line, F.lit(word)) if gate is None else gate | F.contains(line, F.lit(word))
+    lined = lined.withColumn("\0padded", F.concat(F.lit(" "), col("\0line")))
+    line, padded, gate = col("\0line"), col("\0padded"), F.lit(False)
+    for word in GATE:  # keywords begin words
+        gate = gate | F.contains(padded, F.lit(f" {word}"))
     base = F.concat(*[_named(label, spans(line, F.lit(phrase))) for label, phrase in BASE])
     no_base = F.lit([]).cast("array<struct<label: string, first: int, last: int>>")
-    found = F.when(gate, _found(line, known))
+    found = F.when(gate, _found(line, padded, known))
     none = F.lit([]).cast("array<struct<label: string, first: int, last: int, priority: int, weight: double>>")
     detections = F.coalesce(_kept(found, max(r.priority for r in known)), none)
     return lined.select(
