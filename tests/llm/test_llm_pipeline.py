@@ -112,3 +112,11 @@ def test_run(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
     assert sorted(map(str, rows)) == sorted(map(str, docs.collect()))
+
+
+def test_unique_texts_of_a_repeated_id_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, c), (1, c), (2, a), (2, b + " z"), (3, c.upper())]
+    df = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r.doc_id, r.text) for r in STAGES["near_duplicates"](spark, df, SF_DIR).collect())
+    assert kept == [(1, a), (1, b), (1, c)]
