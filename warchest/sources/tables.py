@@ -1,89 +1,44 @@
 """Writers.  Parquet partitioned by cycle is the stored form; CSV is an export.
 
-Tables and partitions are replaced by staging: the new files are written to a hidden sibling
-folder, and only after the job has succeeded do renames put them in place.  A job that fails
-leaves the old rows as they were."""
+Tables are versions and pointers (`versions`): a write becomes visible in one step, for all its cycles."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import CYCLE
+from .versions import Staged, VersionedTable, read, read_or_none
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return read(spark, path)
 
 
 def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None if there is no such folder.  Any other problem is an error."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-class _Folder:
-    """A folder of the table's file system, whatever store that is."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self._make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self.path = path.rstrip("/")
-        self._fs = self._make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def sibling(self, kind: str) -> str:
-        parent, _, name = self.path.rpartition("/")
-        return f"{parent}/_{kind}-{name}-{uuid.uuid4().hex}"
-
-    def exists(self, path: str) -> bool:
-        return self._fs.exists(self._make(path))
-
-    def children(self, path: str, pattern: str) -> list[str]:
-        return [s.getPath().getName() for s in self._fs.globStatus(self._make(f"{path}/{pattern}")) or []]
-
-    def remove(self, path: str) -> None:
-        self._fs.delete(self._make(path), True)
-
-    def move(self, source: str, target: str) -> None:
-        self._fs.mkdirs(self._make(target).getParent())
-        if not self._fs.rename(self._make(source), self._make(target)):
-            raise OSError(f"cannot move {source} to {target}")
-
-    def swap(self, staged: str, target: str, keep: str | None = None) -> None:
-        """Put `staged` in the place of `target`; the old files go to `keep` or are removed."""
-        old = keep or f"{target.rpartition('/')[0]}/_old-{uuid.uuid4().hex}"
-        had = self.exists(target)
-        if had:
-            if keep and self.exists(keep):
-                self.remove(keep)
-            self.move(target, old)
-        try:
-            self.move(staged, target)
-        except Exception:
-            if had:
-                self.move(old, target)
-            raise
-        if had and not keep:
-            self.remove(old)
+    return read_or_none(spark, path)
+
+
+def stage_table(df: DataFrame, path: str, sort: list[str] | None = None) -> Staged:
+    """A version of the whole table that is not yet visible."""
+    return VersionedTable(df.sparkSession, path).stage(df.sortWithinPartitions(*sort) if sort else df)
+
+
+def stage_cycles(df: DataFrame, path: str, sort: list[str] | None = None) -> Staged:
+    """Cycles of a table, not yet visible."""
+    return VersionedTable(df.sparkSession, path).stage(by_cycle(df, sort), CYCLE)
+
+
+def folder_of(cycle: int) -> str:
+    return f"{CYCLE}={cycle}"
 
 
 def write_table(df: DataFrame, path: str, sort: list[str] | None = None, backup: bool = False) -> None:
-    """Whole-table overwrite; ``backup`` keeps the previous table next to it as ``<path>.bak``."""
-    folder = _Folder(df.sparkSession, path)
-    staged = folder.sibling("new")
-    out = df.sortWithinPartitions(*sort) if sort else df
-    try:
-        out.write.parquet(staged)
-        folder.swap(staged, folder.path, f"{folder.path}.bak" if backup else None)
-    finally:
-        folder.remove(staged)
+    """Whole-table overwrite; ``backup`` keeps the previous table readable as ``<path>.bak``."""
+    stage_table(df, path, sort).publish(backup=backup)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -107,41 +62,16 @@ def by_cycle(df: DataFrame, sort: list[str] | None = None) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, sort: list[str] | None = None) -> None:
     """One folder per cycle; all cycles of the table are replaced."""
-    folder = _Folder(df.sparkSession, path)
-    staged = folder.sibling("new")
-    try:
-        by_cycle(df, sort).write.partitionBy(CYCLE).parquet(staged)
-        folder.swap(staged, folder.path)
-    finally:
-        folder.remove(staged)
+    stage_cycles(df, path, sort).publish()
 
 
 def replace_cycles(df: DataFrame, path: str, sort: list[str] | None = None, touched: Iterable[int] = ()) -> None:
-    """Replace the cycles present in ``df``, and empty those of ``touched`` that have no rows left.
-    Other folders are not touched."""
-    folder = _Folder(df.sparkSession, path)
-    staged = folder.sibling("new")
-    try:
-        by_cycle(df, sort).write.partitionBy(CYCLE).parquet(staged)
-        fresh = folder.children(staged, f"{CYCLE}=*")
-        for name in fresh:
-            folder.swap(f"{staged}/{name}", f"{folder.path}/{name}")
-    finally:
-        folder.remove(staged)
-    for cycle in sorted(set(touched)):
-        if f"{CYCLE}={cycle}" not in fresh:
-            replace_cycle(df.sparkSession.createDataFrame([], df.schema), path, cycle)
+    """Replace the cycles present in ``df``, and empty those of ``touched`` that have no rows left, all at once.
+    Other cycles are not touched."""
+    stage_cycles(df, path, sort).publish(touched=[folder_of(c) for c in touched])
 
 
 def replace_cycle(df: DataFrame, path: str, cycle: int, sort: list[str] | None = None) -> None:
     """Replace one cycle, also with nothing.  Rows of other cycles in ``df`` are left out."""
-    rows = df.where(F.col(CYCLE) == cycle).drop(CYCLE).hint("rebalance")
-    if sort:
-        rows = rows.sortWithinPartitions(*[c for c in sort if c != CYCLE])
-    folder = _Folder(df.sparkSession, path)
-    staged = folder.sibling("new")
-    try:
-        rows.write.parquet(staged)
-        folder.swap(staged, f"{folder.path}/{CYCLE}={cycle}")
-    finally:
-        folder.remove(staged)
+    sort = [c for c in sort if c != CYCLE] if sort else None
+    replace_cycles(df.where(F.col(CYCLE) == cycle), path, sort, [cycle])
