@@ -85,6 +85,16 @@ def test_two_writers(spark, tmp_path):
     assert rows(spark, path) == [(2, 2020), (7, 2018)]
 
 
+def test_first_version_in_flight(spark, tmp_path):
+    path = str(tmp_path / "t")
+    staged = tables.stage_table(frame(spark, [(2018, 1)]), path)
+    assert tables.read_table_or_none(spark, path) is None and staged.read().count() == 1
+    with pytest.raises(versions.NotPublished):
+        tables.read_table(spark, path)
+    staged.publish()
+    assert rows(spark, path) == [(2018, 1)]
+
+
 def test_a_reader_can_end(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(frame(spark, [(2018, 1)]), path)

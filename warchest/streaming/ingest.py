@@ -1,9 +1,9 @@
-"""Ingest of landed files as a stream of file arrivals.
+"""Ingest of landed files as a stream of deliveries.
 
-The stream carries file names only, never file contents.  Each micro-batch names the cycles
-that have new files; those cycles are rebuilt from everything landed for them and replace
-their partitions.  Replaying a batch writes the same partitions again, so a restart after a
-failure needs no other bookkeeping.
+The stream carries file names only, never file contents: the log of ``arrivals`` names new files, files delivered again under
+their name, and files that are gone.  Each micro-batch names the cycles concerned; those are rebuilt from everything landed
+for them and replace their partitions, in every table made of the files.  Replaying a batch writes the same partitions
+again, so a restart after a failure needs no other bookkeeping.
 """
 
 from __future__ import annotations
@@ -14,27 +14,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import CYCLE
 from ..plans.refresh import store_cycles
-from ..sources.files import cycle_of_file, landing_glob, read_pipe
+from ..sources.files import landing_glob, read_pipe
 from ..specs import DatasetSpec
-
-_ARRIVAL = "path string, modificationTime timestamp, length bigint, content binary"
-
-
-def arrivals(spark: SparkSession, landing: str, spec: DatasetSpec) -> DataFrame:
-    """Stream of (path, length, cycle) of landed files of a family."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_ARRIVAL)
-        .option("pathGlobFilter", landing_glob(spec))
-        .option("recursiveFileLookup", "true")
-        .load(landing)
-    )
-    return files.select("path", "length", cycle_of_file(F.element_at(F.split("path", "/"), -1)).alias(CYCLE))
+from . import arrivals
 
 
 def cycle_ingest(spark: SparkSession, landing: str, spec: DatasetSpec, table: str, checkpoint: str,
-                 available_now: bool = True) -> StreamingQuery:
-    """Keep ``table`` up to date, and the tables that share the family's files, in folders next to it."""
+                 available_now: bool = True, seconds: float = 60) -> StreamingQuery:
+    """Keep ``table`` up to date, and the tables that share the family's files, in folders next to it.
+
+    ``available_now`` handles what is landed and ends; otherwise the landing folder is listed every ``seconds``.
+    """
     def rebuild(batch: DataFrame, _: int) -> None:
         cycles = [r[0] for r in batch.select(CYCLE).where(F.col(CYCLE).isNotNull()).distinct().collect()]
         if not cycles:
@@ -44,10 +34,16 @@ def cycle_ingest(spark: SparkSession, landing: str, spec: DatasetSpec, table: st
         raw = read_pipe(session, landing, spec.raw_schema, globs)
         store_cycles(raw, spec, table, cycles)
 
+    root = checkpoint.rstrip("/")
+    deliveries = f"{root}-deliveries"
+    arrivals.notice(spark, landing, spec, deliveries)
     writer = (
-        arrivals(spark, landing, spec)
+        arrivals.stream(spark, deliveries)
         .writeStream.foreachBatch(rebuild)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", root)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")
+    query = writer.start()
+    if not available_now:
+        arrivals.Watch(spark, landing, spec, deliveries, seconds).follow(query)
+    return query

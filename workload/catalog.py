@@ -102,13 +102,15 @@ def raw_rows(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in spec.raw_schema])
 
 
-def land(spark: SparkSession, df: DataFrame, spec: DatasetSpec, name: str) -> str:
+def land(spark: SparkSession, df: DataFrame, spec: DatasetSpec, name: str, again: str | None = None) -> str:
     """Write raw rows as ``|`` files named by cycle, as they would be delivered.
 
     The writer names files itself, so each cycle is written to a folder and its files are
-    moved to delivered names inside the same file system.
+    moved to delivered names inside the same file system.  With ``again``, a landing folder, files
+    of the same names there are overwritten, and further ones of these cycles are taken away.
     """
     root = scratch(spark, name)
+    landing = again or f"{root}/landing"
     line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in spec.columns])
     df.select(CYCLE, line.alias("value")).hint("rebalance", CYCLE).write.partitionBy(CYCLE).text(f"{root}/parts")
     jvm = spark.sparkContext._jvm
@@ -116,11 +118,13 @@ def land(spark: SparkSession, df: DataFrame, spec: DatasetSpec, name: str) -> st
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for folder in fs.globStatus(path(f"{root}/parts/{CYCLE}=*")):
         cycle = folder.getPath().getName().split("=")[1]
+        for earlier in fs.globStatus(path(f"{landing}/*/{cycle}_*")) if again else ():
+            fs.delete(earlier.getPath(), False)
         for i, part in enumerate(fs.globStatus(path(f"{folder.getPath()}/part-*"))):
-            target = path(f"{root}/landing/{i}/{cycle}_{spec.prefix}{cycle[2:]}.txt")
+            target = path(f"{landing}/{i}/{cycle}_{spec.prefix}{cycle[2:]}.txt")
             fs.mkdirs(target.getParent())
             fs.rename(part.getPath(), target)
-    return f"{root}/landing"
+    return landing
 
 
 # ---------------------------------------------------------------------------------------
@@ -705,6 +709,21 @@ def stream_cycle_ingest(spark, d):
     return tables.read_table(spark, f"{root}/table")
 
 
+@query
+def stream_redelivery(spark, d):
+    """Everything is delivered with double amounts first; the cycles from 1996 on are delivered again under their
+    names as they are, and the same stream goes on."""
+    rows = raw_rows(txn(spark, d), BY_STATE)
+    first = rows.withColumn("transaction_amt", (F.col("transaction_amt") * 2).cast(MONEY))
+    landing = land(spark, first, BY_STATE, "stream3")
+    root = scratch(spark, "streamed3")
+    run = lambda: ingest.cycle_ingest(spark, landing, BY_STATE, f"{root}/table", f"{root}/state").awaitTermination()
+    run()
+    land(spark, rows.where(f"{CYCLE} >= 1996"), BY_STATE, "stream3", again=landing)
+    run()
+    return tables.read_table(spark, f"{root}/table")
+
+
 @query
 def stream_two_tables(spark, d):
     """New files of a family rebuild every table made of them."""

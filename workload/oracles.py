@@ -546,6 +546,9 @@ ORACLES: dict[str, str] = {
     "apply_changes": duckdb_sql(BOTH_SPENDING.format(more=", content_length",
         join=" JOIN (SELECT election_cycle, count(*) AS content_length FROM txn GROUP BY 1) c USING (election_cycle)"),
         f"{CATEGORY}, {STATE}"),
+    "stream_redelivery": duckdb_sql("""SELECT election_cycle, transaction_year, cmte_id, state, transaction_count,
+          CAST(CASE WHEN election_cycle < 1996 THEN 2 * total_amount ELSE total_amount END AS DOUBLE) AS total_amount
+        FROM by_state""", STATE),
     "stream_two_tables": duckdb_sql(BOTH_SPENDING.format(more="", join=""), f"{CATEGORY}, {STATE}"),
     "refresh_status": duckdb_sql("""SELECT dataset, cycle, coalesce(last_updated, 'unknown') AS last_updated,
         count(*) OVER (PARTITION BY dataset) AS cycles, max(last_updated) OVER (PARTITION BY dataset) AS dataset_updated
