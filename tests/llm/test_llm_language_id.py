@@ -87,3 +87,39 @@ def test_query_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [r for r in rows if r.held_out]
     assert len(held) > 100 and np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.98
+
+
+def test_more_languages_than_a_block(spark):
+    rows = [(i, f"{'abcdefghijklmnopqrstuvwxyz'[i % 26]}{chr(945 + i // 26 % 24)}{chr(1072 + i // 600)} the same words", f"l{i:03}", "") for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole, parts = train(df, block=1000), train(df, block=250)
+    assert not whole.more and [len(m.languages) for m in (parts, *parts.more)] == [250, 250, 100]
+    probe = df.where("doc_id % 40 = 0").unionAll(spark.createDataFrame([(-1, "", None, ""), (-2, "12", None, ""), (None, None, None, "")], SCHEMA))
+    a, b = ({r.doc_id: r for r in predict(probe, m, keep=["doc_id", "score"], made=("x", "y")).collect()} for m in (whole, parts))
+    assert len(a) == 18 and all(a[i].x == b[i].x and abs(a[i].y - b[i].y) < 1e-9 for i in a)
+    assert {a[i].x for i in (-1, -2, None)} == {"und"} and a[40].x == "l040"
+
+
+def test_query_scores_by_brute_force(spark):
+    """Counts of all rows that are not held out, every n-gram made alone."""
+    folder = "/root/testdata/sf0.001"
+    docs = [r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in docs}
+    counts, texts = {}, {}
+    for r in docs:
+        if not held[r.doc_id] and r.lang is not None and r.text is not None:
+            table = counts.setdefault(r.lang, np.zeros(2**BITS))
+            np.add.at(table, slow_grams(r.text), 1)
+            texts[r.lang] = texts.get(r.lang, 0) + 1
+    langs = sorted(counts)
+    logs = np.array([np.log((counts[x] + 0.5) / (counts[x].sum() + 0.5 * 2**BITS)) for x in langs])
+    prior = np.log(np.array([texts[x] for x in langs]) / sum(texts.values()))
+    for r in QUERIES["op1_language_id"](spark, folder).collect():
+        text = next(d.text for d in docs if d.doc_id == r.doc_id)
+        if not any(map(str.isalpha, text or "")):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        own = slow_grams(text)
+        evidence = logs[:, own].sum(1) * min(1, EVIDENCE / len(own)) + prior
+        odds = np.exp(evidence - evidence.max())
+        assert r.lang_pred == langs[int(odds.argmax())] and abs(r.score - 1 / odds.sum()) < 1e-3

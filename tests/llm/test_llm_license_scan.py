@@ -122,3 +122,9 @@ def test_query(spark):
         own = {x for x, *_ in base}
         assert r.base_labels == ",".join(sorted(own)) and r.labels == ",".join(sorted(own | {k[0] for k in kept}))
         assert r.score == max((k[4] for k in kept), default=0.0)
+
+
+def test_only_ascii_letters_are_folded(spark):
+    df = spark.createDataFrame([(1, "blue oa\u212a model license 1.0"), (2, "blue oaK model license 1.0"), (3, "M\u0130T LICENSE"), (4, "\u212a")], "doc_id long, text string")
+    rows = {r.doc_id: [d.label for d in r.detections] for r in scan(df).collect()}
+    assert "blueoak" not in rows[1] and "blueoak" in rows[2] and "mit" not in rows[3] and rows[4] == []

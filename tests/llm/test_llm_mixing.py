@@ -107,3 +107,37 @@ def test_query(spark):
     assert len(rows) == len({r.doc_id for r in rows}) == 200
     for own in by.values():
         assert abs(sum(r.taken for r in own) - own[0].target) <= 1 and all(r.taken <= 3 * r.size for r in own)
+
+
+def test_query_taken_by_plain_stream(spark):
+    """Each source is a circle of its documents; the mix takes the target's words from its start on."""
+    from warchest.llm.common import table
+    folder = "/root/testdata/sf0.001"
+    placed = [r for r in mix(table(spark, folder, "documents"))[0].collect() if r.size]
+    by = defaultdict(list)
+    for r in placed:
+        by[r.place].append(r)
+    want = {}
+    for own in by.values():
+        own.sort(key=lambda r: r.offset)
+        at, whole = 0, sum(r.size for r in own)
+        for r in own:
+            assert r.offset == at and r.source_size == whole
+            at += r.size
+            laps, rest = divmod(round(r.target), whole)
+            want[r.doc_id] = laps * r.size + min(max(rest - r.offset, 0), r.size)
+    assert {r.doc_id: r.taken for r in QUERIES["op3_mixing"](spark, folder).collect() if r["size"]} == want
+
+
+def test_many_sources(spark):
+    df = spark.range(20_000).selectExpr("id AS doc_id", "repeat('word ', int(id % 5 + 1)) AS text", "concat('s', id) AS source")
+    rows = taken_words(*mix(df)).collect()
+    assert len(rows) == 20_000 and all(abs(r.taken - r.target) <= 1 and r.taken <= 3 * r["size"] for r in rows)
+
+
+def test_long_text_and_longer_blocks(spark):
+    df = spark.createDataFrame([(1, "w " * 400_000, "a"), (2, "x y z " * 1000, "b"), (3, None, "c")], "doc_id long, text string, source string")
+    for how in ({}, {"most_bits": 4}):
+        rows = {r.doc_id: r for r in taken_words(*mix(df, **how)).collect()}
+        assert [rows[i]["size"] for i in (1, 2, 3)] == [400_000, 3000, 0]
+        assert all(abs(r.taken - r.target) <= 1 for r in rows.values())

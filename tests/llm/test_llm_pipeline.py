@@ -103,6 +103,8 @@ def test_other_columns_stay(spark, docs):
     more = docs.select("*", docs["doc_id"].alias("score"), docs["text"].alias("component_id"), docs["lang"].alias("fp"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, more, SF_DIR).columns == more.columns, name
+    own = more.withColumn("shard", more["doc_id"]).withColumn("slot", more["text"])
+    assert STAGES["shards"](spark, own, SF_DIR).columns == [*more.columns, "shard", "slot"]
 
 
 def test_run(spark):

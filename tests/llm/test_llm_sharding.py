@@ -60,3 +60,50 @@ def test_query(spark):
     for r in rows:
         data = texts[r.doc_id].encode()
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 1, zlib.crc32(data), "rows", None)
+
+
+def test_own_columns_shard_and_slot_are_replaced(spark):
+    df = spark.createDataFrame([(i, f"t{i}", "x", 1.5) for i in range(20)], "doc_id long, text string, shard string, Slot double")
+    out = shard_documents(df, 4)
+    assert out.columns == ["doc_id", "text", "shard", "slot"] and dict(out.dtypes)["shard"] == "int"
+    places(out.collect(), 4)
+
+
+def plain_permutation(x, n, seed=0):
+    """The Feistel network and its walk, a number at a time, xxhash64 from Spark's definition."""
+    import xxhash
+
+    def mixed(key, half, mask):
+        inner = xxhash.xxh64(key.to_bytes(8, "little", signed=True), seed=42).intdigest()
+        return xxhash.xxh64(half.to_bytes(8, "little", signed=True), seed=inner).intdigest() & mask
+
+    bits = max(2, (n - 1).bit_length())
+    left, right = bits // 2, bits - bits // 2
+    while True:
+        a, b = x >> right, x & (1 << right) - 1
+        for i in range(8):
+            a, b = b, a ^ mixed((seed << 8) + i, b, (1 << (right if i % 2 else left)) - 1)
+        x = (a << right) + b
+        if x < n:
+            return x
+
+
+def test_query_values(spark):
+    """Every place of the query follows from its row number by the plain network."""
+    from warchest.llm.sharding import shard_rows
+    folder = "/root/testdata/sf0.001"
+    rows = shard_rows(spark.read.parquet(f"{folder}/documents.parquet"), 8).collect()
+    n = len(rows)
+    assert sorted(r.row_number for r in rows) == list(range(n))
+    place = {(r.doc_id, r.text_crc32): (r.shard, r.slot) for r in rows}
+    for r in rows:
+        p = plain_permutation(r.row_number, n)
+        assert (r.shard, r.slot) == (p % 8, p // 8)
+    for r in QUERIES["op10_sharding"](spark, folder).collect():
+        assert place[r.doc_id, r.text_crc32] == (r.shard, r.slot)
+
+
+def test_long_text(spark):
+    df = spark.createDataFrame([(1, "\u00e9" * 3_000_000), (2, None)], "doc_id long, text string")
+    out = {r.doc_id: r for r in shard_documents(df, 2).collect()}
+    assert len(out[1].text) == 3_000_000 and {out[1].shard, out[2].shard} == {0, 1}

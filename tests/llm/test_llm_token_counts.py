@@ -46,6 +46,13 @@ def test_every_character():
     assert list(zip(*WORK(texts))) == [want(t) for t in texts]
 
 
+def test_every_character_below_u0250_in_its_surroundings():
+    """Capitals whose small letter lies beyond U+0250 among them."""
+    for around in ("{}", "{0}{0}", "\u00c2{}", "a{}b", " the {} 12{}x ", "{}\u00e9'{}s"):
+        texts = [around.replace("{0}", "{}").replace("{}", chr(c)) for c in range(0x250)]
+        assert list(zip(*WORK(texts))) == [want(t) for t in texts], around
+
+
 def test_operator_rows(spark):
     df = spark.createDataFrame([(1, "the cat", 5), (1, "the cat", 5), (None, None, 6)], "doc_id long, text string, n_tokens_ long")
     rows = sorted(map(tuple, count_tokens(df, FILE).collect()), key=str)

@@ -25,8 +25,9 @@ _OPEN, _CLOSE = "\x01", "\x02"
 
 
 def words_of(text: Column) -> Column:
-    """Lower-case words, one blank apart.  `lower` may touch letters outside ASCII; they stay word characters."""
-    return F.trim(F.regexp_replace(F.lower(text), BETWEEN, " "))
+    """Lower-case words, one blank apart.  `lower` also touches letters outside ASCII; they stay word characters outside ASCII, but for the
+    Kelvin sign, whose small letter is k and which is therefore replaced first."""
+    return F.trim(F.regexp_replace(F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u0138"))), BETWEEN, " "))
 
 
 def word_count(line: Column) -> Column:

@@ -7,8 +7,8 @@ earlier hits is a sum over the bits of the stretch's ends, so a slot knows its r
 Blocks: a source's documents, shuffled by a hash of the id, form a circular stream of words; its slots cut the words the mix
 takes into blocks of equal length.  A slot joins the block of its rank.
 
-Weights belong to sources, which are a list of bounded length (`max_sources`, beyond which the operator raises); documents and
-slots never meet the driver.
+Weights belong to sources, a list that the driver plans (`max_sources`, a million, beyond which the operator raises); documents and
+slots never meet the driver.  Beyond 2 to the power `most_bits` slots blocks get longer instead of more.
 
 Results: a missing text has no words and is never taken; a missing source is a source of its own and comes last; rows that
 repeat id and text are documents of their own; sources without words have target 0.
@@ -24,8 +24,7 @@ from warchest.llm.common import BLANKS, WORD, col, spool
 
 BLOCK = 1024
 MOST = 3.0
-MAX_SOURCES = 10_000
-#: Beyond so many slots blocks get longer instead.
+MAX_SOURCES = 1_000_000
 MOST_BITS = 31
 
 
@@ -98,14 +97,14 @@ def sized(df: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
     return df.select(col(doc_id).alias("doc_id"), col(source).cast("string").alias("source"), size.alias("size"))
 
 
-def plan_targets(sizes: DataFrame, weight: Callable[[int], float], most: float, block: int, max_sources: int) -> tuple[DataFrame, int]:
+def plan_targets(sizes: DataFrame, weight: Callable[[int], float], most: float, block: int, max_sources: int, most_bits: int = MOST_BITS) -> tuple[DataFrame, int]:
     """(place, source, source_size, target, words, slots, lo, hi, below_lo, below_hi) and the bits of the schedule."""
     rows = sizes.groupBy("source").agg(F.sum("size").alias("n")).limit(max_sources + 1).collect()
     if len(rows) > max_sources:
         raise ValueError(f"more than {max_sources} sources; raise max_sources if the list may grow")
     rows.sort(key=lambda r: (r.source is None, r.source or ""))
     targets = fill([r.n for r in rows], [weight(i) for i in range(len(rows))], most)
-    bits, counts = cells(targets, max(block, int(sum(targets)) >> MOST_BITS - 1))
+    bits, counts = cells(targets, max(block, int(sum(targets)) >> most_bits - 1))
     out, lo = [], 0
     for i, (r, target, count) in enumerate(zip(rows, targets, counts, strict=True)):
         pairs = [[Row(m=1 << k, p=p) for k, p in hits(x, bits)] for x in (lo, lo + count)]
@@ -143,14 +142,14 @@ def streamed(docs: DataFrame, n: int) -> DataFrame:
 
 def mix(
     df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", source: str = "source", weight: Callable[[int], float] = by_turns,
-    most: float = MOST, block: int = BLOCK, max_sources: int = MAX_SOURCES,
+    most: float = MOST, block: int = BLOCK, max_sources: int = MAX_SOURCES, most_bits: int = MOST_BITS,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces).
     documents: doc_id, source, size, copy, source_size, target, place, offset: one row per row of df.
     pieces: slot, place, offset, lap, from_word, to_word: what each slot takes, words of the document counted from 0."""
     docs = sized(df, text, doc_id, source)
     counted = spool(docs.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times")), "sizes")
-    sources, bits = plan_targets(counted.select("source", (F.col("size") * F.col("times")).alias("size")), weight, most, block, max_sources)
+    sources, bits = plan_targets(counted.select("source", (F.col("size") * F.col("times")).alias("size")), weight, most, block, max_sources, most_bits)
     facts = F.broadcast(sources.select("place", F.col("source").alias("s"), "source_size", "target", "words", "slots"))  # max_sources rows at most
     placed = streamed(counted.join(facts, counted["source"].eqNullSafe(F.col("s"))).drop("s"), counted.count())
     placed = placed.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy")).drop("times")
@@ -187,7 +186,7 @@ def mixed_documents(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id"
     rows = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"))
     size = F.regexp_count(F.coalesce(F.col(f"row.`{text}`"), F.lit("")), F.lit(WORD)).cast("long")
     rows = rows.select("row", F.col(f"row.`{doc_id}`").alias("doc_id"), F.col(f"row.`{source}`").cast("string").alias("source"), size.alias("size"))
-    rows = rows.select("row", same.alias("same"))
+    rows = rows.where("size > 0").select("row", same.alias("same"))  # rows without words would be one group
     rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("same").orderBy(F.xxhash64(F.col(f"row.`{text}`")))).cast("long"))
     met = rows.join(plan.hint("merge"), ["same", "copy"])  # the plan grows with the documents: never broadcast
     words = F.split(F.regexp_replace(F.col(f"row.`{text}`"), f"^{BLANKS}", ""), BLANKS)

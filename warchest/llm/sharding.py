@@ -7,6 +7,7 @@ cycle until it is inside.  Position p lies in shard p mod shards, slot p div sha
 no gaps, and `permute` or `unpermute` computes where a row lies, or which row lies somewhere, without data.
 
 Results: a missing text has crc32 0 and no bytes.  Rows that repeat id and text are interchangeable and get a place each.
+Columns `shard` and `slot` of the documents are replaced.
 """
 
 from __future__ import annotations
@@ -94,12 +95,12 @@ def _placed(df: DataFrame, n: int, shards: int, seed: int) -> DataFrame:
 
 
 def shard_documents(df: DataFrame, shards: int, *, text: str = "text", doc_id: str = "doc_id", seed: int = 0) -> DataFrame:
-    """The rows of df with `shard` and `slot`."""
+    """The rows of df with `shard` and `slot`, which take the place of columns of these names."""
     keys = _keys(df, text, doc_id)
     found, n = numbered(df.select(*keys))
     # one text key without nulls, so that the join and the turns share one shuffle of the rows
     same = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "size", "text_crc32").alias("same")
-    rows = df.select(*keys, F.struct(*[col(c) for c in df.columns]).alias("row")).select(same, "row")
+    rows = df.select(*keys, F.struct(*[col(c) for c in df.columns if c.lower() not in ("shard", "slot")]).alias("row")).select(same, "row")
     met = rows.join(found.select(same, "first").hint("merge"), "same")
     turn = F.row_number().over(Window.partitionBy("same").orderBy("first"))
     met = met.withColumn("row_number", F.col("first") + turn - 1)

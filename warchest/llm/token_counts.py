@@ -4,8 +4,8 @@ Offline, each vocabulary string that closes a word is encoded alone; those that
 A pre-token that is proven counts one.  Only the others are merged, each once per task while the memory bound holds.
 
 The rules of the pre-tokens are those of the word-end BPE file: special strings are cut out first and count one each;
-then NFC, lower case, and a split that drops white space.  Texts with a character from U+0250 on are normalised and split
-by the tokenizer library itself, so that no other Unicode table decides.
+then NFC, lower case, and a split that drops white space.  Texts that, in lower case, have a character from U+0250 on are normalised and
+split by the tokenizer library itself, so that no other Unicode table decides.
 
 Results: a missing or empty text has 0 bytes and 0 tokens.  Rows are independent: repeated rows and ids give repeated rows.
 """
@@ -79,8 +79,9 @@ def counter(definition: str, whole: list[str], remembered: int = REMEMBERED) ->
     least = len(cost)
 
     def split(piece: str) -> list[str]:
-        if piece.isascii() or not beyond(piece):
-            return plain(piece.lower())
+        low = piece.lower()  # some capitals below U+0250 have their small letter beyond it
+        if low.isascii() or not beyond(low):
+            return plain(low)
         ready = tokenizer.normalizer.normalize_str(piece)
         return [ready[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(ready)]
 
