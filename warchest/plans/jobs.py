@@ -132,15 +132,25 @@ def create_crosswalk(spark: SparkSession, members: DataFrame, root: str, keep_un
 # Reporting tables -----------------------------------------------------------------------
 
 
-def load_report_tables(spark: SparkSession, root: str, target: str, since: int | None = None) -> DataFrame:
-    """Load every reporting table whose source is there; returns the violated keys of all."""
+def load_report_tables(spark: SparkSession, root: str, target: str, since: int | None = None,
+                       on_violation: str = "hold") -> DataFrame:
+    """Load every reporting table whose source is there; returns the violated keys of all.
+
+    A load that breaks a constraint is handled as ``on_violation`` says (see ``sources.catalog``); the rows that break one are
+    listed by ``catalog.rejected_rows``.
+    """
     found = spark.createDataFrame([], "table_name string, key string, row_count bigint")
     for name, table in catalog.REPORT_TABLES.items():
         source = tables.read_table_or_none(spark, table_path(root, table.source))
         if source is None:
             continue
-        tables.write_table(catalog.report_table(source, table, since if clean.CYCLE in source.columns else None), table_path(target, name))
-        found = found.unionByName(catalog.key_violations(tables.read_table(spark, table_path(target, name)), name))
+        path = table_path(target, name)
+        load = catalog.load_table(source, name, path, since if clean.CYCLE in source.columns else None, on_violation)
+        if load.rejected and table.key:
+            broken = tables.read_table(spark, f"{path}.rejected")
+            keyless = F.exists(catalog.REASONS, lambda r: (r == "repeated key") | r.isin(*[f"missing {c}" for c in table.key]))
+            found = found.unionByName(broken.where(keyless).groupBy(*table.key).agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(name).alias("table_name"), F.to_json(F.struct(*table.key)).alias("key"), "row_count"))
     return found
 
 

@@ -627,7 +627,7 @@ def out_of_range(spark, d):
 def report_tables_load(spark, d):
     """Store the finished tables, load all eight reporting tables, read them back."""
     root, target = _finished(spark, d), scratch(spark, "reporting")
-    jobs.load_report_tables(spark, root, target)
+    jobs.load_report_tables(spark, root, target, on_violation="report")
     out = None
     for name, spec in report_tables.REPORT_TABLES.items():
         loaded = tables.read_table(spark, f"{target}/{name}")
@@ -643,6 +643,70 @@ def report_key_violations(spark, d):
     return jobs.load_report_tables(spark, _finished(spark, d), scratch(spark, "reporting"))
 
 
+def _row_text(df: DataFrame, name: str) -> DataFrame:
+    """(table_name, row): whole rows as text, numbers with two decimals."""
+    kinds = dict(df.dtypes)
+    cells = [F.coalesce((F.col(c).cast("decimal(30,2)") if kinds[c] == "double" else F.col(c)).cast("string"), F.lit("-")) for c in df.columns]
+    return df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *cells).alias("row"))
+
+
+@query
+def report_tables_rows(spark, d):
+    """Every row of every reporting table after a load."""
+    root, target = _finished(spark, d), scratch(spark, "reporting")
+    jobs.load_report_tables(spark, root, target, on_violation="report")
+    out = None
+    for name in report_tables.REPORT_TABLES:
+        part = _row_text(tables.read_table(spark, f"{target}/{name}"), name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _later_committees(spark, d, spoilt_cycle: int) -> DataFrame:
+    """Committees with one row a key, but for one cycle, where keys repeat as in the given tables."""
+    once = committees(spark, d).groupBy(CYCLE, "cmte_id").agg(F.min("cand_id").alias("cand_id"))
+    again = committees(spark, d).where(F.col(CYCLE) == spoilt_cycle).select(CYCLE, "cmte_id", "cand_id")
+    return raw_rows(once.where(F.col(CYCLE) != spoilt_cycle).unionByName(again), SPECS["committee_registrations"])
+
+
+def _loads(spark, d, on_violation: str) -> DataFrame:
+    """A load without violations, then one with: what is published and what is rejected."""
+    path, name = f"{scratch(spark, 'loads')}/fec_committees", "fec_committees"
+    report_tables.load_table(_later_committees(spark, d, 0), name, path)
+    later = _later_committees(spark, d, OPEN_CYCLE - 4).withColumn("cand_id", F.concat(F.lit("+"), "cand_id"))
+    report_tables.load_table(later, name, path, on_violation=on_violation)
+    shape = lambda df, state, why: df.select(F.lit(state).alias("state"), "cmte_id", "year", "cand_id", why.alias("reason"))
+    return shape(tables.read_table(spark, path), "published", F.lit(None).cast("string")).unionByName(
+        shape(tables.read_table(spark, f"{path}.rejected"), "rejected", F.array_join("reasons", ", ")))
+
+
+@query
+def report_load_held(spark, d):
+    """A load with repeated keys is not published: the table stays, the rows are listed."""
+    return _loads(spark, d, "hold")
+
+
+@query
+def report_load_diverted(spark, d):
+    """The rows that hold are published, the others listed."""
+    return _loads(spark, d, "divert")
+
+
+@query
+def report_load_unreadable(spark, d):
+    """Summaries as text, some amounts spoilt, some ids missing: the reasons, and what is published of the others."""
+    path = f"{scratch(spark, 'unreadable')}/fec_candidate_summaries"
+    digit = F.substring("cand_id", -1, 1)
+    text = raw_rows(summaries(spark, d), SPECS["all_candidate_summaries"])
+    spoilt = text.withColumns({
+        "ttl_receipts": F.when(digit == "3", "n/a").when(digit == "4", " ").otherwise(F.col("ttl_receipts").cast("string")),
+        "cand_id": F.when(digit == "5", F.lit(None)).otherwise(F.col("cand_id"))})
+    report_tables.load_table(spoilt, "fec_candidate_summaries", path, on_violation="divert")
+    kept = tables.read_table(spark, path).select("cand_id", "year", F.lit(None).cast("string").alias("reason"), "ttl_receipts")
+    gone = tables.read_table(spark, f"{path}.rejected").select("cand_id", "year", F.array_join("reasons", ", ").alias("reason"), "ttl_receipts")
+    return kept.unionByName(gone)
+
+
 def _finished(spark, d) -> str:
     """A folder of finished tables, one for each source of a reporting table."""
     root = scratch(spark, "finished")

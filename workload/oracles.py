@@ -230,6 +230,28 @@ def whole(rows: str, keys: str) -> str:
             f"transaction_count FROM {rows}")
 
 
+# Reporting tables: the rows behind each, and the text of every column.
+_TWO = "CAST({} AS DECIMAL(30,2))"
+_NOTHING = "NULL"
+_SUM_CELLS = [_TWO.format("total_amount"), "transaction_count"]
+_PERIOD_CELLS = ["election_cycle", "transaction_year"]
+REPORT_ROWS = {
+    "fec_candidate_mapping": ("links", ["bioguide_id", "cand_id"]),
+    "fec_candidate_summaries": ("summaries", [
+        "cand_id", "election_cycle", "cand_name", "cand_ici", _NOTHING, *[_TWO.format(c) for c in (
+            "ttl_receipts", "ttl_disb", "coh_cop", "ttl_indiv_contrib", "other_pol_cmte_contrib", "pol_pty_contrib", "cand_contrib", "cand_loans")],
+        _NOTHING, _TWO.format("trans_from_auth"), _TWO.format("trans_to_auth"), "cvg_end_dt"]),
+    "fec_committees": ("committees", [
+        "cmte_id", "election_cycle", "cmte_nm", "cmte_tp", "cmte_dsgn", _NOTHING, "connected_org_nm", "cand_id"]),
+    "fec_pac_summaries": (
+        "(SELECT cmte_id, election_cycle, max(cmte_nm) AS cmte_nm, max(cmte_tp) AS cmte_tp FROM committees "
+        "WHERE cmte_tp IN ('N', 'Q', 'O') GROUP BY ALL) p", ["cmte_id", "election_cycle", "cmte_nm", "cmte_tp", *[_NOTHING] * 7]),
+    "fec_committee_to_candidate": ("pas2", [*_PERIOD_CELLS, "cmte_id", "cmte_name", "cand_id", "transaction_tp", *_SUM_CELLS]),
+    "fec_committee_transactions": ("oth", [*_PERIOD_CELLS, "source_cmte_id", "dest_cmte_id", "dest_name", "transaction_tp", *_SUM_CELLS]),
+    "fec_expenditures_by_category": ("by_category", [*_PERIOD_CELLS, "cmte_id", "category", "category_desc", *_SUM_CELLS]),
+    "fec_expenditures_by_state": ("by_state", [*_PERIOD_CELLS, "cmte_id", "state", *_SUM_CELLS]),
+}
+
 # Name parsing and scoring --------------------------------------------------------------
 
 _BASE = r"regexp_replace(trim(cand_name), '(?i)(\s+|,\s*)(jr\.?|sr\.?|ii|iii|iv|v|2nd|3rd|4th)$', '')"
@@ -364,6 +386,22 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'fec_expenditures_by_category', count(*), CAST(sum(total_amount) AS DOUBLE) FROM by_category
         UNION ALL SELECT 'fec_expenditures_by_state', count(*), CAST(sum(total_amount) AS DOUBLE) FROM by_state""",
         f"{PAS2}, {OTH}, {CATEGORY}, {STATE}, {LINKS}"),
+    "report_tables_rows": duckdb_sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+        + f") AS \"row\" FROM {source}" for name, (source, columns) in REPORT_ROWS.items()), f"{PAS2}, {OTH}, {CATEGORY}, {STATE}, {LINKS}"),
+    "report_load_held": duckdb_sql("""SELECT 'published' AS state, cmte_id, election_cycle AS year, min(cand_id) AS cand_id, NULL::varchar AS reason
+        FROM committees GROUP BY cmte_id, election_cycle
+        UNION ALL SELECT 'rejected', cmte_id, election_cycle, '+' || cand_id, 'repeated key' FROM (
+          SELECT *, count(*) OVER (PARTITION BY cmte_id, election_cycle) AS n FROM committees WHERE election_cycle = 1998) c WHERE n > 1"""),
+    "report_load_diverted": duckdb_sql("""SELECT 'published' AS state, cmte_id, election_cycle AS year,
+          CASE WHEN bool_or(cand_id IS NULL) AND election_cycle = 1998 THEN NULL ELSE '+' || min(cand_id) END AS cand_id, NULL::varchar AS reason
+        FROM committees GROUP BY cmte_id, election_cycle
+        UNION ALL SELECT 'rejected', cmte_id, election_cycle, '+' || cand_id, 'repeated key' FROM (
+          SELECT *, row_number() OVER (PARTITION BY cmte_id, election_cycle ORDER BY cand_id NULLS FIRST) AS n
+          FROM committees WHERE election_cycle = 1998) c WHERE n > 1"""),
+    "report_load_unreadable": duckdb_sql("""SELECT CASE WHEN right(cand_id, 1) <> '5' THEN cand_id END AS cand_id, election_cycle AS year,
+          CASE right(cand_id, 1) WHEN '3' THEN 'unreadable ttl_receipts' WHEN '5' THEN 'missing cand_id' END AS reason,
+          CASE WHEN right(cand_id, 1) NOT IN ('3', '4') THEN CAST(ttl_receipts AS DOUBLE) END AS ttl_receipts FROM summaries"""),
     "report_key_violations": duckdb_sql("""SELECT 'fec_committees' AS table_name,
         '{"cmte_id":"' || cmte_id || '","year":' || election_cycle || '}' AS "key", count(*) AS row_count
         FROM committees GROUP BY cmte_id, election_cycle HAVING count(*) > 1"""),
