@@ -14,7 +14,7 @@ from warchest.operators import clean, combine, crosswalk, legislators, manifest,
 from warchest.plans import jobs, refresh, reports
 from warchest.session import shared_dir
 from warchest.sources import catalog as report_tables
-from warchest.sources import files, tables
+from warchest.sources import files, lines, tables
 from warchest.specs import LEGISLATOR, MONEY, SPECS, DatasetSpec
 from warchest.streaming import ingest
 
@@ -610,6 +610,43 @@ def raw_width_check(spark, d):
     return found.groupBy(CYCLE).agg(*[F.sum(c).alias(c) for c in ("n_lines", "short_lines", "long_lines")])
 
 
+def _spoilt_landing(spark, d) -> str:
+    """Landed lines, some without their last field, some with one more, some with an amount that is no number."""
+    rows = raw_rows(txn(spark, d), OTH).withColumn("transaction_amt", F.col("transaction_amt").cast("string"))
+    order = F.regexp_extract("tran_id", "([0-9]+)", 1).cast("bigint")
+    spoilt = rows.withColumn("transaction_amt", F.when(order % 9 == 0, F.concat("transaction_amt", F.lit("x"))).otherwise(F.col("transaction_amt")))
+    shape = DatasetSpec(OTH.name, OTH.prefix, OTH.start_year, ("line",))
+    fields = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in OTH.columns])
+    line = F.when(order % 5 == 3, F.regexp_replace(fields, r"\|[^|]*\z", "")).when(
+        order % 5 == 4, F.concat(fields, F.lit("|more"))).otherwise(fields)
+    return land(spark, spoilt.select(CYCLE, line.alias("line")), shape, "spoilt")
+
+
+@query
+def rejected_lines(spark, d):
+    """What a load rejects, with its reasons; a number per line is checked by the lines' count."""
+    stored = lines.store(spark, _spoilt_landing(spark, d), OTH, scratch(spark, "lines"))
+    rejected = tables.read_table(spark, stored.rejected)
+    cells = F.split("line", "[|]", -1)
+    return rejected.select(
+        CYCLE, F.get(cells, F.lit(16)).alias("tran_id"), F.get(cells, F.lit(14)).alias("amount"), F.get(cells, F.lit(13)).alias("transaction_dt"),
+        F.array_join("reasons", ", ").alias("reason"))
+
+
+@query
+def accepted_lines(spark, d):
+    """The typed rows of the same load."""
+    stored = lines.store(spark, _spoilt_landing(spark, d), OTH, scratch(spark, "lines"))
+    return tables.read_table(spark, stored.rows).select(CYCLE, "cmte_id", "sub_id", "name", "transaction_dt", "transaction_amt")
+
+
+@query
+def rejected_line_counts(spark, d):
+    """Per cycle and reason."""
+    stored = lines.store(spark, _spoilt_landing(spark, d), OTH, scratch(spark, "lines"))
+    return lines.summary(tables.read_table(spark, stored.rejected))
+
+
 @query
 def required_nulls(spark, d):
     return quality.required_nulls(txn(spark, d), ["cmte_id", "transaction_amt", "name", "memo_cd"])

@@ -230,6 +230,13 @@ def whole(rows: str, keys: str) -> str:
             f"transaction_count FROM {rows}")
 
 
+# Landed lines with their faults.
+SPOILT = """SELECT *, CASE WHEN n % 9 = 0 AND transaction_amt IS NOT NULL THEN CAST(transaction_amt AS VARCHAR) || 'x'
+    ELSE coalesce(CAST(transaction_amt AS VARCHAR), '') END AS amount,
+  concat_ws(', ', CASE n % 5 WHEN 3 THEN 'too few fields' WHEN 4 THEN 'too many fields' END,
+    CASE WHEN n % 9 = 0 AND transaction_amt IS NOT NULL THEN 'unreadable transaction_amt' END) AS reason
+  FROM (SELECT *, CAST(substr(tran_id, 2) AS BIGINT) AS n FROM txn) t"""
+
 # Reporting tables: the rows behind each, and the text of every column.
 _TWO = "CAST({} AS DECIMAL(30,2))"
 _NOTHING = "NULL"
@@ -412,6 +419,11 @@ ORACLES: dict[str, str] = {
     "raw_width_check": duckdb_sql("""SELECT election_cycle, count(*) AS n_lines,
         count(*) FILTER (WHERE sub_id LIKE '%3') AS short_lines, count(*) FILTER (WHERE sub_id LIKE '%4') AS long_lines
         FROM txn GROUP BY 1"""),
+    "rejected_lines": duckdb_sql(f"""SELECT election_cycle, tran_id, amount, transaction_dt, reason FROM ({SPOILT}) s WHERE reason <> ''"""),
+    "accepted_lines": duckdb_sql(f"""SELECT election_cycle, cmte_id, sub_id, nullif(name, '') AS name, transaction_dt,
+        CAST(transaction_amt AS DOUBLE) AS transaction_amt FROM ({SPOILT}) s WHERE reason = ''"""),
+    "rejected_line_counts": duckdb_sql(f"""SELECT election_cycle, r AS reason, count(*) AS n_lines
+        FROM (SELECT election_cycle, unnest(string_split(reason, ', ')) AS r FROM ({SPOILT}) s WHERE reason <> '') q GROUP BY ALL"""),
     "required_nulls": duckdb_sql("""SELECT 'cmte_id' AS column_name, count(*) FILTER (WHERE cmte_id IS NULL) AS null_rows FROM txn
         UNION ALL SELECT 'transaction_amt', count(*) FILTER (WHERE transaction_amt IS NULL) FROM txn
         UNION ALL SELECT 'name', count(*) FILTER (WHERE name IS NULL) FROM txn
