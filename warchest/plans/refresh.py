@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import figures as observed
 from ..operators.clean import CYCLE
 from ..operators.combine import combine_cycles
 from ..operators.manifest import KEY, STATE
@@ -34,29 +35,32 @@ def sort_columns(spec: DatasetSpec) -> list[str]:
     return list(spec.group_by) or [spec.columns[0]]
 
 
-def store_cycles(raw: DataFrame, spec: DatasetSpec, table: str, cycles: list[int]) -> None:
+def store_cycles(raw: DataFrame, spec: DatasetSpec, table: str, cycles: list[int]) -> dict[int, dict[str, int | None]]:
     """Rebuild ``cycles`` of a table from their raw rows, and of the tables that share its files.
-    A cycle that has no rows left is emptied."""
+    A cycle that has no rows left is emptied.  Returns the table's figures per cycle, counted while it was written."""
     followers = [s for s in SPECS.values() if s.same_file_as == spec.name]
+    seen = observed.Figures(spec, cycles)
+    raw = seen.raw(raw) if spec.is_rollup else raw
     if not followers:
-        replace_cycles(build(raw, spec), table, sort_columns(spec), touched=cycles)
-        return
+        replace_cycles(seen.finished(build(raw, spec)), table, sort_columns(spec), touched=cycles)
+        return seen.rows()
     # One pass over the files; only their small fine grouping is kept for the second write.
     fine = fine_expenditures(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        replace_cycles(regroup(fine, spec), table, sort_columns(spec), touched=cycles)
+        replace_cycles(seen.finished(regroup(fine, spec)), table, sort_columns(spec), touched=cycles)
         root = table.rstrip("/").rpartition("/")[0]
         for s in followers:
             replace_cycles(regroup(fine, s), table_path(root, s.name), sort_columns(s), touched=cycles)
     finally:
         fine.unpersist()
+    return seen.rows()
 
 
-def refresh_cycles(spark: SparkSession, name: str, cycles: list[int], landing: str, tables: str) -> None:
-    """Rebuild cycles of one dataset, and of the datasets that share its files, in one plan."""
+def refresh_cycles(spark: SparkSession, name: str, cycles: list[int], landing: str, tables: str) -> dict[int, dict[str, int | None]]:
+    """Rebuild cycles of one dataset, and of the datasets that share its files, in one plan; returns their figures."""
     spec = SPECS[name]
     globs = "{" + ",".join(landing_glob(spec, c) for c in sorted(cycles)) + "}"
-    store_cycles(read_pipe(spark, landing, spec.raw_schema, globs), spec, table_path(tables, name), cycles)
+    return store_cycles(read_pipe(spark, landing, spec.raw_schema, globs), spec, table_path(tables, name), cycles)
 
 
 def preview(spark: SparkSession, name: str, cycles: list[int], landing: str, sample: int = 5) -> DataFrame:
@@ -92,37 +96,39 @@ def apply_changes(spark: SparkSession, changes: DataFrame, landing: str, tables:
     The change list is small by nature (datasets times cycles).  All cycles of a dataset are one
     plan, one replacement and one state write; only if that fails are its cycles tried one by
     one, so that a bad cycle does not hold back the others.  A dry run stores nothing and
-    reports the rows each cycle would have.
+    reports the rows each cycle would have.  Otherwise the figures of each cycle come back: the rows
+    written and checked, and what exclusions left out, counted by the job that wrote them.
     """
+    nothing = dict.fromkeys(observed.COLUMNS)
+    told = lambda figures: tuple(figures.get(c) for c in observed.COLUMNS)
     outcome, by_dataset = [], {}
     for row in changes.select(*KEY, *STATE).orderBy(*KEY).collect():
         by_dataset.setdefault(row.dataset, []).append(row)
     for name, rows in by_dataset.items():
         if name not in SPECS:
-            outcome += [(name, r.cycle, "failed", "unknown dataset", None) for r in rows]
+            outcome += [(name, r.cycle, "failed", "unknown dataset", *told(nothing)) for r in rows]
             continue
         landed = landed_cycles(spark, landing, SPECS[name])
-        outcome += [(name, r.cycle, "failed", f"no landed file for {name} {r.cycle}", None) for r in rows if r.cycle not in landed]
+        outcome += [(name, r.cycle, "failed", f"no landed file for {name} {r.cycle}", *told(nothing)) for r in rows if r.cycle not in landed]
         rows = [r for r in rows if r.cycle in landed]
         batches = [rows, *([r] for r in rows)] if len(rows) > 1 else [rows] if rows else []
         for k, batch in enumerate(batches):
             cycles = [r.cycle for r in batch]
             try:
-                counts = {}
                 if dry_run:
                     found = preview(spark, name, cycles, landing).select("cycle", "row_count").collect()
-                    counts = dict.fromkeys(cycles, 0) | {r.cycle: r.row_count for r in found}
+                    figures = {c: {"row_count": 0} for c in cycles} | {r.cycle: {"row_count": r.row_count} for r in found}
                 else:
-                    refresh_cycles(spark, name, cycles, landing, tables)
+                    figures = refresh_cycles(spark, name, cycles, landing, tables) or {}
                     record_state(spark.createDataFrame([tuple(r) for r in batch], _STATE_ROW), manifest)
-                outcome += [(name, c, "applied", None, counts.get(c)) for c in cycles]
+                outcome += [(name, c, "applied", None, *told(figures.get(c, nothing))) for c in cycles]
                 if not k:
                     break
             except Exception as error:  # noqa: BLE001 - one bad cycle must not stop the rest
                 log.warning("refresh of %s %s failed: %s", name, cycles, error)
                 if len(batch) == 1:
-                    outcome.append((name, cycles[0], "failed", str(error).split("\n", 1)[0], None))
-    return spark.createDataFrame(outcome, "dataset string, cycle int, status string, error string, row_count bigint")
+                    outcome.append((name, cycles[0], "failed", str(error).split("\n", 1)[0], *told(nothing)))
+    return spark.createDataFrame(outcome, f"dataset string, cycle int, status string, error string, {observed.SCHEMA}")
 
 
 def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:

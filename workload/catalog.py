@@ -797,6 +797,35 @@ def apply_changes(spark, d):
     return _both_spending(spark, root).join(state, CYCLE)
 
 
+@query
+def refresh_figures(spark, d):
+    """What a refresh tells about itself: the exclusion audit and the quality figures, counted while it writes."""
+    landing = land(spark, raw_rows(txn(spark, d), BY_STATE), BY_CATEGORY, "figures")
+    root = scratch(spark, "figures")
+    changes = txn(spark, d).groupBy(F.col(CYCLE).alias("cycle")).agg(F.count(F.lit(1)).alias("content_length")).select(
+        F.lit("expenditures_by_category").alias("dataset"), "cycle", F.lit(None).cast("string").alias("etag"),
+        F.lit(None).cast("string").alias("last_modified"), "content_length")
+    return refresh.apply_changes(spark, changes, landing, root, f"{root}/manifest").drop("error", "dataset")
+
+
+@query
+def refresh_preview(spark, d):
+    """Dry run: rows and the first finished row of each cycle."""
+    landing = land(spark, raw_rows(txn(spark, d), BY_STATE), BY_CATEGORY, "preview")
+    cycles = sorted(r[0] for r in txn(spark, d).select(CYCLE).distinct().collect())
+    shown = refresh.preview(spark, BY_CATEGORY.name, cycles, landing, sample=1)
+    first = F.from_json(shown["sample"][0], "cmte_id string, category string, transaction_year int")
+    return shown.select("cycle", "row_count", first.alias("f")).select("cycle", "row_count", "f.cmte_id", "f.category", "f.transaction_year")
+
+
+@query
+def scan_text_csv(spark, d):
+    """A CSV file read by its header with every column as text, columns in another order than asked."""
+    out = scratch(spark, "text_csv")
+    tables.export_csv(txn(spark, d).select("sub_id", "memo_text", "transaction_amt", CYCLE, "name"), out)
+    return files.read_text_csv(spark, out, [CYCLE, "name", "memo_text", "transaction_amt", "sub_id"])
+
+
 @query
 def refresh_status(spark, d):
     return manifest.refresh_status(view(spark, d, "manifest_old"))

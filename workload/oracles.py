@@ -600,6 +600,19 @@ ORACLES: dict[str, str] = {
           CAST(CASE WHEN election_cycle < 1996 THEN 2 * total_amount ELSE total_amount END AS DOUBLE) AS total_amount
         FROM by_state""", STATE),
     "stream_two_tables": duckdb_sql(BOTH_SPENDING.format(more="", join=""), f"{CATEGORY}, {STATE}"),
+    "refresh_figures": duckdb_sql("""SELECT election_cycle AS cycle, 'applied' AS status, CAST(input_rows AS BIGINT) AS input_rows,
+          CAST(memo_rows AS BIGINT) AS memo_rows, CAST(amended_rows AS BIGINT) AS amended_rows,
+          CAST(input_rows - memo_rows - amended_rows - kept_rows AS BIGINT) AS duplicate_rows,
+          CAST(row_count AS BIGINT) AS row_count, CAST(kept_rows AS BIGINT) AS kept_rows, CAST(0 AS BIGINT) AS extreme_rows, CAST(0 AS BIGINT) AS nonpositive_rows
+        FROM (SELECT election_cycle, count(*) AS input_rows, count(*) FILTER (WHERE memo_cd = 'X') AS memo_rows,
+            count(*) FILTER (WHERE coalesce(memo_cd, '') <> 'X' AND amndt_ind <> 'N') AS amended_rows FROM txn GROUP BY 1) r
+        JOIN (SELECT election_cycle, count(*) AS row_count, sum(transaction_count) AS kept_rows FROM by_category GROUP BY 1) f
+        USING (election_cycle)""", CATEGORY),
+    "refresh_preview": duckdb_sql("""SELECT election_cycle AS cycle, count(*) OVER (PARTITION BY election_cycle) AS row_count, cmte_id, category, transaction_year
+        FROM by_category QUALIFY row_number() OVER (PARTITION BY election_cycle ORDER BY transaction_year NULLS FIRST, cmte_id NULLS FIRST,
+          category NULLS FIRST, category_desc NULLS FIRST) = 1""", CATEGORY),
+    "scan_text_csv": duckdb_sql("""SELECT CAST(election_cycle AS VARCHAR) AS election_cycle, nullif(name, '') AS name, memo_text,
+        CAST(transaction_amt AS VARCHAR) AS transaction_amt, sub_id FROM txn"""),
     "refresh_status": duckdb_sql("""SELECT dataset, cycle, coalesce(last_updated, 'unknown') AS last_updated,
         count(*) OVER (PARTITION BY dataset) AS cycles, max(last_updated) OVER (PARTITION BY dataset) AS dataset_updated
         FROM manifest_old"""),
