@@ -128,3 +128,17 @@ def test_only_ascii_letters_are_folded(spark):
     df = spark.createDataFrame([(1, "blue oa\u212a model license 1.0"), (2, "blue oaK model license 1.0"), (3, "M\u0130T LICENSE"), (4, "\u212a")], "doc_id long, text string")
     rows = {r.doc_id: [d.label for d in r.detections] for r in scan(df).collect()}
     assert "blueoak" not in rows[1] and "blueoak" in rows[2] and "mit" not in rows[3] and rows[4] == []
+
+
+def test_every_match_needs_what_its_rule_says():
+    """A match of a rule that needs a word has it, wherever the pattern leaves a choice."""
+    for rule in rules():
+        if rule.needs:
+            pattern = rule.pattern
+            while "(?:" in pattern:  # drop optional groups, innermost first; others stay if each choice has the word
+                inner = re.sub(r"\(\?:[^()]*\)[?*]", "", pattern)
+                inner = re.sub(r"\(\?:([^()]*)\)", lambda m: " ".join(m[1].split("|")[:1]) if "|" in m[1] else m[1], inner, count=1)
+                if inner == pattern:
+                    break
+                pattern = inner
+            assert rule.needs in pattern.replace("licen[cs]e", "license"), rule

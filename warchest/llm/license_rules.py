@@ -15,6 +15,7 @@ class Rule(NamedTuple):
     priority: int
     weight: float
     pattern: str
+    needs: str = ""  # a word of every match begins like this
 
 
 # Label, keyword, pattern of the name, pattern of the short tag ("" if none).
@@ -143,13 +144,13 @@ def rules() -> list[Rule]:
         called = name if "licen[cs]e (?:version" in name else f"{name} licen[cs]e"  # a version follows the word itself
         made += [
             Rule(label, keywords, 4, 0.95, rf"(?:licensed|released|distributed|available|published|provided) (?:to you )?under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?"),
-            Rule(label, keywords, 3, 0.9, rf"licen[cs]e (?:type |name )?(?:is )?(?:the )?{name}(?: licen[cs]e)?"),
-            Rule(label, keywords, 2, 0.85, called),
+            Rule(label, keywords, 3, 0.9, rf"licen[cs]e (?:type |name )?(?:is )?(?:the )?{name}(?: licen[cs]e)?", "licen"),
+            Rule(label, keywords, 2, 0.85, called, "licen"),
         ]
         if tag:
             made += [
-                Rule(label, ["spdx"], 7, 0.99, rf"spdx license identifier {tag}"),
-                Rule(label, ["license"], 5, 0.92, rf"license {tag} see (?:the )?license"),
+                Rule(label, ["spdx"], 7, 0.99, rf"spdx license identifier {tag}", "licen"),
+                Rule(label, ["license"], 5, 0.92, rf"license {tag} see (?:the )?license", "licen"),
             ]
-    made += [Rule(label, ["license"], 1, 0.8, phrase) for label, phrase in BASE]
+    made += [Rule(label, ["license"], 1, 0.8, phrase, "licen") for label, phrase in BASE]
     return sorted(made, key=lambda r: -r.priority)

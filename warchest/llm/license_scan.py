@@ -19,7 +19,7 @@ from warchest.llm.license_rules import BASE, GATE, Rule, rules
 
 #: Runs of characters that belong to no word, once letters are lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RULE = "array<struct<label: string, keywords: array<string>, priority: int, weight: double, pattern: string>>"
+GROUP = "array<struct<keywords: array<string>, needs: string, rules: array<struct<label: string, priority: int, weight: double, pattern: string>>>>"
 SPAN = "struct<first: int, last: int>"
 _OPEN, _CLOSE = "\x01", "\x02"
 
@@ -53,8 +53,16 @@ def _named(label: str, found: Column) -> Column:
 
 def _found(line: Column, padded: Column, known: list[Rule]) -> Column:
     """Every match of every rule, by start, longer ones first, then by order of the rules."""
-    table = F.from_json(F.lit(json.dumps([r._asdict() | {"keywords": [f" {k}" for k in r.keywords]} for r in known])), RULE)
-    tried = F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(padded, k)))
+    groups: dict[tuple, list[dict]] = {}
+    for r in known:
+        groups.setdefault((*r.keywords, r.needs), []).append({"label": r.label, "priority": r.priority, "weight": r.weight, "pattern": r.pattern})
+    listed = [{"keywords": [f" {k}" for k in key[:-1]], "needs": f" {key[-1]}", "rules": of} for key, of in groups.items()]
+    table = F.from_json(F.lit(json.dumps(listed)), GROUP)
+    # what the frames need is looked for once, a keyword once for all rules that share it
+    there = F.filter(F.array(*[F.lit(n) for n in sorted({f" {r.needs}" for r in known})]), lambda n: F.contains(padded, n))
+    open_ = F.transform(F.array(there), lambda need: F.filter(table, lambda g: F.array_contains(need, g["needs"])))[0]
+    tried = F.flatten(F.transform(
+        F.filter(open_, lambda g: F.exists(g["keywords"], lambda k: F.contains(padded, k))), lambda g: g["rules"]))
     matches = F.transform(tried, lambda r: F.transform(spans(line, r["pattern"]), lambda s: F.struct(
         s["first"].alias("first"), (-s["last"]).alias("minus_last"), (-r["priority"]).alias("minus_priority"), r["label"].alias("label"), r["weight"].alias("weight"))))
     return F.array_sort(F.flatten(matches))
