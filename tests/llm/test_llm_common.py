@@ -26,3 +26,14 @@ def test_fold(spark):
     from zlib import crc32
     got = [r[0] for r in df.select(common.fold(df["i"], 5, crc32(b"0") % 5)).collect()]
     assert got[0] and got[2] is False and got[1] == (crc32(b"7") % 5 == crc32(b"0") % 5)
+
+
+def test_tidy_keeps_what_is_read(spark):
+    df = spark.range(5).toDF("a")
+    before = len(common.SPOOLED)
+    one, two = common.spool(df, "one"), common.spool(df, "two")
+    paths = common.SPOOLED[before:]
+    common.tidy(spark, before, two.where("a > 1"), None)
+    assert [os.path.isdir(p) for p in paths] == [False, True] and two.count() == 5 and common.SPOOLED[before:] == paths[1:]
+    common.tidy(spark, before)
+    assert not os.path.isdir(paths[1]) and one is not None

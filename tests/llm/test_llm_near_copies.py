@@ -52,7 +52,7 @@ def test_recall_and_precision(spark):
     got = {r.doc_id: r.component_id for r in near_copies(df).collect()}
     assert all(want[got[i]] == want[i] for i in got)  # nothing joined that is not
     joined = [i for i in got if want[i] != i]
-    assert sum(got[i] == want[i] for i in joined) >= 0.95 * len(joined)
+    assert all(got[i] == want[i] for i in joined)
     assert near_copies(df.limit(0)).count() == 0
 
 
@@ -105,3 +105,33 @@ def test_new_tails_blocks_and_long_texts(spark):
         want += [i, i + slow_classes(texts[i : i + 2])[1]]
     assert sum(w % 2 == 0 for w in want) > len(want) * 0.9
     assert classes(spark, texts) == want
+
+
+def test_passages_and_lines_that_unrelated_texts_share(spark):
+    """Groups share passages of 60 words, all a line; some texts are mostly passages, some are copies with a few words changed."""
+    rng = random.Random(11)
+    new = lambda n: [f"x{rng.randrange(10**6)}" for _ in range(n)]
+    line, passages, texts = new(12), [new(60) for _ in range(12)], []
+    for i in range(420):
+        words = new(rng.randint(20, 300)) + line
+        for p in rng.sample(passages, rng.choice([1, 1, 2, 5])):
+            at = rng.randrange(len(words))
+            words[at:at] = p
+        texts.append(" ".join(words))
+        if i % 7 == 0:
+            own = list(words)
+            for k in rng.sample(range(len(own)), max(1, len(own) // 80)):
+                own[k] = new(1)[0]
+            texts.append(" ".join(own))
+    texts += [" ".join(sum((passages[k] for k in some), [])) for some in ((0, 1, 2), (0, 1, 2, 3), (2, 1, 0), (4, 5), (4, 5, 6), (5, 4))]
+    texts += [" ".join(line), " ".join(line[:4]), " ".join(line), "a b c d e f", "a b c d e f g"] + ["u v w x y z " + t for t in "abcdefghijkl"]
+    want = slow_classes(texts)
+    assert classes(spark, texts) == want and sum(w != i for i, w in enumerate(want)) > 50
+
+
+def test_scratch_tables_are_removed(spark):
+    from warchest.llm import common
+    df = spark.createDataFrame(list(enumerate(made(9, groups=5))), "doc_id long, text string")
+    before = len(common.SPOOLED)
+    assert near_copies(df).count() == 25
+    assert len(common.SPOOLED) - before <= 8

@@ -42,12 +42,24 @@ def spool(df: DataFrame, label: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove what spool wrote so far.  Call it once the results that read it are stored."""
-    jvm = spark.sparkContext._jvm
     while SPOOLED:
-        path = jvm.org.apache.hadoop.fs.Path(SPOOLED.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, SPOOLED.pop())
+
+
+def tidy(spark: SparkSession, since: int, *kept: DataFrame | None) -> None:
+    """Remove what spool wrote since SPOOLED had `since` entries, but for the tables that `kept` reads."""
+    read = {"/".join(f.split("/")[:-1]).removeprefix("file://") for df in kept if df is not None for f in df.inputFiles()}
+    for name in SPOOLED[since:]:
+        if not any(f == name or f.endswith(name) or f.startswith(f"{name}/") for f in read):
+            _remove(spark, name)
+            SPOOLED.remove(name)
 
 
 def slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:

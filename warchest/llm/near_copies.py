@@ -1,15 +1,18 @@
 """Near-duplicates by exact similarity: texts whose distinct five-word shingles agree to 0.8 or more are linked, and links form components.
 
 Candidates come from a prefix filter.  All shingles have one order; of a text with n shingles the first n - ceil(0.8 n) + 1 are its
-prefix, and two texts that agree to 0.8 share a shingle of both prefixes.  So no pair escapes, whatever the edits are.  The order puts
-shingles last that are frequent in a sample of the texts, so that common lines do not bring unrelated texts together; any order gives
-the same links.  Pairs are dropped before the check only where sizes and places in the order rule the similarity out.
+prefix, and two texts that agree to 0.8 share a shingle of both prefixes.  So no pair escapes, whatever the edits are; any order gives
+the same links.  The order keeps shared passages out of the prefixes, whatever the size of the corpus: shingles whose hash lies in a BAND are
+counted over all texts; those that fewer than OFTEN texts have come first, then the shingles beyond the band, then the frequent ones.
+Texts send their part of the band; only texts that are short of rare shingles are read again for shingles beyond it.  Pairs are
+dropped before the check only where sizes and places in the order rule the similarity out.
 
 Texts that share a prefix shingle are a bucket, ranked by how much of their prefix others have, so that an original comes before copies
-that agree with it but not with each other.  Rounds compare the first rank of each bucket with all later ones, then ranks 2 to 4, then
-5 to 16, and so on.  A bucket ends when what is left of it is one component; pairs within a component and pairs already
-compared are left out.  After the last round every pair of a bucket is in one component or was compared.  Texts that share prefix shingles
-without being similar cost a comparison a pair; there is no cap.
+that agree with it but not with each other.  First every text meets the head of its largest bucket, once; that joins most groups.  Then
+rounds compare the first rank of each bucket with all later ones, then ranks 2 to 4, then 5 to 16, and so on.  A bucket ends when what is left
+of it is one component; pairs within a component and pairs already compared are left out.  After the last round every pair of a
+bucket is in one component or was compared.  Texts that consist of frequent shingles without being similar cost a comparison a pair;
+there is no cap.
 
 Texts that are the same words are one node from the start, so copies never meet each other.
 
@@ -23,15 +26,16 @@ from collections.abc import Callable
 from math import ceil
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from warchest.llm.common import col, map_texts, spool
+from warchest.llm.common import SPOOLED, col, map_texts, spool, tidy
 from warchest.llm.simhash import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: The order of shingles knows those that this many of about so many texts have.
-SAMPLE, COMMON = 10_000, 3
+#: Part of all shingles, by hash, that are counted over all texts, and from how many texts on one counts as frequent.
+BAND, OFTEN = 0.4, 8
 #: A round goes so many times as far down the ranks as the one before.
 REACH = 4
 #: Bits of the filter that leaves texts nobody asked for out of a check; a text let through in vain is dropped by a join.
@@ -60,16 +64,18 @@ def shingles_of(words: list[bytes], shingle: int) -> np.ndarray:
     return np.unique(x.view(np.int64))
 
 
-def shingler(shingle: int, wanted: np.ndarray | None = None) -> Callable[[list], list[list]]:
-    """A text's node and the upper 32 bits of its distinct shingles; if `wanted` is a filter, no shingles for nodes it leaves out."""
+def in_filter(node: int, wanted: np.ndarray) -> bool:
+    at = node % FILTER
+    return bool(int(wanted[at >> 5]) >> (at & 31) & 1)
+
+
+def shingler(shingle: int, wanted: np.ndarray) -> Callable[[list], list[list]]:
+    """A text's node and the upper 32 bits of its distinct shingles; none for nodes the filter `wanted` leaves out."""
 
     def one(text: bytes | None) -> tuple[int, np.ndarray | None]:
         words = (text or b"").lower().split()
         node = node_of(words)
-        at = node % FILTER
-        if wanted is not None and not int(wanted[at >> 5]) >> (at & 31) & 1:
-            return node, None
-        return node, np.unique((shingles_of(words, shingle) >> 32).astype(np.int32))
+        return node, np.unique((shingles_of(words, shingle) >> 32).astype(np.int32)) if in_filter(node, wanted) else None
 
     return lambda texts: [list(c) for c in zip(*map(one, texts), strict=True)]
 
@@ -79,50 +85,87 @@ def namer() -> Callable[[list], list[list]]:
     return lambda texts: [[node_of((t or b"").lower().split()) for t in texts]]
 
 
-def lister(shingle: int) -> Callable[[list], list[list]]:
-    """A text's distinct shingles."""
-    return lambda texts: [[shingles_of((t or b"").lower().split(), shingle) for t in texts]]
+def prefix_size(n: int, similarity: float) -> int:
+    return n - ceil(similarity * n - SLACK) + 1
+
+
+#: Signed hashes below it are the band.
+EDGE = int(BAND * 2**64) - 2**63
 
 
-def prefixer(shingle: int, similarity: float, known: np.ndarray, often: np.ndarray) -> Callable[[list], list[list]]:
-    """A text's node, its number of shingles and its prefix.  known: sorted shingles that come last, by `often`."""
+def marker(shingle: int, similarity: float, wanted: np.ndarray | None = None) -> Callable[[list], list[list]]:
+    """A text's node, its number of shingles, how many lie in the band, and its first shingles by hash: the band, and beyond it up to the size
+    of the prefix.  With a filter `wanted` only its nodes, and what further shingles beyond the band a prefix may need."""
 
-    def one(text: bytes | None) -> tuple[int, int, np.ndarray]:
+    def one(text: bytes | None) -> tuple[int, int, int, int, np.ndarray]:
         words = (text or b"").lower().split()
+        node = node_of(words)
+        if wanted is not None and not in_filter(node, wanted):
+            return node, 0, 0, 0, NOTHING
         x = shingles_of(words, shingle)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, x), len(known) - 1)
-            x = x[np.argsort(np.where(known[at] == x, often[at], 0), kind="stable")]
-        return node_of(words), len(x), x[: len(x) - ceil(similarity * len(x) - SLACK) + 1]
+        k, size = int(np.searchsorted(x, EDGE)), prefix_size(len(x), similarity)
+        start, end = (0, max(k, size)) if wanted is None else (max(k, size), k + size)
+        return node, len(x), k, start, x[start:end]
 
     return lambda texts: [list(c) for c in zip(*map(one, texts), strict=True)]
 
 
-def common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of a sample have, sorted, and how many have them.  It decides about the order only."""
-    every = max(1, docs.count() // SAMPLE)
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text").distinct()
-    made = [T.StructField("set", T.ArrayType(T.LongType()), False)]
-    sets = map_texts(some, "text", [], made, lambda: lister(shingle), binary=True)
-    seen = sets.select(F.explode("set").alias("x")).groupBy("x").count().where(F.col("count") >= COMMON).toArrow()
-    x, n = (seen[c].to_numpy() for c in ("x", "count"))
-    turn = np.argsort(x)
-    return x[turn], n[turn].astype(np.int32)
+NOTHING = np.zeros(0, np.int64)
 
 
-def buckets(docs: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """(token, node, n, pos, rank): the nodes of each shingle that several prefixes have."""
-    known, often = common(docs, shingle)
-    made = [T.StructField("node", T.LongType(), False), T.StructField("n", T.IntegerType(), False), T.StructField("prefix", T.ArrayType(T.LongType()), False)]
-    texts = map_texts(docs, "text", [], made, lambda: prefixer(shingle, similarity, known, often), binary=True)
+def filter_of(nodes: DataFrame) -> np.ndarray:
+    """Bits of the nodes; a text let through in vain is dropped by a join."""
+    bits = nodes.select(F.pmod("node", F.lit(FILTER)).alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
+    bits = bits.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(31).cast("int"))).alias("bits")).toArrow()
+    wanted = np.zeros(FILTER >> 5, np.uint32)
+    wanted[bits["word"].to_numpy()] = bits["bits"].to_numpy().astype(np.uint32)
+    return wanted
+
+
+def marked(docs: DataFrame, similarity: float, shingle: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(token, node, n, k, pos): pos is the place by hash, k the size of the band."""
+    whole = T.IntegerType()
+    made = [T.StructField("node", T.LongType(), False), T.StructField("n", whole, False), T.StructField("k", whole, False),
+            T.StructField("start", whole, False), T.StructField("first", T.ArrayType(T.LongType()), False)]
+    texts = map_texts(docs, "text", [], made, lambda: marker(shingle, similarity, wanted), binary=True)
+    return texts.select("node", "n", "k", "start", F.posexplode("first").alias("turn", "token")).select(
+        "token", "node", "n", "k", (F.col("start") + F.col("turn")).alias("pos"))
+
+
+def prefixes(docs: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """(token, node, n, pos): the shingles of the prefixes, as far as another text may have them, pos their place in the order."""
+    size = F.col("n") - F.ceil(similarity * F.col("n") - SLACK) + 1
     # one shuffle, by shingle, also takes out the copies
-    marks = texts.select("node", "n", F.posexplode("prefix").alias("pos", "token")).repartition("token").dropDuplicates(["token", "node"])
-    marks = marks.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1")
-    marks = spool(marks, "marks")
+    marks = marked(docs, similarity, shingle).repartition("token").dropDuplicates(["token", "node"])
+    marks = marks.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1 or pos >= k")
+    often = (F.col("pos") < F.col("k")) & (F.col("m") >= OFTEN)
+    own = Window.partitionBy("node")
+    before = F.coalesce(F.sum(often.cast("int")).over(own.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marks = marks.withColumn("often", often).withColumns({"before": before, "frequent": F.sum(often.cast("int")).over(own)})
+    marks = spool(marks.withColumn("rare", F.col("k") - F.col("frequent")), "marks")
+    place = F.when(F.col("often"), F.col("rare") + F.col("n") - F.col("k") + F.col("before")).when(
+        F.col("pos") < F.col("k"), F.col("pos") - F.col("before")).otherwise(F.col("rare") + F.col("pos") - F.col("k"))
+    found = marks.select("token", "node", "n", place.cast("int").alias("pos")).where(F.col("pos") < size)
+    short = marks.where((F.col("frequent") > 0) & (F.col("rare") < size)).select("node", "rare").distinct()
+    short = spool(short, "short")
+    if short.isEmpty():
+        return found
+    more = marked(docs, similarity, shingle, filter_of(short)).dropDuplicates(["token", "node"]).join(short.hint("merge"), "node")
+    more = more.select("token", "node", "n", (F.col("rare") + F.col("pos") - F.col("k")).alias("pos")).where(F.col("pos") < size)
+    return found.unionAll(more)
+
+
+def buckets(docs: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """(token, node, n, pos, m, rank): the nodes of each shingle that several prefixes have."""
+    since = len(SPOOLED)
+    marks = prefixes(docs, similarity, shingle).withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1")
+    marks = spool(marks, "shared")
     score = marks.groupBy("node").agg((F.sum(F.log2("m")) / F.any_value("n")).alias("score"))
     marks = marks.join(score.hint("merge"), "node")
     rank = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("score"), "node"))
-    return spool(marks.select("token", "node", "n", "pos", rank.alias("rank")), "ranked")
+    ranked = spool(marks.select("token", "node", "n", "pos", "m", rank.alias("rank")), "ranked")
+    tidy(docs.sparkSession, since, ranked)
+    return ranked
 
 
 def possible(similarity: float) -> Column:
@@ -131,50 +174,83 @@ def possible(similarity: float) -> Column:
     return (first + rest) * (1 + similarity) + SLACK >= similarity * (F.col("h.n") + F.col("o.n"))
 
 
-def verified(near: DataFrame, docs: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """The pairs whose texts agree enough."""
-    nodes = near.select(F.explode(F.array("a", "b")).alias("node"))
-    bits = nodes.select(F.pmod("node", F.lit(FILTER)).alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
-    bits = bits.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(31).cast("int"))).alias("bits")).toArrow()
-    wanted = np.zeros(FILTER >> 5, np.uint32)
-    wanted[bits["word"].to_numpy()] = bits["bits"].to_numpy().astype(np.uint32)
+def sets_of(nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, set): the shingles of texts that are in a bucket, written once."""
     made = [T.StructField("node", T.LongType(), False), T.StructField("set", T.ArrayType(T.IntegerType()))]
+    wanted = filter_of(nodes)
     sets = map_texts(docs, "text", [], made, lambda: shingler(shingle, wanted), binary=True).where("set is not null")
-    # grouped by node, so that both joins read this one shuffle
-    sets = sets.groupBy("node").agg(F.any_value("set").alias("set"))
-    side = lambda end: sets.select(F.col("node").alias(end), F.col("set").alias(f"set_{end}")).hint("merge")
+    return spool(sets.groupBy("node").agg(F.any_value("set").alias("set")), "sets")
+
+
+def verified(near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose texts agree enough."""
+    wanted = filter_of(near.select(F.explode(F.array("a", "b")).alias("node")))
+
+    def asked(batches):
+        for batch in batches:
+            at = np.mod(batch.column(0).to_numpy(), FILTER)
+            yield batch.filter(pa.array((wanted[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)))
+
+    # grouped by node, so that both joins read one shuffle
+    known = sets.mapInArrow(asked, sets.schema).groupBy("node").agg(F.any_value("set").alias("set"))
+    side = lambda end: known.select(F.col("node").alias(end), F.col("set").alias(f"set_{end}")).hint("merge")
     pairs = near.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return pairs.where(shared >= similarity * (F.size("set_a") + F.size("set_b") - shared)).select("a", "b")
 
 
+def _pair() -> list[Column]:
+    return [F.least("h.node", "o.node").alias("a"), F.greatest("h.node", "o.node").alias("b")]
+
+
+def heads(left: DataFrame, similarity: float) -> DataFrame:
+    """Every text with the first of its largest bucket: at most one pair a text."""
+    one = left.where("rank > 1").groupBy("node").agg(F.max_by(F.struct("token", "node", "n", "pos", "m", "rank"), F.struct("m", "token")).alias("o")).select("o.*")
+    first = left.where("rank = 1").alias("h")
+    met = one.alias("o").join(first.hint("merge"), F.col("o.token") == F.col("h.token"))
+    return met.where(possible(similarity)).select(*_pair()).distinct()
+
+
 def linked(docs: DataFrame, similarity: float, shingle: int) -> DataFrame | None:
     """(node, root) of all nodes that have a similar one; None if there are none."""
+    spark, began = docs.sparkSession, len(SPOOLED)
     left, low, high = buckets(docs, similarity, shingle), 1, 1
+    if left.isEmpty():
+        tidy(spark, began)
+        return None
+    sets = sets_of(left.select("node"), docs, shingle)
     edges = tested = roots = None
-    while not left.isEmpty():
-        known = left.withColumn("root", F.col("node"))
-        if roots is not None:
-            known = left.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-            mixed = known.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
-            left = spool(known.join(mixed.hint("merge"), "token", "left_semi"), "left")
-            known, left = left, left.drop("root")
-        hubs, others = known.where(F.col("rank").between(low, high)).alias("h"), known.alias("o")
-        meet = (F.col("h.token") == F.col("o.token")) & (F.col("h.rank") < F.col("o.rank")) & (F.col("h.root") != F.col("o.root"))
-        pairs = others.join(hubs.hint("merge"), meet & possible(similarity)).select(
-            F.least("h.node", "o.node").alias("a"), F.greatest("h.node", "o.node").alias("b")).distinct()
+    first = True
+    while first or not left.isEmpty():
+        since = len(SPOOLED)
+        if first:
+            pairs = heads(left, similarity)
+        else:
+            known = left.withColumn("root", F.col("node"))
+            if roots is not None:
+                known = left.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+                mixed = known.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
+                known = spool(known.join(mixed.hint("merge"), "token", "left_semi"), "left")
+                left = known.drop("root")
+            hubs, others = known.where(F.col("rank").between(low, high)).alias("h"), known.alias("o")
+            meet = (F.col("h.token") == F.col("o.token")) & (F.col("h.rank") < F.col("o.rank")) & (F.col("h.root") != F.col("o.root"))
+            pairs = others.join(hubs.hint("merge"), meet & possible(similarity)).select(*_pair()).distinct()
         if tested is not None:
             pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
         pairs = spool(pairs, "pairs")
         if not pairs.isEmpty():
-            found = spool(verified(pairs, docs, similarity, shingle), "similar")
+            found = spool(verified(pairs, sets, similarity), "similar")
             tested = pairs if tested is None else tested.unionAll(pairs)
             if not found.isEmpty():
                 edges = found if edges is None else edges.unionAll(found)
                 roots = components(edges).toDF("node", "root")
-        # what was a hub has met its whole bucket
-        left = left.where(F.col("rank") > high)
-        low, high = high + 1, high * REACH
+        if not first:
+            # what was a hub has met its whole bucket
+            left = left.where(F.col("rank") > high)
+            low, high = high + 1, high * REACH
+        first = False
+        tidy(spark, since, left, edges, tested, roots)
+    tidy(spark, began, roots)
     return roots
 
 
