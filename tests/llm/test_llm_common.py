@@ -37,3 +37,13 @@ def test_tidy_keeps_what_is_read(spark):
     assert [os.path.isdir(p) for p in paths] == [False, True] and two.count() == 5 and common.SPOOLED[before:] == paths[1:]
     common.tidy(spark, before)
     assert not os.path.isdir(paths[1]) and one is not None
+
+
+def test_tidy_with_another_form_of_the_address(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    before = len(common.SPOOLED)
+    one = common.spool(spark.range(3).toDF("a"), "one")
+    common.tidy(spark, before, one)
+    assert one.count() == 3 and len(common.SPOOLED) == before + 1
+    common.tidy(spark, before)
+    assert not os.listdir(tmp_path)

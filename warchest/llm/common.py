@@ -55,9 +55,10 @@ def release(spark: SparkSession) -> None:
 
 def tidy(spark: SparkSession, since: int, *kept: DataFrame | None) -> None:
     """Remove what spool wrote since SPOOLED had `since` entries, but for the tables that `kept` reads."""
-    read = {"/".join(f.split("/")[:-1]).removeprefix("file://") for df in kept if df is not None for f in df.inputFiles()}
+    # files come back with other forms of the same address, the folder's own name is unique
+    read = {part for df in kept if df is not None for f in df.inputFiles() for part in f.split("/")}
     for name in SPOOLED[since:]:
-        if not any(f == name or f.endswith(name) or f.startswith(f"{name}/") for f in read):
+        if name.rpartition("/")[2] not in read:
             _remove(spark, name)
             SPOOLED.remove(name)
 
