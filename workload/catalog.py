@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from warchest import functions as fx
 from warchest.operators import clean, combine, crosswalk, legislators, manifest, quality, rollup
-from warchest.plans import jobs, refresh, reports
+from warchest.plans import jobs, refresh, report_sql, reports
 from warchest.session import shared_dir
 from warchest.sources import catalog as report_tables
 from warchest.sources import files, lines, tables
@@ -948,3 +948,30 @@ def spend_by_state(spark, d):
 @query
 def spend_by_category(spark, d):
     return reports.spend_by_category(rollup.rollup(txn(spark, d), BY_CATEGORY))
+
+
+# ---------------------------------------------------------------------------------------
+# The same reports, called from SQL
+# ---------------------------------------------------------------------------------------
+
+# Views of the stored tables that a report may need.
+_STORED = {
+    "all_candidate_summaries": summaries, "cand_id_bioguide_crosswalk": links, "candidate_registrations": candidates,
+    "committee_registrations": committees, PAS2.name: lambda spark, d: rollup.rollup(txn(spark, d), PAS2),
+    OTH.name: lambda spark, d: rollup.rollup(txn(spark, d), OTH), BY_CATEGORY.name: lambda spark, d: rollup.rollup(txn(spark, d), BY_CATEGORY),
+    BY_STATE.name: lambda spark, d: rollup.rollup(txn(spark, d), BY_STATE), jobs.INDIVIDUAL_TOTALS: individual_rollup,
+}
+_CALLS = {"committee_search": "'pac', 5", "large_contributions": "100000D", "monthly_trend": str(OPEN_CYCLE)}
+
+
+def _sql_report(name: str) -> Query:
+    def run(spark, d):
+        report_sql.register_views({table: _STORED[table](spark, d) for table in report_sql.needed(name)})
+        return spark.sql(f"SELECT * FROM {name}({_CALLS.get(name, '')})")
+
+    run.__name__ = f"sql_{name}"
+    return run
+
+
+for _name in report_sql.FUNCTIONS:
+    query(_sql_report(_name))

@@ -668,3 +668,11 @@ ORACLES: dict[str, str] = {
     "spend_by_category": duckdb_sql(
         f"SELECT election_cycle, category, category_desc, {SUMS} FROM by_category GROUP BY 1, 2, 3", CATEGORY),
 }
+
+# A report called from SQL has the rows of the report.
+ORACLES |= {
+    f"sql_{name}": ORACLES[name] for name in (
+        "member_summary", "top_committees", "expenditure_breakdown", "committee_received", "committee_given", "committee_search",
+        "large_contributions", "individual_totals", "monthly_trend", "served_candidates", "fundraising_over_time",
+        "funders_of_candidates", "flow_between_committees", "spend_by_state", "spend_by_category")
+}
