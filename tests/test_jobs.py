@@ -77,3 +77,33 @@ def test_standardize_table(spark, tmp_path):
     done = tables.read_table(spark, target).collect()
     assert {(r.election_cycle, r.cand_name, r.cvg_end_dt) for r in done} == {
         (2020, "Lee, Bob", "2020-12-31"), (2022, "Lee, Bob", "2022-12-31")}
+
+
+def test_datasets_at_the_same_time(spark, tmp_path, monkeypatch):
+    """Three datasets are under way together; one that fails stops no other; the landing folder is listed once."""
+    import threading
+
+    from warchest.plans import refresh
+    names = ["candidate_registrations", "committee_registrations", "pac_party_summaries"]
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    landing.mkdir()
+    for name in names:
+        (landing / f"2020_{SPECS[name].prefix}20.txt").write_text(_line(SPECS[name].columns, cmte_id="C1", cand_id="H1"))
+    together, listings, pools, real, listed = threading.Barrier(3, timeout=60), [], set(), refresh.refresh_cycles, refresh.landed_files
+
+    def rebuild(session, name, *rest):
+        together.wait()  # breaks unless all three are here
+        pools.add(session.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        if name == names[1]:
+            raise RuntimeError("bad file")
+        return real(session, name, *rest)
+
+    monkeypatch.setattr(refresh, "refresh_cycles", rebuild)
+    monkeypatch.setattr(refresh, "landed_files", lambda *args: (listings.append(args), listed(*args))[1])
+    changes = spark.createDataFrame([(n, 2020, None, None, 1) for n in [*names, "unheard_of"]],
+                                    "dataset string, cycle int, etag string, last_modified string, content_length bigint")
+    out = {r.dataset: (r.status, r.error) for r in refresh.apply_changes(spark, changes, str(landing), root, f"{root}/manifest").collect()}
+    assert out == {names[0]: ("applied", None), names[1]: ("failed", "bad file"), names[2]: ("applied", None), "unheard_of": ("failed", "unknown dataset")}
+    assert pools == set(names) and len(listings) == 1
+    assert {r.dataset for r in refresh.read_manifest(spark, f"{root}/manifest").collect()} == {names[0], names[2]}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import capitalize_name, iso_date
-from ..functions.text import lookup
 from ..operators import clean, combine, crosswalk, legislators, manifest, quality, rollup
 from ..sources import catalog, files, tables
 from ..specs import (INDIVIDUAL_COLUMNS, INDIVIDUAL_NAME_COLUMNS, SPECS, TABLE_DATE_COLUMNS,
                      TABLE_NAME_COLUMNS, schema_of)
-from .refresh import apply_changes, table_path
+from .refresh import apply_changes, landed_files, table_path
 
 INDIVIDUALS = "individual_contributions"
 CROSSWALK = "cand_id_bioguide_crosswalk"
@@ -23,17 +22,7 @@ INDIVIDUAL_TOTALS = "candidate_individual_contribution_summaries"
 
 def landed_state(spark: SparkSession, landing: str) -> DataFrame:
     """State of the landed files per (dataset, cycle), from the file listing alone."""
-    prefixes = {SPECS[n].prefix: n for n in manifest.refreshable()}
-    name = F.element_at(F.split("path", "/"), -1)
-    listed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"[0-9][0-9][0-9][0-9]_*.{files.any_case('txt')}")
-        .option("recursiveFileLookup", "true")
-        .load(landing)
-        .select("modificationTime", "length", files.cycle_of_file(name).alias("cycle"),
-                lookup(prefixes, F.lower(F.regexp_extract(name, r"(?i)\A[0-9]{4}_(.+)[0-9]{2}\.txt\z", 1))).alias("dataset"))
-    )
-    return listed.where("dataset IS NOT NULL").groupBy("dataset", "cycle").agg(
+    return landed_files(spark, landing).groupBy("dataset", "cycle").agg(
         F.lit(None).cast("string").alias("etag"),
         F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("last_modified"),
         F.sum("length").alias("content_length"))

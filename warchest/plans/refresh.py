@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,14 +13,18 @@ from pyspark.sql import functions as F
 from ..operators import figures as observed
 from ..operators.clean import CYCLE
 from ..operators.combine import combine_cycles
-from ..operators.manifest import KEY, STATE
+from ..functions.text import lookup
+from ..operators.manifest import KEY, STATE, refreshable
 from ..operators.rollup import fine_expenditures, regroup, rollup
-from ..sources.files import cycle_of_file, landing_glob, read_pipe
+from ..sources.files import any_case, cycle_of_file, landing_glob, read_pipe
 from ..sources.tables import replace_cycles
 from ..specs import SPECS, DatasetSpec
 
 log = logging.getLogger(__name__)
 
+#: Datasets that a refresh rebuilds at the same time.
+AT_ONCE = 3
+
 _STATE_ROW = "dataset string, cycle int, etag string, last_modified string, content_length bigint"
 
 
@@ -75,11 +81,19 @@ def preview(spark: SparkSession, name: str, cycles: list[int], landing: str, sam
     return counts.join(few, CYCLE).select(F.col(CYCLE).alias("cycle"), "row_count", "sample")
 
 
-def landed_cycles(spark: SparkSession, landing: str, spec: DatasetSpec) -> set[int]:
-    """Cycles of a family that have files, from the listing alone."""
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """(dataset, cycle, modificationTime, length) of all landed files of refreshable datasets, from one listing."""
+    prefixes = {SPECS[n].prefix: n for n in refreshable()}
     name = F.element_at(F.split("path", "/"), -1)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", landing_glob(spec)).option("recursiveFileLookup", "true").load(landing)
-    return {r[0] for r in files.select("path").select(cycle_of_file(name)).distinct().collect()}
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"[0-9][0-9][0-9][0-9]_*.{any_case('txt')}")
+        .option("recursiveFileLookup", "true")
+        .load(landing)
+    )
+    return files.select(
+        lookup(prefixes, F.lower(F.regexp_extract(name, r"(?i)\A[0-9]{4}_(.+)[0-9]{2}\.txt\z", 1))).alias("dataset"),
+        cycle_of_file(name).alias("cycle"), "modificationTime", "length").where("dataset IS NOT NULL")
 
 
 def record_state(change: DataFrame, manifest: str) -> None:
@@ -90,44 +104,59 @@ def record_state(change: DataFrame, manifest: str) -> None:
 
 
 def apply_changes(spark: SparkSession, changes: DataFrame, landing: str, tables: str, manifest: str,
-                  dry_run: bool = False) -> DataFrame:
+                  dry_run: bool = False, at_once: int = AT_ONCE) -> DataFrame:
     """Rebuild every changed (dataset, cycle); state advances only for those that succeed.
 
     The change list is small by nature (datasets times cycles).  All cycles of a dataset are one
     plan, one replacement and one state write; only if that fails are its cycles tried one by
-    one, so that a bad cycle does not hold back the others.  A dry run stores nothing and
+    one, so that a bad cycle does not hold back the others.  Datasets are independent: up to
+    ``at_once`` of them run at the same time, each in a scheduler pool of its own, so that the tail of a
+    large one does not leave executors idle.  A dry run stores nothing and
     reports the rows each cycle would have.  Otherwise the figures of each cycle come back: the rows
     written and checked, and what exclusions left out, counted by the job that wrote them.
     """
-    nothing = dict.fromkeys(observed.COLUMNS)
-    told = lambda figures: tuple(figures.get(c) for c in observed.COLUMNS)
-    outcome, by_dataset = [], {}
+    by_dataset: dict[str, list] = {}
     for row in changes.select(*KEY, *STATE).orderBy(*KEY).collect():
         by_dataset.setdefault(row.dataset, []).append(row)
-    for name, rows in by_dataset.items():
+    landed = {tuple(r) for r in landed_files(spark, landing).select(*KEY).distinct().collect()} if by_dataset else set()
+    one_state_at_a_time = threading.Lock()
+
+    def told(figures: dict) -> tuple:
+        return tuple(figures.get(c) for c in observed.COLUMNS)
+
+    def run(name: str, cycles: list[int], rows: list) -> dict[int, dict]:
+        if dry_run:
+            found = preview(spark, name, cycles, landing).select("cycle", "row_count").collect()
+            return {c: {"row_count": 0} for c in cycles} | {r.cycle: {"row_count": r.row_count} for r in found}
+        figures = refresh_cycles(spark, name, cycles, landing, tables)
+        with one_state_at_a_time:
+            record_state(spark.createDataFrame([tuple(r) for r in rows], _STATE_ROW), manifest)
+        return figures if isinstance(figures, dict) else {}  # who replaces refresh_cycles need not count
+
+    def dataset(name: str) -> list[tuple]:
+        rows, outcome = by_dataset[name], []
         if name not in SPECS:
-            outcome += [(name, r.cycle, "failed", "unknown dataset", *told(nothing)) for r in rows]
-            continue
-        landed = landed_cycles(spark, landing, SPECS[name])
-        outcome += [(name, r.cycle, "failed", f"no landed file for {name} {r.cycle}", *told(nothing)) for r in rows if r.cycle not in landed]
-        rows = [r for r in rows if r.cycle in landed]
+            return [(name, r.cycle, "failed", "unknown dataset", *told({})) for r in rows]
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        outcome += [(name, r.cycle, "failed", f"no landed file for {name} {r.cycle}", *told({})) for r in rows if (name, r.cycle) not in landed]
+        rows = [r for r in rows if (name, r.cycle) in landed]
         batches = [rows, *([r] for r in rows)] if len(rows) > 1 else [rows] if rows else []
         for k, batch in enumerate(batches):
             cycles = [r.cycle for r in batch]
             try:
-                if dry_run:
-                    found = preview(spark, name, cycles, landing).select("cycle", "row_count").collect()
-                    figures = {c: {"row_count": 0} for c in cycles} | {r.cycle: {"row_count": r.row_count} for r in found}
-                else:
-                    figures = refresh_cycles(spark, name, cycles, landing, tables) or {}
-                    record_state(spark.createDataFrame([tuple(r) for r in batch], _STATE_ROW), manifest)
-                outcome += [(name, c, "applied", None, *told(figures.get(c, nothing))) for c in cycles]
+                figures = run(name, cycles, batch)
+                outcome += [(name, c, "applied", None, *told(figures.get(c, {}))) for c in cycles]
                 if not k:
                     break
             except Exception as error:  # noqa: BLE001 - one bad cycle must not stop the rest
                 log.warning("refresh of %s %s failed: %s", name, cycles, error)
                 if len(batch) == 1:
-                    outcome.append((name, cycles[0], "failed", str(error).split("\n", 1)[0], *told(nothing)))
+                    outcome.append((name, cycles[0], "failed", str(error).split("\n", 1)[0], *told({})))
+        return outcome
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(by_dataset)))) as pool:
+        done = [pool.submit(dataset, name) for name in by_dataset]
+    outcome = [row for one in done for row in one.result()]
     return spark.createDataFrame(outcome, f"dataset string, cycle int, status string, error string, {observed.SCHEMA}")
 
 

@@ -13,6 +13,7 @@ REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.scheduler.mode": "FAIR",
 }
 
 
