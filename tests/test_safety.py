@@ -169,3 +169,17 @@ def test_cycle_range_is_a_parameter(spark):
         term_cycles(F.lit("rep"), F.lit("2027-01-03"), F.lit("2029-01-03")).alias("now"),
         term_cycles(F.lit("rep"), F.lit("2027-01-03"), F.lit("2029-01-03"), 1980, 2030).alias("later")).first()
     assert row.now == [2026] and row.later == [2026, 2028]
+
+
+def test_change_audit_is_exact(spark):
+    """Against a plain pass, where changes are early, late, rare and absent."""
+    df = spark.range(3000).selectExpr(
+        "if(id % 7 = 0, null, concat('name ', lpad(id, 5, '0'))) AS early", "upper(concat('A', lpad(id, 5, '0'))) AS never",
+        "if(id = 2999, 'zz last', concat('M', id)) AS late", "if(id % 1000 = 1, concat('q', id), concat('Ä', id)) AS rare")
+    found = {(r.column_name, r.before, r.after) for r in clean.changed_values(df, dict.fromkeys(df.columns, F.upper)).collect()}
+    want = set()
+    for c in df.columns:
+        values = sorted({r[0] for r in df.select(c).collect() if r[0] is not None and r[0].upper() != r[0]})
+        want |= {(c, v, v.upper()) for v in values[:3]}
+    assert found == want and len(found) == 7
+    assert clean.changed_values(df.limit(0), {"early": F.upper}).count() == 0

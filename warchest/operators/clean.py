@@ -69,13 +69,19 @@ def changed_values(df: DataFrame, standardized: dict[str, Callable[[Column], Col
     """Sample of (column, before, after) for values a standardisation would change.
 
     One scan for all columns.  Values are made distinct before they are converted, each is
-    converted once, and the first few of a column are picked before the second shuffle.
+    converted once, and the first few of a column are picked before the second shuffle.  A conversion is a
+    large expression: columns that share one share its code, and unchanged values are dropped inside the array that
+    holds the pair, as a filter below would hold the expression a second time.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("before")) for c in standardized])
     distinct = df.select(F.inline(pairs)).where("before IS NOT NULL").distinct()
-    after = F.lit(None).cast("string")
+    shared: dict[Callable[[Column], Column], list[str]] = {}
     for c, convert in standardized.items():
-        after = F.when(F.col("column_name") == c, convert(F.col("before"))).otherwise(after)
-    changed = distinct.withColumn("after", after).where(~F.col("before").eqNullSafe(F.col("after")))
+        shared.setdefault(convert, []).append(c)
+    after = F.lit(None).cast("string")
+    for convert, names in shared.items():
+        after = F.when(F.col("column_name").isin(names), convert(F.col("before"))).otherwise(after)
+    both = F.array(F.struct("column_name", "before", after.alias("after")))
+    changed = distinct.select(F.inline(F.filter(both, lambda r: ~r["before"].eqNullSafe(r["after"]))))
     first = F.row_number().over(Window.partitionBy("column_name").orderBy("before"))
     return changed.withColumn("_rank", first).where(F.col("_rank") <= sample).drop("_rank")
