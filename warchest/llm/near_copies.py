@@ -3,13 +3,13 @@
 Candidates come from a prefix filter.  All shingles have one order; of a text with n shingles the first n - ceil(0.8 n) + 1 are its
 prefix, and two texts that agree to 0.8 share a shingle of both prefixes.  So no pair escapes, whatever the edits are; any order gives
 the same links.  The order keeps shared passages out of the prefixes, whatever the size of the corpus: shingles whose hash lies in a BAND are
-counted over all texts; those that fewer than OFTEN texts have come first, then the shingles beyond the band, then the frequent ones.
-Texts send their part of the band; only texts that are short of rare shingles are read again for shingles beyond it.  Pairs are
-dropped before the check only where sizes and places in the order rule the similarity out.
+counted over all texts and stand first, the rarest foremost; the others follow by hash.  The band holds twice as many shingles as a prefix, so
+texts send their part of it, and what is missing to a prefix where they are short.  Pairs are dropped before the check only where sizes
+and places in the order rule the similarity out.
 
 Texts that share a prefix shingle are a bucket, ranked by how much of their prefix others have, so that an original comes before copies
-that agree with it but not with each other.  First every text meets the head of its largest bucket, once; that joins most groups.  Then
-rounds compare the first rank of each bucket with all later ones, then ranks 2 to 4, then 5 to 16, and so on.  A bucket ends when what is left
+that agree with it but not with each other.  First every text meets the head that it shares most buckets with, again and again while that
+finds links; that joins most groups at a pair a text.  Then rounds compare the first rank of each bucket with all later ones, then ranks 2 to 4, then 5 to 16, and so on.  A bucket ends when what is left
 of it is one component; pairs within a component and pairs already compared are left out.  After the last round every pair of a
 bucket is in one component or was compared.  Texts that consist of frequent shingles without being similar cost a comparison a pair;
 there is no cap.
@@ -34,8 +34,10 @@ from warchest.llm.simhash import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Part of all shingles, by hash, that are counted over all texts, and from how many texts on one counts as frequent.
-BAND, OFTEN = 0.4, 8
+#: Part of all shingles, by hash, that are counted over all texts.
+BAND = 0.4
+#: Rounds in which every text meets one head.
+HEADS = 6
 #: A round goes so many times as far down the ranks as the one before.
 REACH = 4
 #: Bits of the filter that leaves texts nobody asked for out of a check; a text let through in vain is dropped by a join.
@@ -93,26 +95,19 @@ def prefix_size(n: int, similarity: float) -> int:
 EDGE = int(BAND * 2**64) - 2**63
 
 
-def marker(shingle: int, similarity: float, wanted: np.ndarray | None = None) -> Callable[[list], list[list]]:
+def marker(shingle: int, similarity: float) -> Callable[[list], list[list]]:
     """A text's node, its number of shingles, how many lie in the band, and its first shingles by hash: the band, and beyond it up to the size
-    of the prefix.  With a filter `wanted` only its nodes, and what further shingles beyond the band a prefix may need."""
+    of the prefix."""
 
-    def one(text: bytes | None) -> tuple[int, int, int, int, np.ndarray]:
+    def one(text: bytes | None) -> tuple[int, int, int, np.ndarray]:
         words = (text or b"").lower().split()
-        node = node_of(words)
-        if wanted is not None and not in_filter(node, wanted):
-            return node, 0, 0, 0, NOTHING
         x = shingles_of(words, shingle)
-        k, size = int(np.searchsorted(x, EDGE)), prefix_size(len(x), similarity)
-        start, end = (0, max(k, size)) if wanted is None else (max(k, size), k + size)
-        return node, len(x), k, start, x[start:end]
+        k = int(np.searchsorted(x, EDGE))
+        return node_of(words), len(x), k, x[: max(k, prefix_size(len(x), similarity))]
 
     return lambda texts: [list(c) for c in zip(*map(one, texts), strict=True)]
 
 
-NOTHING = np.zeros(0, np.int64)
-
-
 def filter_of(nodes: DataFrame) -> np.ndarray:
     """Bits of the nodes; a text let through in vain is dropped by a join."""
     bits = nodes.select(F.pmod("node", F.lit(FILTER)).alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
@@ -122,37 +117,24 @@ def filter_of(nodes: DataFrame) -> np.ndarray:
     return wanted
 
 
-def marked(docs: DataFrame, similarity: float, shingle: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """(token, node, n, k, pos): pos is the place by hash, k the size of the band."""
-    whole = T.IntegerType()
-    made = [T.StructField("node", T.LongType(), False), T.StructField("n", whole, False), T.StructField("k", whole, False),
-            T.StructField("start", whole, False), T.StructField("first", T.ArrayType(T.LongType()), False)]
-    texts = map_texts(docs, "text", [], made, lambda: marker(shingle, similarity, wanted), binary=True)
-    return texts.select("node", "n", "k", "start", F.posexplode("first").alias("turn", "token")).select(
-        "token", "node", "n", "k", (F.col("start") + F.col("turn")).alias("pos"))
-
-
 def prefixes(docs: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """(token, node, n, pos): the shingles of the prefixes, as far as another text may have them, pos their place in the order."""
-    size = F.col("n") - F.ceil(similarity * F.col("n") - SLACK) + 1
+    whole = T.IntegerType()
+    made = [T.StructField("node", T.LongType(), False), T.StructField("n", whole, False), T.StructField("k", whole, False),
+            T.StructField("first", T.ArrayType(T.LongType()), False)]
+    texts = map_texts(docs, "text", [], made, lambda: marker(shingle, similarity), binary=True)
+    marks = texts.select("node", "n", "k", F.posexplode("first").alias("pos", "token"))
     # one shuffle, by shingle, also takes out the copies
-    marks = marked(docs, similarity, shingle).repartition("token").dropDuplicates(["token", "node"])
-    marks = marks.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1 or pos >= k")
-    often = (F.col("pos") < F.col("k")) & (F.col("m") >= OFTEN)
+    marks = marks.repartition("token").dropDuplicates(["token", "node"])
+    marks = marks.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1")
+    # shingles of the band that no other text has come before those that are left here
+    band = F.col("pos") < F.col("k")
     own = Window.partitionBy("node")
-    before = F.coalesce(F.sum(often.cast("int")).over(own.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marks = marks.withColumn("often", often).withColumns({"before": before, "frequent": F.sum(often.cast("int")).over(own)})
-    marks = spool(marks.withColumn("rare", F.col("k") - F.col("frequent")), "marks")
-    place = F.when(F.col("often"), F.col("rare") + F.col("n") - F.col("k") + F.col("before")).when(
-        F.col("pos") < F.col("k"), F.col("pos") - F.col("before")).otherwise(F.col("rare") + F.col("pos") - F.col("k"))
-    found = marks.select("token", "node", "n", place.cast("int").alias("pos")).where(F.col("pos") < size)
-    short = marks.where((F.col("frequent") > 0) & (F.col("rare") < size)).select("node", "rare").distinct()
-    short = spool(short, "short")
-    if short.isEmpty():
-        return found
-    more = marked(docs, similarity, shingle, filter_of(short)).dropDuplicates(["token", "node"]).join(short.hint("merge"), "node")
-    more = more.select("token", "node", "n", (F.col("rare") + F.col("pos") - F.col("k")).alias("pos")).where(F.col("pos") < size)
-    return found.unionAll(more)
+    marks = marks.withColumn("band", band).withColumns({
+        "shared": F.sum(band.cast("int")).over(own), "turn": F.row_number().over(own.orderBy(F.desc("band"), "m", "token"))})
+    place = F.when(F.col("band"), F.col("k") - F.col("shared") + F.col("turn") - 1).otherwise(F.col("pos"))
+    size = F.col("n") - F.ceil(similarity * F.col("n") - SLACK) + 1
+    return marks.select("token", "node", "n", place.cast("int").alias("pos")).where(F.col("pos") < size)
 
 
 def buckets(docs: DataFrame, similarity: float, shingle: int) -> DataFrame:
@@ -203,12 +185,20 @@ def _pair() -> list[Column]:
     return [F.least("h.node", "o.node").alias("a"), F.greatest("h.node", "o.node").alias("b")]
 
 
-def heads(left: DataFrame, similarity: float) -> DataFrame:
-    """Every text with the first of its largest bucket: at most one pair a text."""
-    one = left.where("rank > 1").groupBy("node").agg(F.max_by(F.struct("token", "node", "n", "pos", "m", "rank"), F.struct("m", "token")).alias("o")).select("o.*")
+def heads(left: DataFrame, roots: DataFrame | None, tested: DataFrame | None, similarity: float) -> DataFrame:
+    """Every text with the head of buckets that it shares most of, of those it is not yet joined to or compared with: at most a pair a text."""
     first = left.where("rank = 1").alias("h")
-    met = one.alias("o").join(first.hint("merge"), F.col("o.token") == F.col("h.token"))
-    return met.where(possible(similarity)).select(*_pair()).distinct()
+    met = left.where("rank > 1").alias("o").join(first.hint("merge"), F.col("o.token") == F.col("h.token")).where(possible(similarity))
+    met = met.groupBy(F.col("o.node").alias("node"), F.col("h.node").alias("head")).agg(F.count(F.lit(1)).alias("times"))
+    if roots is not None:
+        one, two = roots.toDF("node", "r"), roots.toDF("head", "s")
+        met = met.join(one.hint("merge"), "node", "left").join(two.hint("merge"), "head", "left")
+        met = met.where(F.coalesce("r", "node") != F.coalesce("s", "head"))
+    met = met.select("node", "head", "times", F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
+    if tested is not None:
+        met = met.join(tested.hint("merge"), ["a", "b"], "left_anti")
+    best = met.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("times", "head")).alias("p"))
+    return best.select("p.a", "p.b").distinct()
 
 
 def linked(docs: DataFrame, similarity: float, shingle: int) -> DataFrame | None:
@@ -219,12 +209,12 @@ def linked(docs: DataFrame, similarity: float, shingle: int) -> DataFrame | None
         tidy(spark, began)
         return None
     sets = sets_of(left.select("node"), docs, shingle)
-    edges = tested = roots = None
-    first = True
-    while first or not left.isEmpty():
+    tested = roots = None
+    by_heads = HEADS
+    while by_heads or not left.isEmpty():
         since = len(SPOOLED)
-        if first:
-            pairs = heads(left, similarity)
+        if by_heads:
+            pairs = heads(left, roots, tested, similarity)
         else:
             known = left.withColumn("root", F.col("node"))
             if roots is not None:
@@ -235,21 +225,24 @@ def linked(docs: DataFrame, similarity: float, shingle: int) -> DataFrame | None
             hubs, others = known.where(F.col("rank").between(low, high)).alias("h"), known.alias("o")
             meet = (F.col("h.token") == F.col("o.token")) & (F.col("h.rank") < F.col("o.rank")) & (F.col("h.root") != F.col("o.root"))
             pairs = others.join(hubs.hint("merge"), meet & possible(similarity)).select(*_pair()).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
-        pairs = spool(pairs, "pairs")
+            if tested is not None:
+                pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
+        pairs, more = spool(pairs, "pairs"), False
         if not pairs.isEmpty():
             found = spool(verified(pairs, sets, similarity), "similar")
             tested = pairs if tested is None else tested.unionAll(pairs)
-            if not found.isEmpty():
-                edges = found if edges is None else edges.unionAll(found)
-                roots = components(edges).toDF("node", "root")
-        if not first:
+            more = not found.isEmpty()
+            if more:
+                # components so far stand for their links
+                known = found if roots is None else found.unionAll(roots.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")))
+                roots = components(known).toDF("node", "root")
+        if by_heads:
+            by_heads = by_heads - 1 if more else 0
+        else:
             # what was a hub has met its whole bucket
             left = left.where(F.col("rank") > high)
             low, high = high + 1, high * REACH
-        first = False
-        tidy(spark, since, left, edges, tested, roots)
+        tidy(spark, since, left, tested, roots)
     tidy(spark, began, roots)
     return roots
 
