@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .text import bind, squeeze, strip
 
-# Words that stay in capitals, roman numerals, particles.
+# Words that stay in capitals, roman numerals, particles, abbreviations.
 ACRONYMS = [
     "AFL-CIO", "AFL", "CIO", "PAC", "USA", "US", "IBEW", "UAW", "SEIU", "NEA", "AFT", "UFCW",
     "AFSCME", "LIUNA", "IATSE", "IUOE", "SMART", "UWUA", "CWA", "APWU", "NALC", "NFFE", "NTEU",
@@ -19,11 +19,14 @@ ACRONYMS = [
     "LTD", "CO", "CORP",
 ]
 NUMERALS = ["II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X"]
+PARTICLES = ["DE", "LA", "DEL", "VAN", "VON", "DEN", "DER", "LE", "DA", "DI", "DU", "OF", "THE"]
+ABBREVIATIONS = {"INT'L": "Int'l", "INTL": "Intl", "ASS'N": "Ass'n", "ASSN": "Assn"}
+
 # Words are compared after title-casing.
 UPPER_WORDS = ["-".join(p.capitalize() for p in w.split("-")) for w in ACRONYMS]
 ROMAN_NUMERALS = [w.capitalize() for w in NUMERALS]
-PARTICLES = ["De", "La", "Del", "Van", "Von", "Den", "Der", "Le", "Da", "Di", "Du", "Of", "The"]
-ABBREVIATIONS = {"Int'L": "Int'l", "Ass'N": "Ass'n"}  # Intl and Assn are plain title case
+SMALL_WORDS = [w.capitalize() for w in PARTICLES]
+SHORTENED = {w.title(): final for w, final in ABBREVIATIONS.items() if w.title() != final}
 
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _SEAM = "\x01 "  # initcap starts a new word after it
@@ -43,11 +46,11 @@ def _core(word: Column) -> Column:
 def _simple_word(core: Column, first: Column) -> Column | None:
     """Exceptions shared by whole words and by the parts of a hyphenated word."""
     listed = F.when(core.isin(UPPER_WORDS + ROMAN_NUMERALS), F.upper(core))
-    for titled, final in ABBREVIATIONS.items():
+    for titled, final in SHORTENED.items():
         listed = listed.when(core == titled, F.lit(final))
     longer = F.length(core) > 2
     return (
-        listed.when(~first & core.isin(PARTICLES), F.lower(core))
+        listed.when(~first & core.isin(SMALL_WORDS), F.lower(core))
         .when(core.startswith("O'") & longer, core)
         .when(
             core.startswith("Mc") & longer,
@@ -82,7 +85,7 @@ def _any_of(words: list[str]) -> str:
 # Words that may need more than title case; everything else is done after title-casing.
 _NEEDS_WORDS = (
     "-|Mc|(?<![A-Za-z0-9])"
-    + _any_of([w for w in UPPER_WORDS if "-" not in w] + ROMAN_NUMERALS + PARTICLES + list(ABBREVIATIONS))
+    + _any_of([w for w in UPPER_WORDS if "-" not in w] + ROMAN_NUMERALS + SMALL_WORDS + list(SHORTENED))
     + "(?![A-Za-z0-9])"
 )
 
