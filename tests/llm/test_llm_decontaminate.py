@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from warchest.llm.decontaminate import Items, contaminated, tile, words_of
+from warchest.llm.decontaminate import Items, contaminated, tile, uncontaminated, words_of
 from warchest.llm.queries import QUERIES
 
 
@@ -85,3 +85,37 @@ def test_query(spark):
     rows = QUERIES["op7_decontamination"](spark, folder).collect()
     assert {(r.doc_id, r.item_id, r.coverage) for r in rows} == want and want
     assert Items([], 5).hashes.size == 0
+
+
+def test_seed_join_and_blocks_agree(spark):
+    rng = random.Random(4)
+    kinds = words(60, "w")
+    items = [" ".join(rng.choices(kinds, k=rng.randint(3, 40))) for _ in range(40)] + ["the " * 9, "", None, "one two three four"]
+    texts = [None, "", "the " * 20000, "x"]
+    for _ in range(120):
+        text = rng.choices(kinds, k=rng.randint(0, 30))
+        for item in rng.sample(items[:40], 3):
+            own = item.split()
+            at = rng.randrange(len(own))
+            text += own[at:] + rng.choices(kinds, k=rng.randint(0, 3)) + own[: rng.randint(0, at)]
+        texts += [" ".join(text)] * rng.choice([1, 1, 4])
+    df = spark.createDataFrame([(i % 90, t, "p") for i, t in enumerate(texts)], "doc_id long, text string, doc string")
+    tests = spark.createDataFrame([(str(i % 30), t) for i, t in enumerate(items)], "item_id string, text string")
+    rows = lambda d: sorted([(r.doc_id, r.doc, r.item_id, r.coverage, r.n_words, sorted(map(tuple, r.tiles))) for r in d.collect()])
+    joined = rows(contaminated(df, tests, keep=["doc_id", "doc"]))
+    assert joined == rows(contaminated(df, tests, keep=["doc_id", "doc"], block_bytes=1 << 20)) and len(joined) > 100
+    left = lambda **how: sorted(map(str, uncontaminated(df, tests, **how).collect()))
+    assert left() == left(block_bytes=1 << 20) and 4 <= len(left()) < len(texts)
+    assert uncontaminated(df.limit(0), tests).count() == 0 and uncontaminated(df, tests.limit(0)).count() == len(texts)
+    assert uncontaminated(df, tests).columns == df.columns
+    assert contaminated(df.limit(0), tests).count() == 0 and contaminated(df, tests.limit(0)).count() == 0
+
+
+def test_copies_and_an_item_that_many_texts_hold(spark):
+    item = words(30, "q")
+    texts = [" ".join(item)] * 300 + [" ".join([*item, f"tail{i}"]) for i in range(300)] + [f"clean text number {i} of its own" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tests = spark.createDataFrame([(i, " ".join([*item, f"end{i}"])) for i in range(20)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(df, tests).collect()}
+    assert got == {(d, i) for d in range(600) for i in range(20)}
+    assert {r.doc_id for r in uncontaminated(df, tests).collect()} == set(range(600, 900))

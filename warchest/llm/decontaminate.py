@@ -7,8 +7,12 @@ document (running Karp-Rabin hashes, a binary search over lengths), mark all suc
 until no run of `least` words is left.  The share of the item's words that tiles cover is its coverage: tiles may stand in
 any order, so rearranged passages are found.
 
-The items are sent to the documents in blocks of bounded size, one pass over the documents a block; equal items are sent once.
-A document is read by one task, whatever it shares; no rows are shuffled.
+Seeds of the items are a table, one row for each seed and item, and so are the seeds of the documents; a merge join meets them, which
+adaptive execution splits where a seed is frequent.  Of the documents only seeds come that a filter of fixed size, built from the items' seeds,
+lets through; it leaves work out, never a match, and where a benchmark outgrows it the join decides alone.  Covered places are
+added up per document and item, and tiles are made for what is left, document by document.  Documents go by a digest of their text, so copies
+are tiled once; the tiling reads the text itself.  With `block_bytes`, for small benchmarks, the items are sent to all tasks instead, in
+blocks of that size and one pass over the documents a block; the rows are the same.
 
 Results: one row for each document and item with enough coverage.  Missing and empty texts match nothing, nor do items shorter than
 `least` words.  Of items with equal texts the smallest id stands for all.  Rows that repeat give repeated results.
@@ -16,7 +20,7 @@ Results: one row for each document and item with enough coverage.  Missing and e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -24,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from warchest.llm.common import col, slices
+from warchest.llm.common import SPOOLED, col, map_texts, slices, spool, tidy
+from warchest.llm.near_copies import FILTER, filter_of
 
 LEAST = 5
 COVERAGE = 0.5
-BLOCK_BYTES = 16 << 20
 SLICE = 4 << 20
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
@@ -161,9 +165,103 @@ class Items:
                 yield i, [(a, int(stay[b]), n) for a, b, n in tiles]
 
 
+def _items(tests: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """(text, item_id): the distinct items."""
+    return tests.where(col(item_text).isNotNull()).groupBy(col(item_text).cast("binary").alias("text")).agg(F.min(col(item_id)).alias("item_id"))
+
+
+def seeds_of(words: list[bytes], least: int) -> np.ndarray:
+    """A hash of every run of `least` words, by place; for tables, it needs no vocabulary."""
+    from xxhash import xxh3_64_intdigest
+
+    n = len(words) - least + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    h, x = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)), np.zeros(n, np.uint64)
+    for i in range(least):
+        x = (x ^ h[i : i + n]) * np.uint64(_BASE)
+        x ^= x >> np.uint64(32)
+    return x.view(np.int64)
+
+
+def item_seeder(least: int) -> Callable[[list], list[list]]:
+    """The words of an item and its seeds."""
+
+    def one(text: bytes) -> tuple[int, np.ndarray]:
+        words = words_of(text)
+        return len(words), seeds_of(words, least)
+
+    return lambda texts: [list(c) for c in zip(*map(one, texts), strict=True)]
+
+
+def text_seeder(least: int, wanted: np.ndarray) -> Callable[[list], list[list]]:
+    """The distinct seeds of a text that the filter lets through."""
+
+    def one(text: bytes | None) -> np.ndarray:
+        x = np.unique(seeds_of(words_of(text), least))
+        at = np.mod(x, FILTER)
+        return x[(wanted[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)]
+
+    return lambda texts: [[one(t) for t in texts]]
+
+
+def candidates(docs: DataFrame, items: DataFrame, least: int, coverage: float) -> DataFrame:
+    """(doc, item): what shares seeds enough to cover an item.  `docs` has doc and text, `items` item and text."""
+    seeds = T.StructField("seeds", T.ArrayType(T.LongType()))
+    asked = map_texts(items, "text", ["item"], [T.StructField("n", T.IntegerType()), seeds], lambda: item_seeder(least), binary=True)
+    asked = asked.select("item", "n", F.posexplode("seeds").alias("place", "seed"))
+    # a seed that an item repeats is one row with its places
+    asked = asked.groupBy("seed", "item").agg(F.any_value("n").alias("n"), F.collect_list("place").alias("places"))
+    wanted = filter_of(asked.select(F.col("seed").alias("node")))
+    held = map_texts(docs, "text", ["doc"], [seeds], lambda: text_seeder(least, wanted), binary=True)
+    held = held.select("doc", F.explode("seeds").alias("seed")).distinct()
+    pairs = held.join(asked.hint("merge"), "seed").groupBy("doc", "item").agg(
+        F.any_value("n").alias("n"), F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+    first = F.struct(F.lit(-least).alias("last"), F.lit(0).alias("words"))
+    covered = F.aggregate("places", first, lambda sofar, p: F.struct(
+        p.alias("last"), (sofar["words"] + F.least(p - sofar["last"], F.lit(least))).alias("words")))
+    return pairs.where(covered["words"] >= coverage * F.col("n")).select("doc", "item")
+
+
+_TILE = ("item_word", "doc_word", "words")
+
+
+def _tiler(least: int, coverage: float, schema: pa.Schema):
+    def tiles_of(docs: pa.Table, items: pa.Table) -> pa.Table:
+        if not docs.num_rows or not items.num_rows:
+            return schema.empty_table()
+        index = Items(list(enumerate(items["text"].to_pylist())), least)
+        found = list(index.matches(docs["text"][0].as_py(), coverage))
+        sizes = [len(index.parts[i]) for i, _ in found]
+        return pa.table([
+            pa.array([docs["doc"][0].as_py()] * len(found), schema.field(0).type),
+            items["item_id"].take(pa.array([index.ids[i] for i, _ in found], pa.int64())),
+            pa.array([sum(t[2] for t in tiles) / n for (_, tiles), n in zip(found, sizes, strict=True)], pa.float64()),
+            pa.array(sizes, pa.int64()),
+            pa.array([[dict(zip(_TILE, t, strict=True)) for t in tiles] for _, tiles in found], schema.field(4).type),
+        ], schema=schema)
+
+    return tiles_of
+
+
+def _made(item_id: T.DataType) -> list[T.StructField]:
+    tiles = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in _TILE]))
+    return [T.StructField("item_id", item_id), T.StructField("coverage", T.DoubleType()), T.StructField("n_words", T.LongType()), T.StructField("tiles", tiles)]
+
+
+def tilings(docs: DataFrame, items: DataFrame, least: int, coverage: float) -> DataFrame:
+    """(doc, item_id, coverage, n_words, tiles) of distinct texts.  `docs` has doc, the digest of the text, and text."""
+    items = items.withColumn("item", F.md5("text"))
+    near = spool(candidates(docs, items, least, coverage), "leaks")
+    texts = docs.join(near.select("doc"), "doc", "left_semi").groupBy("doc").agg(F.any_value("text").alias("text"))
+    asked = near.join(items, "item").select("doc", "item_id", "text")
+    schema = T.StructType([T.StructField("doc", T.StringType()), *_made(items.schema["item_id"].dataType)])
+    return texts.groupBy("doc").cogroup(asked.groupBy("doc")).applyInArrow(_tiler(least, coverage, to_arrow_schema(schema)), schema)
+
+
 def _blocks(tests: DataFrame, item_id: str, item_text: str, block_bytes: int) -> tuple[DataFrame, list]:
     """The distinct items, and their (id, text) in blocks of about block_bytes, sent to all executors."""
-    items = tests.where(col(item_text).isNotNull()).groupBy(col(item_text).cast("binary").alias("text")).agg(F.min(col(item_id)).alias("item_id"))
+    items = _items(tests, item_id, item_text)
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     count, sent = int(size // block_bytes) + 1, []
     for b in range(count):
@@ -174,16 +272,18 @@ def _blocks(tests: DataFrame, item_id: str, item_text: str, block_bytes: int) ->
 
 def contaminated(
     df: DataFrame, tests: DataFrame, *, text: str = "text", keep: list[str] = ("doc_id",), item_id: str = "item_id", item_text: str = "text",
-    least: int = LEAST, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES,
+    least: int = LEAST, coverage: float = COVERAGE, block_bytes: int | None = None,
 ) -> DataFrame:
     """The columns `keep` with item_id, coverage, n_words (of the item), and tiles (item_word, doc_word, words)."""
+    if block_bytes is None:
+        rows = df.select(F.md5(col(text).cast("binary")).alias("\0doc"), *[col(c).alias(f"\0{i}") for i, c in enumerate(keep)])
+        docs = df.select(F.md5(col(text).cast("binary")).alias("doc"), col(text).cast("binary").alias("text"))
+        found = tilings(docs, _items(tests, item_id, item_text), least, coverage).withColumnRenamed("doc", "\0doc")
+        out = rows.join(found, "\0doc")
+        return out.select(*[col(f"\0{i}").alias(c) for i, c in enumerate(keep)], "item_id", "coverage", "n_words", "tiles")
     items, blocks = _blocks(tests, item_id, item_text, block_bytes)
     source = df.select(col(text).cast("binary").alias("\0text"), *[col(c) for c in keep])
-    names = ("item_word", "doc_word", "words")
-    made = [
-        T.StructField("item_id", items.schema["item_id"].dataType), T.StructField("coverage", T.DoubleType()), T.StructField("n_words", T.LongType()),
-        T.StructField("tiles", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in names]))),
-    ]
+    made = _made(items.schema["item_id"].dataType)
     schema = T.StructType([*source.schema.fields[1:], *made])
     kinds = list(to_arrow_schema(T.StructType(made)).types)
 
@@ -197,7 +297,7 @@ def contaminated(
                         for i, tiles in index.matches(data, coverage):
                             n = len(index.parts[i])
                             rows.append(row)
-                            out.append((index.ids[i], sum(t[2] for t in tiles) / n, n, [dict(zip(names, t, strict=True)) for t in tiles]))
+                            out.append((index.ids[i], sum(t[2] for t in tiles) / n, n, [dict(zip(_TILE, t, strict=True)) for t in tiles]))
                     if rows:
                         kept = part.take(pa.array(rows)).columns[1:]
                         arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
@@ -211,10 +311,18 @@ def contaminated(
 
 def uncontaminated(
     df: DataFrame, tests: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    least: int = LEAST, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES,
+    least: int = LEAST, coverage: float = COVERAGE, block_bytes: int | None = None,
 ) -> DataFrame:
-    """The rows of df that cover no item enough.  Rows are dropped where they are read."""
+    """The rows of df that cover no item enough."""
     names = df.columns
+    if block_bytes is None:
+        since = len(SPOOLED)
+        docs = df.select(F.md5(col(text).cast("binary")).alias("doc"), col(text).cast("binary").alias("text"))
+        found = tilings(docs, _items(tests, item_id, item_text), least, coverage)
+        leaked = spool(found.select(F.col("doc").alias("\0doc")).distinct(), "leaked")
+        tidy(df.sparkSession, since, leaked)
+        rows = df.withColumn("\0doc", F.md5(col(text).cast("binary")))
+        return rows.join(leaked, "\0doc", "left_anti").select(*[col(c) for c in names])
 
     def sieve(sent):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
