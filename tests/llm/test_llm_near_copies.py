@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from warchest.llm.near_copies import near_copies
 
 
@@ -135,3 +138,23 @@ def test_scratch_tables_are_removed(spark):
     before = len(common.SPOOLED)
     assert near_copies(df).count() == 25
     assert len(common.SPOOLED) - before <= 8
+
+
+def test_sketches_never_rule_out_a_similar_pair(spark):
+    from warchest.llm.near_copies import alike, sketches
+
+    rng, sets = np.random.default_rng(5), []
+    for size in (1, 2, 7, 60, 300, 3000, 20000):
+        base = rng.integers(-(2**31), 2**31, size)
+        for share in (0, 0.02, 0.1, 0.111, 0.15, 0.3):
+            own = base.copy()
+            own[: int(share * size)] = rng.integers(-(2**31), 2**31, int(share * size))
+            sets.append(set(own.tolist()))
+            sets.append(set(own[int(share * size):].tolist()) or {1})
+    df = spark.createDataFrame([(i, sorted(x)) for i, x in enumerate(sets)], "node long, set array<int>")
+    drawn = sketches(df)
+    rows = drawn.alias("h").crossJoin(drawn.alias("o")).select(F.col("h.node").alias("a"), F.col("o.node").alias("b"), "h.w", alike(0.8).alias("ok")).collect()
+    similar = {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if len(x & y) >= 0.8 * len(x | y)}
+    passed = {(r.a, r.b) for r in rows if r.ok}
+    assert similar <= passed and len(passed) < len(rows) / 2 and all(r.w == len(sets[r.a]) for r in rows)
+    assert sketches(df.limit(0)).count() == 0

@@ -9,10 +9,12 @@ and places in the order rule the similarity out.
 
 Texts that share a prefix shingle are a bucket, ranked by how much of their prefix others have, so that an original comes before copies
 that agree with it but not with each other.  First every text meets the head that it shares most buckets with, again and again while that
-finds links; that joins most groups at a pair a text.  Then rounds compare the first rank of each bucket with all later ones, then ranks 2 to 4, then 5 to 16, and so on.  A bucket ends when what is left
-of it is one component; pairs within a component and pairs already compared are left out.  After the last round every pair of a
-bucket is in one component or was compared.  Texts that consist of frequent shingles without being similar cost a comparison a pair;
-there is no cap.
+finds links; that joins most groups at a pair a text.  Then rounds compare the first rank of each bucket with all later ones, then ranks 2 to 16, then 17 to 256, and so on.
+A bucket ends when what is left of it is one component; pairs within a component and pairs already compared are left out.  In the rounds
+a text also carries a sketch, the parity of its shingles on each of some hundred bits: sets that differ in d shingles differ in at most
+d bits, so pairs whose sketches differ in more than the similarity allows are ruled out where they meet, without their shingles.  After the last
+round every pair of a bucket is in one component, was compared or ruled out.  Texts that consist of frequent shingles without being similar
+cost a look at two sketches a pair; there is no cap.
 
 Texts that are the same words are one node from the start, so copies never meet each other.
 
@@ -23,10 +25,12 @@ of fewer than five words are compared whole.  Nodes and shingles are 64-bit hash
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from warchest.llm.common import SPOOLED, col, map_texts, spool, tidy
@@ -39,7 +43,9 @@ BAND = 0.4
 #: Rounds in which every text meets one head.
 HEADS = 6
 #: A round goes so many times as far down the ranks as the one before.
-REACH = 4
+REACH = 16
+#: Words of 64 bits in a sketch.
+SKETCH = 8
 #: Bits of the filter that leaves texts nobody asked for out of a check; a text let through in vain is dropped by a join.
 FILTER = 1 << 26
 #: Keeps rounding from making a bound too strict.
@@ -164,6 +170,32 @@ def sets_of(nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     return spool(sets.groupBy("node").agg(F.any_value("set").alias("set")), "sets")
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """(node, w, p0, p1, ...): the size of each set, and for each bit whether an odd number of its shingles falls there."""
+    bits = 64 * SKETCH
+
+    def run(batches):
+        for batch in batches:
+            lengths = pc.list_value_length(batch.column(1)).to_numpy()
+            at = (batch.column(1).flatten().to_numpy() & (bits - 1)) + np.repeat(np.arange(len(lengths)) * bits, lengths)
+            odd = np.bincount(at, minlength=len(lengths) * bits) & 1
+            words = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").reshape(-1, SKETCH)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(lengths, pa.int32()), *map(pa.array, words.T.copy())], names=["node", "w", *_sketch()])
+
+    return sets.mapInArrow(run, "node long, w int, " + ", ".join(f"{p} long" for p in _sketch()))
+
+
+def _sketch() -> list[str]:
+    return [f"p{i}" for i in range(SKETCH)]
+
+
+def alike(similarity: float) -> Column:
+    """Whether the sketches of h and o let them be similar."""
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"h.{p}").bitwiseXOR(F.col(f"o.{p}"))) for p in _sketch()])
+    return apart * (1 + similarity) <= (F.col("h.w") + F.col("o.w")) * (1 - similarity) + SLACK
+
+
 def verified(near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose texts agree enough."""
     wanted = filter_of(near.select(F.explode(F.array("a", "b")).alias("node")))
@@ -210,7 +242,7 @@ def linked(docs: DataFrame, similarity: float, shingle: int) -> DataFrame | None
         return None
     sets = sets_of(left.select("node"), docs, shingle)
     tested = roots = None
-    by_heads = HEADS
+    by_heads, sketched = HEADS, False
     while by_heads or not left.isEmpty():
         since = len(SPOOLED)
         if by_heads:
@@ -220,11 +252,15 @@ def linked(docs: DataFrame, similarity: float, shingle: int) -> DataFrame | None
             if roots is not None:
                 known = left.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
                 mixed = known.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
-                known = spool(known.join(mixed.hint("merge"), "token", "left_semi"), "left")
-                left = known.drop("root")
+                known = known.join(mixed.hint("merge"), "token", "left_semi")
+            if not sketched:
+                known = known.join(sketches(sets).hint("merge"), "node")
+            if roots is not None or not sketched:
+                known = spool(known, "left")
+                left, sketched = known.drop("root"), True
             hubs, others = known.where(F.col("rank").between(low, high)).alias("h"), known.alias("o")
             meet = (F.col("h.token") == F.col("o.token")) & (F.col("h.rank") < F.col("o.rank")) & (F.col("h.root") != F.col("o.root"))
-            pairs = others.join(hubs.hint("merge"), meet & possible(similarity)).select(*_pair()).distinct()
+            pairs = others.join(hubs.hint("merge"), meet & possible(similarity) & alike(similarity)).select(*_pair()).distinct()
             if tested is not None:
                 pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
         pairs, more = spool(pairs, "pairs"), False
