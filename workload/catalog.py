@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from warchest import functions as fx
-from warchest.operators import clean, combine, crosswalk, legislators, manifest, quality, rollup
+from warchest.operators import clean, combine, crosswalk, legislators, manifest, name_index, quality, rollup
 from warchest.plans import jobs, refresh, report_sql, reports
 from warchest.session import shared_dir
 from warchest.sources import catalog as report_tables
@@ -899,6 +900,18 @@ def committee_search(spark, d):
     return reports.committee_search(committees(spark, d), "pac", k=5)
 
 
+SEARCHED = ("pac", "ommit_ee", "c%1", "pa", "")
+
+
+@query
+def committee_search_indexed(spark, d):
+    """Searches over an index of trigrams, with wildcards and texts that have no trigram."""
+    path = scratch(spark, "names")
+    name_index.write_index(committees(spark, d), path)
+    return reduce(DataFrame.unionAll, [
+        name_index.indexed_search(spark, path, text, 200).withColumn("asked", F.lit(text)) for text in SEARCHED])
+
+
 @query
 def large_contributions(spark, d):
     return reports.large_contributions(rollup.rollup(txn(spark, d), PAS2), summaries(spark, d), 100000)

@@ -646,6 +646,10 @@ ORACLES: dict[str, str] = {
     "committee_search": duckdb_sql("""SELECT cmte_id, max_by(cmte_nm, election_cycle) AS cmte_nm,
         max_by(cmte_tp, election_cycle) AS cmte_tp, max(election_cycle) AS latest_year
         FROM committees WHERE cmte_nm ILIKE '%pac%' GROUP BY cmte_id ORDER BY latest_year DESC, cmte_id LIMIT 5"""),
+    "committee_search_indexed": duckdb_sql(" UNION ALL ".join(f"""(SELECT cmte_id, max_by(cmte_nm, election_cycle) AS cmte_nm,
+        max_by(cmte_tp, election_cycle) AS cmte_tp, max(election_cycle) AS latest_year, '{text}' AS asked
+        FROM committees WHERE cmte_nm ILIKE '%{text}%' GROUP BY cmte_id ORDER BY latest_year DESC, cmte_id LIMIT 200)"""
+        for text in ("pac", "ommit_ee", "c%1", "pa", ""))),
     "large_contributions": duckdb_sql("""SELECT p.election_cycle, cmte_name, cand_name,
         CAST(total_amount AS DOUBLE) AS total_amount
         FROM pas2 p JOIN summaries s ON s.cand_id = p.cand_id AND s.election_cycle = p.election_cycle
