@@ -50,6 +50,16 @@ def test_near_duplicates(spark, docs):
     assert {r[:2] for r in got} == {r[:2] for r in want} and sum(got.values()) == sum(want.values())
 
 
+def test_near_duplicates_come_from_the_operator(spark, monkeypatch):
+    asked, operator = [], corpus_pipeline.near_copies
+    monkeypatch.setattr(corpus_pipeline, "near_copies", lambda *a, **k: asked.append(k) or operator(*a, **k))
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (1, "an unrelated text of one id that repeats"), (2, " ".join([*words, "more"])), (1, " ".join(words)), (None, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in STAGES["near_duplicates"](spark, docs, SF_DIR).collect())
+    assert got == sorted(rows[:2]) and len(asked) == 1
+
+
 def test_decontamination(spark, docs):
     number = {}
     ids = lambda t: [number.setdefault(w, len(number) + 1) for w in words_of((t or "").encode())]

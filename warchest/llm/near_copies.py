@@ -299,10 +299,12 @@ def grouped(df: DataFrame, *, text: str, doc_id: str, similarity: float = SIMILA
 
 
 def near_copies(
-    df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY, shingle: int = SHINGLE
+    df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY, shingle: int = SHINGLE, whole: bool = False
 ) -> DataFrame:
-    """One row per document: doc_id, component_id (smallest id of its component)."""
+    """One row per document: doc_id, component_id (smallest id of its component).  `whole` adds key, xxhash64 of the text, and root, which tells
+    components apart where an id stands for several texts."""
     rows, member = grouped(df, text=text, doc_id=doc_id, similarity=similarity, shingle=shingle)
     smallest = spool(member.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    member = spool(member.join(smallest.hint("merge"), "root").select("node", "component_id"), "classes")
-    return rows.join(member.hint("merge"), "node").select(F.col("id").alias("doc_id"), "component_id")
+    member = spool(member.join(smallest.hint("merge"), "root").select("node", "component_id", "root"), "classes")
+    more = ["key", "root"] if whole else []
+    return rows.join(member.hint("merge"), "node").select(F.col("id").alias("doc_id"), "component_id", *more)
