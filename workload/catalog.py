@@ -107,13 +107,13 @@ def land(spark: SparkSession, df: DataFrame, spec: DatasetSpec, name: str, again
     """Write raw rows as ``|`` files named by cycle, as they would be delivered.
 
     The writer names files itself, so each cycle is written to a folder and its files are
-    moved to delivered names inside the same file system.  With ``again``, a landing folder, files
+    moved to delivered names inside the same file system.  Each task writes a file a cycle; lines are not shuffled for it.  With ``again``, a landing folder, files
     of the same names there are overwritten, and further ones of these cycles are taken away.
     """
     root = scratch(spark, name)
     landing = again or f"{root}/landing"
     line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in spec.columns])
-    df.select(CYCLE, line.alias("value")).hint("rebalance", CYCLE).write.partitionBy(CYCLE).text(f"{root}/parts")
+    df.select(CYCLE, line.alias("value")).write.partitionBy(CYCLE).text(f"{root}/parts")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
