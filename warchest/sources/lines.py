@@ -42,7 +42,7 @@ def parse(lines: DataFrame, schema: T.StructType, faults: tuple[str, ...] = (FIE
     """
     options = {"sep": "|", "quote": "", "mode": "PERMISSIVE"}
     record = F.from_csv(F.col(_LINE), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), options)
-    rows = lines.withColumns({"_fields": F.split(_LINE, "[|]", -1), "_record": record})
+    rows = lines.withColumns({"_fields": F.split(_LINE, r"\|", -1), "_record": record})
     blank = F.trim(_LINE) == ""
     reasons = []
     if FIELDS in faults:
@@ -65,7 +65,8 @@ def numbered(rows: DataFrame) -> DataFrame:
     blocks = rows.groupBy(_FILE, _BLOCK).agg(F.min(_TURN).alias("_first"), (F.max(_TURN) - F.min(_TURN) + 1).alias("_count"))
     before = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("_start", F.coalesce(F.sum("_count").over(before), F.lit(0)))
-    rejected = rows.where(REJECTED).join(starts, [_FILE, _BLOCK])
+    # a row a block; without the hint the lines are shuffled before Spark knows how few these are
+    rejected = rows.where(REJECTED).join(F.broadcast(starts), [_FILE, _BLOCK])
     return rejected.select(
         F.col(_FILE).alias("file"), (F.col("_start") + F.col(_TURN) - F.col("_first") + 1).alias("line_number"), CYCLE,
         REASONS, F.col(_LINE).alias("line")).where(~F.array_contains(REASONS, BLANK))

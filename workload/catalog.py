@@ -612,15 +612,20 @@ def raw_width_check(spark, d):
 
 
 def _spoilt_landing(spark, d) -> str:
-    """Landed lines, some without their last field, some with one more, some with an amount that is no number."""
-    rows = raw_rows(txn(spark, d), OTH).withColumn("transaction_amt", F.col("transaction_amt").cast("string"))
-    order = F.regexp_extract("tran_id", "([0-9]+)", 1).cast("bigint")
+    """Landed lines, some without their last field, some with one more, some with an amount that is no number.
+
+    The order's number and the whole line are columns of their own: mentioned several times, each would be computed as often, by code
+    too large for the JVM to compile."""
+    rows = raw_rows(txn(spark, d), OTH).withColumns({
+        "transaction_amt": F.col("transaction_amt").cast("string"), "_order": F.regexp_extract("tran_id", "([0-9]+)", 1).cast("bigint")})
+    order = F.col("_order")
     spoilt = rows.withColumn("transaction_amt", F.when(order % 9 == 0, F.concat("transaction_amt", F.lit("x"))).otherwise(F.col("transaction_amt")))
     shape = DatasetSpec(OTH.name, OTH.prefix, OTH.start_year, ("line",))
     fields = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in OTH.columns])
-    line = F.when(order % 5 == 3, F.regexp_replace(fields, r"\|[^|]*\z", "")).when(
-        order % 5 == 4, F.concat(fields, F.lit("|more"))).otherwise(fields)
-    return land(spark, spoilt.select(CYCLE, line.alias("line")), shape, "spoilt")
+    whole = spoilt.select(CYCLE, "_order", fields.alias("_whole"))
+    line = F.when(order % 5 == 3, F.regexp_replace("_whole", r"\|[^|]*\z", "")).when(
+        order % 5 == 4, F.concat("_whole", F.lit("|more"))).otherwise(F.col("_whole"))
+    return land(spark, whole.select(CYCLE, line.alias("line")), shape, "spoilt")
 
 
 @query
