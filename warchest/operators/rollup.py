@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import transaction_month, transaction_year
+from ..functions import capitalize_name, transaction_month, transaction_year
 from ..specs import SPECS, DatasetSpec
 from .clean import CYCLE, dedupe, exclude_amendments, exclude_memos, is_amended, is_memo, standardize_names
 
@@ -44,13 +47,70 @@ def _payload(spec: DatasetSpec) -> list[str]:
     return [*spec.key_sources.values(), spec.date, spec.amount]
 
 
-def rollup(df: DataFrame, spec: DatasetSpec, scope: str = "cycle") -> DataFrame:
+#: Repeated ids that are sent to every task (a table of less than 200 MB); beyond, Spark chooses the join.
+SENT_IDS = 2_500_000
+_ID = "_id"
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """What several roll-ups of the same transactions share, stored once."""
+
+    rows: DataFrame  # neither memos nor amendments; `_id` is the hash of (id, cycle)
+    repeated: DataFrame  # `_id` that several rows have
+    again: DataFrame  # the rows of these
+    names: dict[str, DataFrame]  # raw name column -> (the column, `_name`)
+
+
+def prepare(df: DataFrame, specs: list[DatasetSpec], store: Callable[[DataFrame, str], DataFrame]) -> Prepared:
+    """One scan for all roll-ups, whatever they group by and whichever row of an id each of them keeps.
+
+    Ids that occur once, nearly all, need no de-duplication: they are told apart by counting hashes, and only rows of the
+    others are sorted by each roll-up.  Distinct names are capitalised once, instead of once per group and roll-up.
+    ``store`` writes rows under a name and reads them back.
+    """
+    first = specs[0]
+    shared = ("memo", "amendment", "sub_id", "date", "amount")
+    if any(getattr(s, a) != getattr(first, a) for s in specs for a in shared):
+        raise ValueError("roll-ups of different columns")
+    kept = exclude_amendments(exclude_memos(df, first.memo), first.amendment)
+    columns = dict.fromkeys([CYCLE, first.sub_id, *[c for s in specs for c in (*s.survivor_order, *_payload(s))]])
+    rows = store(kept.select(*columns, transaction_year(first.date).alias("transaction_year"), F.xxhash64(first.sub_id, CYCLE).alias(_ID)), "rows")
+    repeated = store(rows.groupBy(_ID).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(_ID), "repeated")
+    if repeated.count() <= SENT_IDS:
+        repeated = F.broadcast(repeated)
+    again = store(rows.join(repeated, _ID, "left_semi"), "again")
+    sources = dict.fromkeys(s.key_sources[c] for s in specs for c in s.name_columns)
+    names = {c: store(rows.select(c).where(F.col(c).isNotNull()).distinct().withColumn("_name", capitalize_name(c)), f"names_{c}") for c in sources}
+    return Prepared(rows, repeated, again, names)
+
+
+def _rollup_prepared(made: Prepared, spec: DatasetSpec) -> DataFrame:
+    """Rows meet their finished names before they are grouped, so one grouping does."""
+    order, source = spec.survivor_order, spec.key_sources
+    kept = dedupe(made.again.select(CYCLE, spec.sub_id, *dict.fromkeys([*order, *_payload(spec)])), spec.sub_id, "cycle", order)
+    columns = [CYCLE, "transaction_year", *dict.fromkeys([*source.values(), spec.amount])]
+    once = made.rows.join(made.repeated, _ID, "left_anti").select(*columns)
+    rows = once.unionByName(kept.withColumn("transaction_year", transaction_year(spec.date)).select(*columns))
+    keys = {out: F.col(src) for out, src in source.items()}
+    for out in spec.name_columns:
+        named = made.names[source[out]].withColumnRenamed("_name", f"_{out}")
+        rows, keys[out] = rows.join(named, source[out], "left"), F.col(f"_{out}")
+    rows = rows.select(CYCLE, "transaction_year", *[c.alias(out) for out, c in keys.items()], F.col(spec.amount).alias("amount"))
+    return rows.groupBy(*spec.group_by).agg(*_measures())
+
+
+def rollup(df: DataFrame | Prepared, spec: DatasetSpec, scope: str = "cycle") -> DataFrame:
     """Total and count per ``spec.group_by``.
 
     Names are capitalised so that spelling variants merge.  That happens on the grouped rows
     and a second, much smaller grouping merges them: names are worked on once per group
-    instead of once per transaction.
+    instead of once per transaction.  Who makes several roll-ups of the same rows passes what ``prepare`` stored.
     """
+    if isinstance(df, Prepared):
+        if scope != "cycle":
+            raise ValueError(scope)
+        return _rollup_prepared(df, spec)
     rows = countable(df, spec, _payload(spec), scope).select(
         CYCLE,
         transaction_year(spec.date).alias("transaction_year"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..operators import clean, combine, crosswalk, legislators, manifest, qualit
 from ..sources import catalog, files, tables
 from ..specs import (INDIVIDUAL_COLUMNS, INDIVIDUAL_NAME_COLUMNS, SPECS, TABLE_DATE_COLUMNS,
                      TABLE_NAME_COLUMNS, schema_of)
-from .refresh import apply_changes, landed_files, table_path
+from .refresh import apply_changes, landed_files, side_by_side, table_path
 
 INDIVIDUALS = "individual_contributions"
 CROSSWALK = "cand_id_bioguide_crosswalk"
@@ -126,20 +128,26 @@ def load_report_tables(spark: SparkSession, root: str, target: str, since: int |
     """Load every reporting table whose source is there; returns the violated keys of all.
 
     A load that breaks a constraint is handled as ``on_violation`` says (see ``sources.catalog``); the rows that break one are
-    listed by ``catalog.rejected_rows``.
+    listed by ``catalog.rejected_rows``.  A few tables are loaded at the same time; when one fails, the others are loaded before its error is raised.
     """
     found = spark.createDataFrame([], "table_name string, key string, row_count bigint")
-    for name, table in catalog.REPORT_TABLES.items():
+
+    def load(name: str) -> DataFrame | None:
+        table = catalog.REPORT_TABLES[name]
         source = tables.read_table_or_none(spark, table_path(root, table.source))
         if source is None:
-            continue
+            return None
         path = table_path(target, name)
-        load = catalog.load_table(source, name, path, since if clean.CYCLE in source.columns else None, on_violation)
-        if load.rejected and table.key:
-            broken = tables.read_table(spark, f"{path}.rejected")
-            keyless = F.exists(catalog.REASONS, lambda r: (r == "repeated key") | r.isin(*[f"missing {c}" for c in table.key]))
-            found = found.unionByName(broken.where(keyless).groupBy(*table.key).agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("table_name"), F.to_json(F.struct(*table.key)).alias("key"), "row_count"))
+        done = catalog.load_table(source, name, path, since if clean.CYCLE in source.columns else None, on_violation)
+        if not done.rejected or not table.key:
+            return None
+        broken = tables.read_table(spark, f"{path}.rejected")
+        keyless = F.exists(catalog.REASONS, lambda r: (r == "repeated key") | r.isin(*[f"missing {c}" for c in table.key]))
+        return broken.where(keyless).groupBy(*table.key).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.to_json(F.struct(*table.key)).alias("key"), "row_count")
+
+    for part in side_by_side(spark, {name: partial(load, name) for name in catalog.REPORT_TABLES}).values():
+        found = found if part is None else found.unionByName(part)
     return found
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import logging
 import threading
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -103,6 +105,18 @@ def record_state(change: DataFrame, manifest: str) -> None:
     out.partitionBy(*KEY).parquet(manifest)
 
 
+def side_by_side(spark: SparkSession, tasks: dict[str, Callable[[], Any]], at_once: int = AT_ONCE) -> dict[str, Any]:
+    """Runs independent tasks, ``at_once`` at a time, each in a scheduler pool of its own, so that the tail of one does not leave
+    executors idle.  All of them end before the first error, in the tasks' order, is raised."""
+    def run(name: str) -> Any:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return tasks[name]()
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(tasks)))) as pool:
+        running = {name: pool.submit(run, name) for name in tasks}
+    return {name: one.result() for name, one in running.items()}
+
+
 def apply_changes(spark: SparkSession, changes: DataFrame, landing: str, tables: str, manifest: str,
                   dry_run: bool = False, at_once: int = AT_ONCE) -> DataFrame:
     """Rebuild every changed (dataset, cycle); state advances only for those that succeed.

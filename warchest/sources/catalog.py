@@ -116,26 +116,36 @@ def _any(conditions: list[Column]) -> Column:
     return out
 
 
+def _reasons(broken: dict[str, Column]) -> Column:
+    """The names of the conditions that hold.  Nearly all rows break none and make no array of their own; the code is
+    compiled with the scan's, which functions on arrays with a lambda would not be."""
+    none = F.array().cast("array<string>")
+    listed = [F.when(c, F.array(F.lit(name))).otherwise(none) for name, c in broken.items()]
+    return F.when(_any(list(broken.values())), F.concat(*listed)).otherwise(none) if listed else none
+
+
 def audited(df: DataFrame, table: ReportTable, since: int | None = None, spare_first: bool = False) -> DataFrame:
     """Typed rows with the constraints each one breaks.  ``spare_first``: of rows with one key the smallest breaks nothing.
 
     Only tables with a key shuffle, by it; rows without a whole key are spread, however many they are.
     """
     rows = df if since is None else df.where(F.col(CYCLE) >= since)
-    unreadable = [
-        F.when((F.trim(F.col(src).cast("string")) != "") & F.col(src).try_cast(kind).isNull(), F.lit(f"unreadable {name}"))
-        for src, (name, kind) in table.columns.items() if kind != "string"]
-    typed = rows.select(*_typed(table), F.array_compact(F.array(*unreadable, F.lit(None).cast("string"))).alias(REASONS))
+    # the text is looked at only where the conversion failed
+    unreadable = {
+        f"unreadable {name}": F.col(src).try_cast(kind).isNull() & (F.trim(F.col(src).cast("string")) != "")
+        for src, (name, kind) in table.columns.items() if kind != "string"}
+    typed = rows.select(*_typed(table), _reasons(unreadable).alias(REASONS))
     names = [name for name, _ in table.columns.values()]
     missing = {c: F.col(c).isNull() for c in dict.fromkeys([*table.key, *table.required])}
-    found = [F.col(REASONS), F.array_compact(F.array(*[F.when(m, f"missing {c}") for c, m in missing.items()], F.lit(None).cast("string")))]
+    found = {f"missing {c}": m for c, m in missing.items()}
     if table.key:
         spread = F.when(_any([missing[c] for c in table.key]), F.xxhash64(*names))
         same = Window.partitionBy(*table.key, spread)
         again = F.row_number().over(same.orderBy(*[F.col(n).asc_nulls_first() for n in names])) if spare_first else F.count(F.lit(1)).over(same)
         typed = typed.withColumn("_again", again)
-        found.append(F.when((F.col("_again") > 1) & spread.isNull(), F.array(F.lit("repeated key"))).otherwise(F.array().cast("array<string>")))
-    return typed.select(*names, F.concat(*found).alias(REASONS)).withColumn(BROKEN, F.size(REASONS) > 0)
+        found["repeated key"] = (F.col("_again") > 1) & spread.isNull()
+    reasons = F.when(_any(list(found.values())), F.concat(REASONS, _reasons(found))).otherwise(F.col(REASONS))
+    return typed.select(*names, reasons.alias(REASONS)).withColumn(BROKEN, F.size(REASONS) > 0)
 
 
 @dataclass(frozen=True)

@@ -41,6 +41,12 @@ def write_table(df: DataFrame, path: str, sort: list[str] | None = None, backup:
     stage_table(df, path, sort).publish(backup=backup)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows, written and read back."""
+    write_table(df, path)
+    return read_table(df.sparkSession, path)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """RFC 4180 text with a header; blanks around values are kept."""
     writer = df.write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "")

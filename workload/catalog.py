@@ -753,17 +753,25 @@ def report_load_unreadable(spark, d):
 def _finished(spark, d) -> str:
     """A folder of finished tables, one for each source of a reporting table."""
     root = scratch(spark, "finished")
-    pacs = committees(spark, d).where("cmte_tp IN ('N', 'Q', 'O')").groupBy(CYCLE, "cmte_id").agg(F.max("cmte_nm").alias("cmte_nm"), F.max("cmte_tp").alias("cmte_tp"))
     made = {
         "cand_id_bioguide_crosswalk": links(spark, d),
         "all_candidate_summaries": raw_rows(summaries(spark, d), SPECS["all_candidate_summaries"]),
         "committee_registrations": raw_rows(committees(spark, d), SPECS["committee_registrations"]),
-        "pac_party_summaries": raw_rows(pacs, SPECS["pac_party_summaries"]),
-        PAS2.name: rollup.rollup(txn(spark, d), PAS2), OTH.name: rollup.rollup(txn(spark, d), OTH),
-        BY_CATEGORY.name: rollup.rollup(txn(spark, d), BY_CATEGORY), BY_STATE.name: rollup.rollup(txn(spark, d), BY_STATE),
     }
-    for name, df in made.items():
-        tables.write_table(df, f"{root}/{name}")
+    itemized = (PAS2, OTH, BY_CATEGORY, BY_STATE)
+
+    def write(name: str, df: DataFrame) -> Callable[[], None]:
+        return lambda: tables.write_table(df, f"{root}/{name}")
+
+    def prepared() -> rollup.Prepared:
+        shared = scratch(spark, "prepared")
+        return rollup.prepare(txn(spark, d), list(itemized), lambda df, name: tables.stored(df, f"{shared}/{name}"))
+
+    rows = refresh.side_by_side(spark, {"prepared": prepared, **{n: write(n, df) for n, df in made.items()}})["prepared"]
+    registered = tables.read_table(spark, f"{root}/committee_registrations")
+    pacs = registered.where("cmte_tp IN ('N', 'Q', 'O')").groupBy(CYCLE, "cmte_id").agg(F.max("cmte_nm").alias("cmte_nm"), F.max("cmte_tp").alias("cmte_tp"))
+    made = {s.name: rollup.rollup(rows, s) for s in itemized} | {"pac_party_summaries": raw_rows(pacs, SPECS["pac_party_summaries"])}
+    refresh.side_by_side(spark, {n: write(n, df) for n, df in made.items()})
     return root
 
 
