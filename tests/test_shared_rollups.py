@@ -54,7 +54,7 @@ def test_prepared_rollups_are_the_rollups(spark, tmp_path, monkeypatch, transact
 
 def test_prepared_is_per_cycle_and_for_equal_columns(spark, transactions):
     with pytest.raises(ValueError):
-        rollup.rollup(rollup.Prepared(transactions, transactions, transactions, {}), ITEMIZED[0], "global")
+        rollup.rollup(rollup.Prepared(transactions, transactions, {}), ITEMIZED[0], "global")
     other = type(ITEMIZED[0])("other", "oth", 1980, ("sub_id",), memo="no_memo")
     with pytest.raises(ValueError):
         rollup.prepare(transactions, [ITEMIZED[0], other], lambda df, name: df)

@@ -47,8 +47,8 @@ def _payload(spec: DatasetSpec) -> list[str]:
     return [*spec.key_sources.values(), spec.date, spec.amount]
 
 
-#: Repeated ids that are sent to every task (a table of less than 200 MB); beyond, Spark chooses the join.
-SENT_IDS = 2_500_000
+#: Repeated ids that are sent to every task, by each roll-up (a table of about 100 MB); beyond, one join marks their rows, which are stored again.
+SENT_IDS = 1_000_000
 _ID = "_id"
 
 
@@ -56,9 +56,8 @@ _ID = "_id"
 class Prepared:
     """What several roll-ups of the same transactions share, stored once."""
 
-    rows: DataFrame  # neither memos nor amendments; `_id` is the hash of (id, cycle)
-    repeated: DataFrame  # `_id` that several rows have
-    again: DataFrame  # the rows of these
+    once: DataFrame  # neither memos nor amendments, and no other row has the hash of (id, cycle)
+    again: DataFrame  # the other rows
     names: dict[str, DataFrame]  # raw name column -> (the column, `_name`)
 
 
@@ -78,11 +77,13 @@ def prepare(df: DataFrame, specs: list[DatasetSpec], store: Callable[[DataFrame,
     rows = store(kept.select(*columns, transaction_year(first.date).alias("transaction_year"), F.xxhash64(first.sub_id, CYCLE).alias(_ID)), "rows")
     repeated = store(rows.groupBy(_ID).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(_ID), "repeated")
     if repeated.count() <= SENT_IDS:
-        repeated = F.broadcast(repeated)
-    again = store(rows.join(repeated, _ID, "left_semi"), "again")
+        again, once = store(rows.join(F.broadcast(repeated), _ID, "left_semi"), "again"), rows.join(F.broadcast(repeated), _ID, "left_anti")
+    else:
+        marked = store(rows.join(repeated.withColumn("_many", F.lit(True)), _ID, "left"), "marked")
+        again, once = store(marked.where("_many"), "again"), marked.where("_many IS NULL")
     sources = dict.fromkeys(s.key_sources[c] for s in specs for c in s.name_columns)
     names = {c: store(rows.select(c).where(F.col(c).isNotNull()).distinct().withColumn("_name", capitalize_name(c)), f"names_{c}") for c in sources}
-    return Prepared(rows, repeated, again, names)
+    return Prepared(once, again, names)
 
 
 def _rollup_prepared(made: Prepared, spec: DatasetSpec) -> DataFrame:
@@ -90,8 +91,7 @@ def _rollup_prepared(made: Prepared, spec: DatasetSpec) -> DataFrame:
     order, source = spec.survivor_order, spec.key_sources
     kept = dedupe(made.again.select(CYCLE, spec.sub_id, *dict.fromkeys([*order, *_payload(spec)])), spec.sub_id, "cycle", order)
     columns = [CYCLE, "transaction_year", *dict.fromkeys([*source.values(), spec.amount])]
-    once = made.rows.join(made.repeated, _ID, "left_anti").select(*columns)
-    rows = once.unionByName(kept.withColumn("transaction_year", transaction_year(spec.date)).select(*columns))
+    rows = made.once.select(*columns).unionByName(kept.withColumn("transaction_year", transaction_year(spec.date)).select(*columns))
     keys = {out: F.col(src) for out, src in source.items()}
     for out in spec.name_columns:
         named = made.names[source[out]].withColumnRenamed("_name", f"_{out}")
